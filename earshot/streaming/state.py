@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -73,11 +73,19 @@ def retention_step(hours: int = 24, ts: str = "detected_at") -> Step:
     return step
 
 
-def refresh_step(build: Callable[[DataFrame], DataFrame]) -> Step:
-    """Keeps a result table up to date: it is built again from all rows seen, at the trigger's pace."""
+def refresh_step(
+    build: Callable[[DataFrame], DataFrame], keys: list[str], combine: dict[str, Callable[[str], Column]]
+) -> Step:
+    """Keeps an aggregate up to date at the trigger's pace.
 
-    def step(state: DataFrame | None, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        rows = batch if state is None else state.unionByName(batch)
-        return rows, build(rows)
+    ``build`` aggregates a batch; ``combine`` says how each measure of the
+    stored rows and the new ones is put together (sum, min, max, ...). Only
+    aggregated rows are kept, never the batches.
+    """
+
+    def step(state: DataFrame | None, batch: DataFrame) -> tuple[DataFrame, None]:
+        fresh = build(batch)
+        rows = fresh if state is None else state.unionByName(fresh)
+        return rows.groupBy(*keys).agg(*[f(c).alias(c) for c, f in combine.items()]), None
 
     return step

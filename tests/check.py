@@ -13,7 +13,7 @@ from earshot.session import build_session  # noqa: E402
 
 
 def main(sf_dir: str, names: list[str]) -> int:
-    spark = build_session("check", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g")
+    spark = build_session("check", "local[8]", spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="8", spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     con, plans, sql = duck(sf_dir), entry_module.queries(), entry_module.oracle_sql()
     bad = 0
