@@ -37,11 +37,9 @@ def variant_extract(value: Column | str, field: str, kind: str) -> Column:
     return F.try_variant_get(_col(value), f"$.{field}", kind)
 
 
-def listagg(measure: Column | str, delimiter: str = ",", order_by: Column | None = None, limit: int | None = None) -> Column:
-    """Text of all values of a group, ordered, at most ``limit`` of them."""
+def listagg(measure: Column | str, delimiter: str = ",", order_by: Column | None = None) -> Column:
+    """Text of all values of a group, ordered by ``order_by`` (default: the value)."""
     value = _col(measure).cast("string")
     key = value if order_by is None else order_by
     pairs = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(key.alias("k"), value.alias("v")))))
-    if limit is not None:
-        pairs = F.slice(pairs, 1, limit)
     return F.array_join(F.transform(pairs, lambda p: p["v"]), delimiter)

@@ -1,9 +1,8 @@
 """Row numbers and neighbours over a total order, without a single-task window.
 
 ``row_number() over (order by ...)`` and ``lag`` over one hot key both pull all
-their rows into one task. Here the rows are range-partitioned on the order
-(whose last column should be unique, so no range is hot), written to a reliable
-checkpoint, and numbered by adding each partition's offset to the place of the
+their rows into one task. Here the rows are range-partitioned on the order,
+written to the shared folder, and numbered by adding each partition's offset to the place of the
 row inside it. Only one count per partition meets in a single task.
 """
 
@@ -20,10 +19,28 @@ CHUNK_ROWS = 1_000_000
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 
-def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
-    """Add ``name`` = 1, 2, 3, ... along ``order``."""
+def _break_ties(df: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, list[Column]]:
+    """A last order column that no two rows share.
+
+    The rows are written first: an id given in flight could change when a
+    task runs again, and rows would then be lost or doubled.
+    """
+    tied = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "tied")
+    return tied, [*order, F.col("_tie").asc()]
+
+
+def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank", unique: bool = True) -> DataFrame:
+    """Add ``name`` = 1, 2, 3, ... along ``order``.
+
+    With ``unique`` the order tells all rows apart (up to few ties), so ranges
+    come out even. Without, one value may be shared by very many rows: ties
+    are then broken by an id, so that such a value spreads over many ranges.
+    """
+    columns = df.columns
+    if not unique:
+        df, order = _break_ties(df, order)
     spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = materialize(spread.withColumn("_pos", F.monotonically_increasing_id()))
+    placed = materialize(spread.withColumn("_pos", F.monotonically_increasing_id()), "ranked")
     part = F.shiftright("_pos", _ROW_BITS)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -34,7 +51,7 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> D
     # One row per partition of `placed`: bounded by the shuffle width, so it may be broadcast.
     joined = placed.join(F.broadcast(offsets), part == F.col("_part"))
     row = F.col("_pos").bitwiseAND((1 << _ROW_BITS) - 1) + F.col("_offset") + 1
-    return joined.select(*df.columns, row.alias(name))
+    return joined.select(*columns, row.alias(name))
 
 
 def neighbours(
@@ -43,6 +60,7 @@ def neighbours(
     shifted: dict[str, Column],
     group: Sequence[str] = (),
     offset: int = -1,
+    unique: bool = True,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """``lag`` (offset -1) or ``lead`` (offset 1) inside ``group`` along ``order``.
@@ -50,12 +68,13 @@ def neighbours(
     ``shifted`` maps new column names to expressions read from the neighbour.
     Rows get a global number over (group, order) and are cut into chunks of
     ``chunk_rows``; the row at a chunk's edge is also given to the next chunk
-    for reading. So a group of any size spreads over many tasks.
+    for reading. So a group of any size spreads over many tasks. ``unique`` as
+    in :func:`global_rank`.
     """
     if offset not in (-1, 1):
         raise ValueError("offset must be -1 or 1")
     keys = [F.col(g).asc_nulls_first() for g in group]
-    numbered = global_rank(df, [*keys, *order], "_no")
+    numbered = global_rank(df, [*keys, *order], "_no", unique)
     chunk = F.floor((F.col("_no") - 1) / chunk_rows)
     # The last row of a chunk serves the next one (lag), the first row the one before (lead).
     edge = (F.col("_no") % chunk_rows) == (0 if offset == -1 else 1)

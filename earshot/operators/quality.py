@@ -180,6 +180,7 @@ def mutually_exclusive_ranges(
         {"next_lower_bound": F.col("lower_bound"), "_has_next": F.lit(True)},
         ["partition_by_col"] if partition_by else (),
         offset=1,
+        unique=False,
     )
     lo, hi = F.col("lower_bound"), F.col("upper_bound")
     filled = F.coalesce(lo <= hi if zero_length_range_allowed else lo < hi, F.lit(False))
@@ -227,7 +228,8 @@ def sequential_values(
     """Values that are not their predecessor plus the interval; the first passes."""
     previous = f"previous_{column}"
     rows = df.select(*group_by, column)
-    seen = neighbours(rows, [F.col(column).asc_nulls_last()], {previous: F.col(column)}, list(group_by))
+    order = [F.col(column).asc_nulls_last()]
+    seen = neighbours(rows, order, {previous: F.col(column)}, list(group_by), unique=False)
     due = dateadd(datepart, interval, F.col(previous)) if datepart else F.col(previous) + interval
     return seen.filter(_broken(F.col(column) == due))
 

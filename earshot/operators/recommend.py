@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import dateadd, trunc_to
 from ..functions.numeric import blended_percent, blended_score, min_max_percent, raw_affinity, round_ratio
 from ..functions.text import reasoning_text
+from ..session import materialize
 from .sessions import GAP_MINUTES, session_minutes
 
 ITEM = ("track_id", "track_name", "artist_name")
@@ -16,21 +17,26 @@ TOP_N = 50
 
 
 def session_items(plays: DataFrame, gap_minutes: int = GAP_MINUTES, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """Distinct (user, session, item) with ``blocks``, the number of blocks its session is cut into.
+    """(user, session, item) with its ``plays`` and ``blocks``, the number of blocks its session is cut into.
 
-    Plays are reduced to distinct (user, minute, item) first; the session map
-    is built from that same frame, so both read one shuffle.
+    Plays are reduced to (user, minute, item) first. The session map is built
+    from that same frame with all its columns in use, so both sides of the
+    join read one shuffle.
     """
-    per_minute = plays.select("user_id", trunc_to("minute", "played_at").alias("minute"), *ITEM).groupBy(
-        "user_id", "minute", *ITEM
-    ).agg(F.count("*").alias("plays"))
-    found = session_minutes(per_minute.withColumnRenamed("minute", "played_at"), gap_minutes)
+    per_minute = plays.groupBy("user_id", trunc_to("minute", "played_at").alias("minute"), *ITEM).agg(
+        F.count("*").alias("plays")
+    )
+    found = session_minutes(per_minute, gap_minutes, ts="minute", plays=F.sum("plays"))
     found = found.withColumn(
         "blocks",
-        F.ceil(F.sum("weight").over(Window.partitionBy("user_id", "session_id")) / block_items).cast("int"),
+        F.ceil(F.sum("rows").over(Window.partitionBy("user_id", "session_id")) / block_items).cast("int"),
     ).select(F.col("user_id").alias("_user"), F.col("minute").alias("_minute"), "session_id", "blocks")
     here = (F.col("user_id") == F.col("_user")) & F.col("minute").eqNullSafe(F.col("_minute"))
-    return per_minute.join(found, here).select("user_id", "session_id", *ITEM, "blocks").distinct()
+    return (
+        per_minute.join(found, here)
+        .groupBy("user_id", "session_id", *ITEM, "blocks")
+        .agg(F.sum("plays").alias("plays"))
+    )
 
 
 def basket_items(
@@ -128,36 +134,36 @@ def track_cooccurrence(
 ) -> DataFrame:
     """Track pairs per user with the sessions they share.
 
+    The items of all sessions are written once and read three times: as either
+    half of a pair, and for the totals.
+
     ``top_per_track`` keeps the best ranked partners of each track (ties share
     a rank) and adds the ``rank`` column.
     """
     if user_id is not None:
         silver = silver.filter(F.col("user_id") == user_id)
-    scored = score_pairs(session_items(silver, gap_minutes), min_sessions, symmetric)
+    items = materialize(session_items(silver, gap_minutes), "items")
+    scored = score_pairs(items, min_sessions, symmetric)
     if top_per_track is None:
         return scored
     w = Window.partitionBy("user_id", "track_a_id").orderBy(F.col("sessions_together").desc())
     return scored.withColumn("rank", F.rank().over(w)).filter(F.col("rank") <= top_per_track)
 
 
-def artist_affinity(
+def artist_scores(
     silver: DataFrame,
     as_of: str | None = None,
     recent_days: int = 7,
     recent_weight: int = 2,
     w_plays: float = 0.6,
     w_tracks: float = 0.4,
-    top_n: int = TOP_N,
     normalize: str = "global",
-    user_id: str | None = None,
 ) -> DataFrame:
-    """The artists a user likes most, scored 0..100.
+    """How much each user likes each artist, 0..100; recent plays count more.
 
     Scores are scaled over all users (``global``) or within each user
     (``per_user``), and are null when all raw scores are equal.
     """
-    if user_id is not None:
-        silver = silver.filter(F.col("user_id") == user_id)
     now = F.current_timestamp() if as_of is None else F.lit(as_of)
     recent = F.col("played_at") >= dateadd("day", -recent_days, now.cast("timestamp_ntz"))
     per_artist = (
@@ -169,29 +175,36 @@ def artist_affinity(
         )
         .withColumn("_raw", raw_affinity("weighted_plays", "unique_tracks", w_plays, w_tracks))
     )
+    # total_plays is carried along so that the span and the rows share one shuffle.
+    span = [F.min("_raw").alias("_lo"), F.max("_raw").alias("_hi"), F.sum("total_plays").alias("_n")]
     if normalize == "global":
-        # total_plays is carried along so that the subquery and the rows share one shuffle.
-        span = per_artist.select(
-            F.struct(F.min("_raw").alias("lo"), F.max("_raw").alias("hi"), F.sum("total_plays").alias("n"))
-        ).scalar()
-        lo, hi = span.getField("lo"), span.getField("hi")
-        scored = per_artist
+        overall = per_artist.select(F.struct(*span)).scalar()
+        scored, lo, hi = per_artist, overall.getField("_lo"), overall.getField("_hi")
     elif normalize == "per_user":
-        spans = per_artist.groupBy("user_id").agg(
-            F.min("_raw").alias("_lo"), F.max("_raw").alias("_hi"), F.sum("total_plays").alias("_n")
-        )
-        scored, lo, hi = per_artist.join(spans, "user_id"), F.col("_lo"), F.col("_hi")
+        scored, lo, hi = per_artist.join(per_artist.groupBy("user_id").agg(*span), "user_id"), F.col("_lo"), F.col("_hi")
     else:
         raise ValueError("normalize must be 'global' or 'per_user'")
-    scored = scored.withColumn("affinity_score", min_max_percent(F.col("_raw"), lo, hi))
-    w = Window.partitionBy("user_id").orderBy(F.col("affinity_score").desc_nulls_first(), "artist_name")
-    return (
-        scored.withColumn("rank", F.row_number().over(w).cast("long"))
-        .filter(F.col("rank") <= top_n)
-        .select("user_id", "artist_name", "total_plays", "unique_tracks", "weighted_plays", "affinity_score", "rank")
+    return scored.select(
+        "user_id",
+        "artist_name",
+        "total_plays",
+        "unique_tracks",
+        "weighted_plays",
+        min_max_percent(F.col("_raw"), lo, hi).alias("affinity_score"),
     )
 
 
+def artist_affinity(
+    silver: DataFrame, as_of: str | None = None, top_n: int = TOP_N, user_id: str | None = None, **scoring
+) -> DataFrame:
+    """The ``top_n`` artists of each user by :func:`artist_scores`, ranked."""
+    if user_id is not None:
+        silver = silver.filter(F.col("user_id") == user_id)
+    scored = artist_scores(silver, as_of, **scoring)
+    w = Window.partitionBy("user_id").orderBy(F.col("affinity_score").desc_nulls_first(), "artist_name")
+    return scored.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= top_n)
+
+
 def artist_affinity_tiered(silver: DataFrame, as_of: str | None = None, top_n: int = TOP_N) -> DataFrame:
     """Variant: weights 2.0 / 1.5 / 1.0 by age in days, score as percent of the user's best artist, ties share a rank."""
     today = F.to_date(F.current_timestamp() if as_of is None else F.lit(as_of))

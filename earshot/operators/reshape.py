@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.nested import listagg
 from ..functions.text import slugify_name
 
 _COMPARE = {
@@ -147,6 +148,17 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[C
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def listagg_first(
+    df: DataFrame, group_by: Sequence[str], measure: str, order_by: Sequence[Column], limit: int, delimiter: str = ",", name: str = "values"
+) -> DataFrame:
+    """Text of the first ``limit`` values of each group; the others go before the shuffle."""
+    w = Window.partitionBy(*group_by).orderBy(*order_by)
+    first = (
+        df.filter(F.col(measure).isNotNull()).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit)
+    )
+    return first.groupBy(*group_by).agg(listagg(measure, delimiter, F.col("_rn")).alias(name))
+
+
 def except_sets(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of a that b lacks, once each. Copies collapse before the join."""
     return a.distinct().subtract(b.distinct())

@@ -12,9 +12,13 @@ GAP_MINUTES = 60
 
 
 def session_minutes(
-    plays: DataFrame, gap_minutes: int = GAP_MINUTES, user: str = "user_id", ts: str = "played_at", weight: Column | None = None
+    rows: DataFrame,
+    gap_minutes: int = GAP_MINUTES,
+    user: str = "user_id",
+    ts: str = "played_at",
+    plays: Column | None = None,
 ) -> DataFrame:
-    """(user, minute) to ``session_id``.
+    """(user, minute) to ``session_id``, with the number of ``rows`` in the minute.
 
     Gaps count minute boundaries, so every play of one minute is in the same
     session and sessions can be found on distinct minutes alone. Those are
@@ -24,11 +28,10 @@ def session_minutes(
 
     Plays without a time come last. Each of them but the first starts a
     session (its predecessor has no time), and as ties they share the number
-    of the last one.
+    of the last one. ``plays`` counts them where a row stands for several.
     """
-    size = F.count("*") if weight is None else F.sum(weight)
-    minutes = plays.groupBy(F.col(user).alias("user_id"), trunc_to("minute", ts).alias("minute")).agg(
-        F.count("*").alias("_plays"), size.alias("weight")
+    minutes = rows.groupBy(F.col(user).alias("user_id"), trunc_to("minute", ts).alias("minute")).agg(
+        F.count("*").alias("rows"), (F.count("*") if plays is None else plays).alias("_plays")
     )
     w = Window.partitionBy("user_id").orderBy(F.col("minute").asc_nulls_last())
     gap = datediff_boundary("minute", F.lag("minute").over(w), F.col("minute"))
@@ -39,7 +42,7 @@ def session_minutes(
         .otherwise(0)
     )
     return minutes.withColumn("_starts", starts).select(
-        "user_id", "minute", F.sum("_starts").over(w).alias("session_id"), "weight"
+        "user_id", "minute", F.sum("_starts").over(w).alias("session_id"), "rows"
     )
 
 

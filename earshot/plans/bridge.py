@@ -8,17 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.dates import try_cast_ts
-from ..functions.nested import json_parse
 from ..operators import recommend
 from ..operators import silver as silver_ops
 from ..schemas import PLAY_EVENT
+from ..session import materialize
 
 AS_OF = "2024-01-31 00:00:00"
 WIDE_GAP = 1440
-_PROPS = T.StructType([T.StructField("k", T.IntegerType())])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +27,7 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("_k")
     return (
         table(spark, sf_dir, "events")
-        .withColumn("_k", json_parse("props", _PROPS)["k"])
+        .withColumn("_k", F.get_json_object("props", "$.k").cast("int"))
         .select(
             F.col("event_id").cast("string").alias("event_id"),
             F.col("user_id").cast("string").alias("user_id"),
@@ -66,6 +64,11 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_ops.silver_plays(bronze(spark, sf_dir), AS_OF)
 
 
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as a written table, for queries that read it more than once."""
+    return materialize(silver(spark, sf_dir), "silver")
+
+
 def cooccurrence(spark: SparkSession, sf_dir: str, gap: int = WIDE_GAP, **options) -> DataFrame:
     return recommend.track_cooccurrence(silver(spark, sf_dir), gap, **options)
 
@@ -74,6 +77,16 @@ def affinity(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return recommend.artist_affinity(silver(spark, sf_dir), AS_OF, **options)
 
 
+def model_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Silver as a written table, and both inputs of the recommendations built from it."""
+    stored = stored_silver(spark, sf_dir)
+    return stored, recommend.track_cooccurrence(stored, WIDE_GAP), recommend.artist_affinity(stored, AS_OF)
+
+
+def pairs_and_affinity(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return model_tables(spark, sf_dir)[1:]
+
+
 def currently_playing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Playback detections: one per play, at its time."""
     return plays(spark, sf_dir).select(

@@ -14,6 +14,7 @@ from .bridge import with_tables
 from .registry import query
 
 CUT = "2000-01-01"
+WRITERS = 32  # every hour is a small file here, so writing is spread wide
 
 
 def _at(text: str):
@@ -231,7 +232,7 @@ def _json_stream(spark, sf, rows):
 def _stream_bronze_ingest(spark, sf):
     root = scratch_path(spark, "bronze")
     messages = _json_stream(spark, sf, bridge.bronze(spark, sf))
-    ingest.run_to_end(ingest.stream_bronze_ingest(messages, root, root + "-progress", every=None, files_per_hour=1))
+    ingest.run_to_end(ingest.stream_bronze_ingest(messages, root, root + "-progress", every=None, files_per_hour=1, tasks=WRITERS))
     return tables.external_table_scan(spark, root).drop(*tables.HOUR_PARTITIONS)
 
 
@@ -244,7 +245,7 @@ def _bounded_stream_run(spark, sf):
     for part in (bronze.filter(~late), bronze.filter(late)):
         part.select(F.to_json(F.struct(*bronze.columns)).alias("value")).write.mode("append").text(source)
         messages = event_sources.file_json_source(spark, source)
-        ingest.run_to_end(ingest.stream_bronze_ingest(messages, root, root + "-progress", every=None, files_per_hour=1))
+        ingest.run_to_end(ingest.stream_bronze_ingest(messages, root, root + "-progress", every=None, files_per_hour=1, tasks=WRITERS))
     landed = tables.external_table_scan(spark, root)
     day = F.concat_ws("-", "year", "month", "day").alias("day")
     return landed.groupBy(day).agg(F.count("*").alias("plays"))

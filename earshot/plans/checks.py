@@ -382,8 +382,7 @@ def _silver_test_suite(spark, sf):
 _GOLD_SQL = {"daily_user_stats": "daily", "top_tracks": "tracks", "top_artists": "artists", "device_usage": "devices"}
 
 
-def _gold_tables(spark, sf):
-    silver = bridge.silver(spark, sf)
+def _gold_tables(silver):
     return {
         "daily_user_stats": gold.daily_user_stats(silver),
         "top_tracks": gold.top_tracks(silver),
@@ -395,7 +394,7 @@ def _gold_tables(spark, sf):
 @query("gold_test_suite", with_tables(*_GOLD_SQL.values()) + " UNION ALL ".join(
     _suite_sql(t, quality.GOLD_RULES[n], n) for n, t in _GOLD_SQL.items()))
 def _gold_test_suite(spark, sf):
-    return quality.gold_test_suite(_gold_tables(spark, sf))
+    return quality.gold_test_suite(_gold_tables(bridge.stored_silver(spark, sf)))
 
 
 @query("monitor_row_retention", with_tables("silver") + """
@@ -452,7 +451,7 @@ def _event_volume_ratio(spark, sf):
     f"SELECT '{n}_not_empty' AS check_name, CAST(count(*) AS DOUBLE) AS value, 1::DOUBLE AS threshold, count(*) > 0 AS passed FROM {t}"
     for n, t in _GOLD_SQL.items()))
 def _gold_completeness(spark, sf):
-    return monitors.gold_completeness(_gold_tables(spark, sf))
+    return monitors.gold_completeness(_gold_tables(bridge.stored_silver(spark, sf)))
 
 
 def _runs(spark, sf):
@@ -498,7 +497,8 @@ SELECT 'bronze_rows' AS metric, count(*) AS value FROM bronze UNION ALL SELECT '
 UNION ALL SELECT 'events_last_24h', count(*) FROM silver WHERE played_at >= TIMESTAMP '2024-01-30 00:00:00' UNION ALL """
        + " UNION ALL ".join(f"SELECT '{n}_rows', count(*) FROM {t}" for n, t in _GOLD_SQL.items()))
 def _data_metrics(spark, sf):
-    return monitors.data_metrics(bridge.bronze(spark, sf), bridge.silver(spark, sf), _gold_tables(spark, sf), AS_OF)
+    silver = bridge.stored_silver(spark, sf)
+    return monitors.data_metrics(bridge.bronze(spark, sf), silver, _gold_tables(silver), AS_OF)
 
 
 @query("system_health_rows", with_tables("cooc", "affinity", "playing") + """
@@ -507,10 +507,11 @@ UNION ALL SELECT 'Track Co-occurrence', count(*), NULL FROM cooc UNION ALL SELEC
 def _system_health_rows(spark, sf):
     newest = F.max("detected_at").alias("last_updated")
     never = F.max(F.lit(None).cast("timestamp_ntz")).alias("last_updated")
+    cooc, liked = bridge.pairs_and_affinity(spark, sf)
     rows = [
         ("Currently Playing", bridge.currently_playing(spark, sf), newest),
-        ("Track Co-occurrence", bridge.cooccurrence(spark, sf), never),
-        ("Artist Affinity", bridge.affinity(spark, sf), never),
+        ("Track Co-occurrence", cooc, never),
+        ("Artist Affinity", liked, never),
     ]
     parts = [
         df.agg(F.count("*").alias("row_count"), when).select(F.lit(name).alias("component"), "*") for name, df, when in rows
@@ -521,5 +522,5 @@ def _system_health_rows(spark, sf):
 @query("cross_layer_totals", with_tables("devices") + """
 SELECT (SELECT count(*) FROM silver) AS silver_count, (SELECT CAST(sum(total_plays) AS BIGINT) FROM devices) AS gold_total_plays""")
 def _cross_layer_totals(spark, sf):
-    silver = bridge.silver(spark, sf)
+    silver = bridge.stored_silver(spark, sf)
     return monitors.cross_layer_totals(silver, gold.device_usage(silver))

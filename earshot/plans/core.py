@@ -181,7 +181,7 @@ SELECT user_id, artist_name,
             / nullif(max(raw) OVER w - min(raw) OVER w, 0), 7) AS DECIMAL(18,7)) * 100, 2) AS DOUBLE) AS affinity_score
 FROM raw_affinity WINDOW w AS (PARTITION BY user_id)""")
 def _min_max_normalize(spark, sf):
-    scored = bridge.affinity(spark, sf, normalize="per_user", top_n=2_147_483_647)
+    scored = recommend.artist_scores(bridge.silver(spark, sf), AS_OF, normalize="per_user")
     return scored.select("user_id", "artist_name", "affinity_score")
 
 
@@ -208,7 +208,7 @@ def _artist_affinity_tiered(spark, sf):
 @query("affinity_left_join", with_tables("scored") + """
 SELECT user_id, track_a_id, track_b_id, track_b_artist, artist_affinity_score, recommendation_score FROM scored""")
 def _affinity_left_join(spark, sf):
-    scored = recommend.score_candidates(bridge.cooccurrence(spark, sf), bridge.affinity(spark, sf))
+    scored = recommend.score_candidates(*bridge.pairs_and_affinity(spark, sf))
     return scored.select(
         "user_id", "track_a_id", "track_b_id", "track_b_artist", "artist_affinity_score", "recommendation_score"
     )
@@ -216,7 +216,7 @@ def _affinity_left_join(spark, sf):
 
 @query("track_recommendations", with_tables("recs") + "SELECT * FROM recs")
 def _track_recommendations(spark, sf):
-    return recommend.track_recommendations(bridge.cooccurrence(spark, sf), bridge.affinity(spark, sf))
+    return recommend.track_recommendations(*bridge.pairs_and_affinity(spark, sf))
 
 
 @query("exclude_played_anti", with_tables("scored") + """
@@ -229,10 +229,9 @@ SELECT * FROM (
 WHERE rank <= 50""")
 def _exclude_played(spark, sf):
     """Leaves out what the user has played in the last week."""
-    lately = bridge.silver(spark, sf).filter(F.col("played_at") >= F.lit("2024-01-24").cast("timestamp_ntz"))
-    recs = recommend.track_recommendations(
-        bridge.cooccurrence(spark, sf), bridge.affinity(spark, sf), exclude_played=lately
-    )
+    silver, cooc, liked = bridge.model_tables(spark, sf)
+    lately = silver.filter(F.col("played_at") >= F.lit("2024-01-24").cast("timestamp_ntz"))
+    recs = recommend.track_recommendations(cooc, liked, exclude_played=lately)
     return recs.select("user_id", "recommended_track_id", "recommendation_score", "based_on_track", "rank")
 
 
@@ -258,9 +257,7 @@ SELECT * FROM (
   FROM scored_candidates WHERE recommendation_score > 0)
 WHERE recommendation_rank <= 50""")
 def _seeded_recommendations(spark, sf):
-    return recommend.seeded_recommendations(
-        bridge.silver(spark, sf), bridge.cooccurrence(spark, sf), bridge.affinity(spark, sf)
-    )
+    return recommend.seeded_recommendations(*bridge.model_tables(spark, sf))
 
 
 @query("recommend_for_track", with_tables("scored") + """
@@ -271,7 +268,7 @@ SELECT user_id, track_a_id, track_b_id, cooccurrence_score, sessions_together, a
                WHEN artist_affinity_score >= 50 THEN ', artist is well-liked' ELSE '' END AS reasoning
 FROM scored WHERE track_a_id = 'track_26' ORDER BY recommendation_score DESC, user_id, track_b_id LIMIT 10""")
 def _recommend_for_track(spark, sf):
-    recs = recommend.recommend_for_track(bridge.cooccurrence(spark, sf), bridge.affinity(spark, sf), "track_26")
+    recs = recommend.recommend_for_track(*bridge.pairs_and_affinity(spark, sf), "track_26")
     return recs.select(
         "user_id", "track_a_id", "track_b_id", "cooccurrence_score", "sessions_together",
         "artist_affinity_score", "recommendation_score", "reasoning",
@@ -287,7 +284,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id, track_a_id
                                    ORDER BY recommendation_score DESC, track_b_id) AS rn FROM scored)
 WHERE rn <= 10 GROUP BY 1, 2""")
 def _recommend_batch(spark, sf):
-    answers = recommend.recommend_batch_response(bridge.cooccurrence(spark, sf), bridge.affinity(spark, sf))
+    answers = recommend.recommend_batch_response(*bridge.pairs_and_affinity(spark, sf))
     shown = F.transform(
         "recommendations",
         lambda r: F.concat_ws(":", r["track_id"], r["recommendation_score"].cast("decimal(9,1)").cast("string")),
@@ -308,7 +305,7 @@ ORDER BY recommendation_score DESC, track_b_id LIMIT 10"""
 @query("recommend_for_current", with_tables("scored", "playing") + _NOW)
 def _recommend_for_current(spark, sf):
     recs = recommend.recommend_for_current(
-        bridge.currently_playing(spark, sf), bridge.cooccurrence(spark, sf), bridge.affinity(spark, sf)
+        bridge.currently_playing(spark, sf), *bridge.pairs_and_affinity(spark, sf)
     )
     return recs.select(
         "user_id", "track_a_id", "track_b_id", "cooccurrence_score", "artist_affinity_score", "recommendation_score"
@@ -321,4 +318,5 @@ SELECT c.user_id, count(DISTINCT c.track_b_id) AS total_cooccurrence_tracks,
        count(DISTINCT c.track_b_id) - count(DISTINCT p.track_id) AS new_recommendations
 FROM cooc c LEFT JOIN silver p ON c.user_id = p.user_id AND c.track_b_id = p.track_id GROUP BY 1""")
 def _recommendation_coverage(spark, sf):
-    return recommend.recommendation_coverage(bridge.cooccurrence(spark, sf), bridge.silver(spark, sf))
+    silver = bridge.stored_silver(spark, sf)
+    return recommend.recommendation_coverage(recommend.track_cooccurrence(silver, WIDE_GAP), silver)

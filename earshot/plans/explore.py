@@ -8,6 +8,7 @@ from ..functions.numeric import blended_score, ms_to_hours, ms_to_minutes, perce
 from ..functions.text import reasoning_text
 from ..operators import gold, monitors, profile, recommend, reshape, sessions
 from ..operators import silver as silver_ops
+from ..session import materialize
 from . import bridge
 from .bridge import WIDE_GAP, with_tables
 from .registry import query
@@ -175,7 +176,7 @@ def _affinity_stats(spark, sf):
 SELECT count(*) AS total_rows, count(DISTINCT user_id) AS unique_users, max(recommendation_score) AS max_score,
        min(recommendation_score) AS min_score FROM recs""")
 def _model_stats(spark, sf):
-    recs = recommend.track_recommendations(bridge.cooccurrence(spark, sf), bridge.affinity(spark, sf))
+    recs = recommend.track_recommendations(*bridge.pairs_and_affinity(spark, sf))
     return profile.model_stats(recs, "recommendation_score")
 
 
@@ -226,7 +227,7 @@ def _percent_of_total(spark, sf):
 SELECT (SELECT count(*) FROM silver) AS silver_count,
        (SELECT CAST(sum(total_plays) AS BIGINT) FROM devices) AS gold_total_plays""")
 def _scalar_subqueries(spark, sf):
-    silver = bridge.silver(spark, sf)
+    silver = bridge.stored_silver(spark, sf)
     return monitors.cross_layer_totals(silver, gold.device_usage(silver))
 
 
@@ -256,7 +257,7 @@ FROM scored s JOIN now ON s.user_id = now.user_id AND s.track_a_id = now.track_i
 ORDER BY recommendation_score DESC, track_b_id LIMIT 10""")
 def _latest_to_recs_join(spark, sf):
     recs = recommend.recommend_for_current(
-        bridge.currently_playing(spark, sf), bridge.cooccurrence(spark, sf), bridge.affinity(spark, sf)
+        bridge.currently_playing(spark, sf), *bridge.pairs_and_affinity(spark, sf)
     )
     return recs.select("track_b_id", "track_b_name", "track_b_artist", "recommendation_score")
 
@@ -335,7 +336,7 @@ SELECT 'Track Co-occurrence' AS model, count(*) AS row_count, max(cooccurrence_s
 UNION ALL SELECT 'Artist Affinity', count(*), max(affinity_score) FROM affinity
 UNION ALL SELECT 'Track Recommendations', count(*), max(recommendation_score) FROM recs""")
 def _model_counts(spark, sf):
-    cooc, liked = bridge.cooccurrence(spark, sf), bridge.affinity(spark, sf)
+    cooc, liked = map(materialize, bridge.pairs_and_affinity(spark, sf))
     tables = {
         "Track Co-occurrence": cooc.withColumnRenamed("cooccurrence_score", "score"),
         "Artist Affinity": liked.withColumnRenamed("affinity_score", "score"),
@@ -382,8 +383,9 @@ FROM cooc c LEFT JOIN silver p ON c.user_id = p.user_id AND c.track_b_id = p.tra
   AND p.played_at >= TIMESTAMP '2024-01-24 00:00:00'""")
 def _coverage_left_join(spark, sf):
     """Against what was played in the last week."""
-    lately = bridge.silver(spark, sf).filter(F.col("played_at") >= F.lit("2024-01-24").cast("timestamp_ntz"))
-    per_user = recommend.recommendation_coverage(bridge.cooccurrence(spark, sf), lately)
+    silver = bridge.stored_silver(spark, sf)
+    lately = silver.filter(F.col("played_at") >= F.lit("2024-01-24").cast("timestamp_ntz"))
+    per_user = recommend.recommendation_coverage(recommend.track_cooccurrence(silver, WIDE_GAP), lately)
     names = ["total_cooccurrence_tracks", "tracks_already_played", "new_recommendations"]
     return per_user.agg(*[F.sum(n).alias(n) for n in names])
 
@@ -411,7 +413,7 @@ SELECT CASE WHEN cooccurrence_score >= 0.8 THEN 'Frequently' WHEN cooccurrence_s
                WHEN artist_affinity_score >= 50 THEN ', artist is well-liked' ELSE '' END AS reasoning, count(*) AS n
 FROM scored GROUP BY 1""")
 def _reasoning_text(spark, sf):
-    scored = recommend.score_candidates(bridge.cooccurrence(spark, sf), bridge.affinity(spark, sf))
+    scored = recommend.score_candidates(*bridge.pairs_and_affinity(spark, sf))
     reason = reasoning_text("cooccurrence_score", "artist_affinity_score", "sessions_together")
     return scored.groupBy(reason.alias("reasoning")).agg(F.count("*").alias("n"))
 
@@ -421,10 +423,11 @@ SELECT 'affinity' AS kind, user_id, artist_name AS item, CAST(raw / 10 AS DOUBLE
 UNION ALL SELECT 'blend', user_id, track_a_id || '>' || track_b_id, recommendation_score FROM scored""")
 def _weighted_score(spark, sf):
     recent = F.col("played_at") >= F.lit("2024-01-24").cast("timestamp_ntz")
-    per_artist = bridge.silver(spark, sf).groupBy("user_id", F.col("artist_name").alias("item")).agg(
+    silver, cooc, liked = bridge.model_tables(spark, sf)
+    per_artist = silver.groupBy("user_id", F.col("artist_name").alias("item")).agg(
         raw_affinity(F.sum(F.when(recent, 2).otherwise(1)), F.countDistinct("track_id")).cast("double").alias("score")
     )
-    scored = recommend.score_candidates(bridge.cooccurrence(spark, sf), bridge.affinity(spark, sf))
+    scored = recommend.score_candidates(cooc, liked)
     blend = scored.select(
         "user_id",
         F.concat_ws(">", "track_a_id", "track_b_id").alias("item"),

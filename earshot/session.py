@@ -51,13 +51,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/earshot/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage through a reliable checkpoint in the shared folder.
+def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+    """Write a step to the shared folder as Parquet and go on from the files.
 
-    Used where a plan would otherwise run twice, or where row positions must
-    survive a lost executor.
+    Used where several branches read one step, so that it is computed once,
+    and where row positions must survive a lost executor. Readers then fetch
+    only the columns they need, and Spark knows the step's true size.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

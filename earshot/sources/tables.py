@@ -22,16 +22,42 @@ def with_hour_partitions(plays: DataFrame, ts: str = "played_at", fallback: Colu
     return plays.withColumns({name: F.date_format(moment, fmt) for name, fmt in parts.items()})
 
 
-def write_bronze(plays: DataFrame, root: str, mode: str = "append", fallback: Column | None = None) -> None:
+def spread_by_hour(rows: DataFrame, files_per_hour: int, tasks: int | None = None) -> DataFrame:
+    """Rows grouped by hour, each hour cut into ``files_per_hour`` shares by a hash of the play.
+
+    A hot hour is so written by several tasks, and no hour gets a file per task.
+    """
+    share = F.pmod(F.xxhash64("event_id", "user_id", "track_id", "played_at"), F.lit(files_per_hour))
+    keys = [*map(F.col, HOUR_PARTITIONS), share]
+    return rows.repartition(*keys) if tasks is None else rows.repartition(tasks, *keys)
+
+
+def write_bronze(
+    plays: DataFrame, root: str, mode: str = "append", fallback: Column | None = None, files_per_hour: int | None = None,
+    tasks: int | None = None,
+) -> None:
     """Snappy Parquet under year=/month=/day=/hour=.
 
-    Rows are spread over the hours before writing, several tasks for a large
-    hour (``rebalance`` splits hot partitions), so no hour gets a file per task.
+    By default Spark rebalances the rows over the hours by size, splitting
+    large hours; ``files_per_hour`` fixes the number of files instead.
     """
     rows = with_hour_partitions(plays, fallback=fallback)
-    rows.hint("rebalance", *HOUR_PARTITIONS).write.mode(mode).option("compression", "snappy").partitionBy(
-        *HOUR_PARTITIONS
-    ).parquet(root)
+    if files_per_hour is None:
+        spread = rows.hint("rebalance", *HOUR_PARTITIONS)
+    else:
+        spread = spread_by_hour(rows, files_per_hour, tasks)
+    spread.write.mode(mode).option("compression", "snappy").partitionBy(*HOUR_PARTITIONS).parquet(root)
+
+
+def append_by_date(plays: DataFrame, root: str, ts: str = "played_at", fallback: Column | None = None) -> None:
+    """Variant: append under event_date=, spread over the dates by size."""
+    dated = plays.withColumn("event_date", F.to_date(parse_iso_ts(ts, fallback)))
+    dated.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(root)
+
+
+def merged_scan(spark: SparkSession, root: str) -> DataFrame:
+    """All files of a folder whose loads had different columns; what a load lacks is null."""
+    return spark.read.option("mergeSchema", "true").parquet(root)
 
 
 def external_table_scan(spark: SparkSession, root: str, schema: T.StructType = PLAY_EVENT) -> DataFrame:

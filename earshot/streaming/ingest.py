@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import try_cast_ts
 from ..sources.events import dead_letters, parse_events
-from ..sources.tables import HOUR_PARTITIONS, with_hour_partitions
+from ..sources.tables import HOUR_PARTITIONS, spread_by_hour, with_hour_partitions
 
 
 def start_file_sink(
@@ -33,16 +33,20 @@ def run_to_end(query: StreamingQuery) -> None:
 
 
 def stream_bronze_ingest(
-    messages: DataFrame, root: str, checkpoint: str, every: str | None = "60 seconds", files_per_hour: int = 8
+    messages: DataFrame,
+    root: str,
+    checkpoint: str,
+    every: str | None = "60 seconds",
+    files_per_hour: int = 8,
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """JSON messages to hourly bronze files, every row under the hour of its own time.
 
     A batch writes at most ``files_per_hour`` files per hour, and the current
     hour, which holds nearly all of a batch, is written by as many tasks.
     """
-    rows = with_hour_partitions(parse_events(messages))
-    share = F.pmod(F.xxhash64("event_id", "user_id", "track_id", "played_at"), F.lit(files_per_hour))
-    return start_file_sink(rows.repartition(*HOUR_PARTITIONS, share), root, checkpoint, HOUR_PARTITIONS, every)
+    rows = spread_by_hour(with_hour_partitions(parse_events(messages)), files_per_hour, tasks)
+    return start_file_sink(rows, root, checkpoint, HOUR_PARTITIONS, every)
 
 
 def stream_dead_letters(messages: DataFrame, path: str, checkpoint: str, every: str | None = "60 seconds") -> StreamingQuery:
