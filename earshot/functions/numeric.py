@@ -45,9 +45,9 @@ def safe_divide(numerator: Column | str, denominator: Column | str) -> Column:
     return F.try_divide(_col(numerator), _col(denominator))
 
 
-def width_bucket(value: Column | str, low: float, high: float, buckets: int) -> Column:
-    """Bucket 1..n of equal width; 0 below ``low``, n + 1 from ``high`` on."""
-    return F.width_bucket(_col(value), F.lit(low), F.lit(high), F.lit(buckets))
+def width_bucket(value: Column | str, low, high, buckets) -> Column:
+    """Bucket 1..n of equal width; 0 below ``low``, n + 1 from ``high`` on. Bounds are numbers or columns."""
+    return F.width_bucket(_col(value), *[b if isinstance(b, Column) else F.lit(b) for b in (low, high, buckets)])
 
 
 def degrees_to_radians(degrees: Column | str) -> Column:

@@ -77,7 +77,7 @@ def neighbours(
     numbered = global_rank(df, [*keys, *order], "_no", unique)
     chunk = F.floor((F.col("_no") - 1) / chunk_rows)
     # The last row of a chunk serves the next one (lag), the first row the one before (lead).
-    edge = (F.col("_no") % chunk_rows) == (0 if offset == -1 else 1)
+    edge = (F.col("_no") if offset == -1 else F.col("_no") - 1) % chunk_rows == 0
     homes = F.when(edge, F.array(chunk, chunk - offset)).otherwise(F.array(chunk))
     spread = numbered.select("*", chunk.alias("_own"), F.explode(homes).alias("_chunk"))
     w = Window.partitionBy("_chunk").orderBy("_no")

@@ -107,11 +107,13 @@ def cardinality_equality(a: DataFrame, column: str, b: DataFrame, field: str) ->
 
 
 def _count_pairs(a: DataFrame, b: DataFrame, group_by: Sequence[str], name_a: str, name_b: str) -> DataFrame:
-    left = a.groupBy(*group_by).agg(F.count("*").alias(name_a)).select(*[F.col(g).alias(f"{g}_a") for g in group_by], name_a)
-    right = b.groupBy(*group_by).agg(F.count("*").alias(name_b)).select(*[F.col(g).alias(f"{g}_b") for g in group_by], name_b)
-    if not group_by:
-        one = F.lit(1)  # both sides hold exactly one row
-        return left.withColumn("_k", one).join(right.withColumn("_k", one), "_k", "full").drop("_k")
+    def counted(df: DataFrame, side: str, name: str) -> DataFrame:
+        out = df.groupBy(*group_by).agg(F.count("*").alias(name))
+        return out.select(*[F.col(g).alias(f"{g}_{side}") for g in group_by], name)
+
+    left, right = counted(a, "a", name_a), counted(b, "b", name_b)
+    if not group_by:  # one row each
+        return left.withColumn(name_b, right.scalar())
     return left.join(right, [F.col(f"{g}_a") == F.col(f"{g}_b") for g in group_by], "full")
 
 
