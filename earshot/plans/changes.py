@@ -280,13 +280,14 @@ def _stream_dedup(spark, sf):
 
 
 @query("stream_sessionize", with_tables("sessioned", gap=60) + """
-SELECT user_id, count(*) AS tracks_in_session, CAST(min(played_at) AS TIMESTAMPTZ) AS session_start,
-       CAST(max(played_at) AS TIMESTAMPTZ) AS session_end FROM sessioned GROUP BY user_id, session_id""")
+SELECT user_id, count(*) AS tracks_in_session, min(played_at) AS session_start,
+       max(played_at) AS session_end FROM sessioned GROUP BY user_id, session_id""")
 def _stream_sessionize(spark, sf):
     rows = bridge.silver(spark, sf).select("user_id", "track_id", F.col("played_at").cast("timestamp").alias("event_time"))
     stream, path = _play_stream(spark, rows)
     _close(spark, rows, path)
-    return _run(spark, ingest.stream_sessionize(stream, late="60 days"), "sessions")
+    closed = _run(spark, ingest.stream_sessionize(stream, late="60 days"), "sessions")
+    return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
 
 
 @query("stream_daily_counts", with_tables("daily") + """

@@ -69,10 +69,12 @@ def _data_range_per_user(spark, sf):
 
 
 @query("processed_at_profile", with_tables("silver") + """
-SELECT TIMESTAMPTZ '2024-01-31 00:00:00+00' AS earliest_processed, TIMESTAMPTZ '2024-01-31 00:00:00+00' AS latest_processed,
+SELECT TIMESTAMP '2024-01-31 00:00:00' AS earliest_processed, TIMESTAMP '2024-01-31 00:00:00' AS latest_processed,
        count(DISTINCT 1) AS unique_timestamps FROM silver""")
 def _processed_at_profile(spark, sf):
-    return profile.processed_at_profile(bridge.silver(spark, sf))
+    out = profile.processed_at_profile(bridge.silver(spark, sf))
+    moments = ("earliest_processed", "latest_processed")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in moments})
 
 
 @query("session_summary", with_tables("sessioned") + """

