@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-CHUNK_ROWS = 1_000_000
+CHUNK_ROWS = 200_000
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 

@@ -16,8 +16,8 @@ BLOCK_ITEMS = 1_000
 TOP_N = 50
 
 
-def session_items(plays: DataFrame, gap_minutes: int = GAP_MINUTES, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """(user, session, item) with its ``plays`` and ``blocks``, the number of blocks its session is cut into.
+def session_items(plays: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+    """Distinct (user, session, item) with its number of ``plays``.
 
     Plays are reduced to (user, minute, item) first. The session map is built
     from that same frame with all its columns in use, so both sides of the
@@ -27,41 +27,36 @@ def session_items(plays: DataFrame, gap_minutes: int = GAP_MINUTES, block_items:
         F.count("*").alias("plays")
     )
     found = session_minutes(per_minute, gap_minutes, ts="minute", plays=F.sum("plays"))
-    found = found.withColumn(
-        "blocks",
-        F.ceil(F.sum("rows").over(Window.partitionBy("user_id", "session_id")) / block_items).cast("int"),
-    ).select(F.col("user_id").alias("_user"), F.col("minute").alias("_minute"), "session_id", "blocks")
+    found = found.select(F.col("user_id").alias("_user"), F.col("minute").alias("_minute"), "session_id")
     here = (F.col("user_id") == F.col("_user")) & F.col("minute").eqNullSafe(F.col("_minute"))
-    return (
-        per_minute.join(found, here)
-        .groupBy("user_id", "session_id", *ITEM, "blocks")
-        .agg(F.sum("plays").alias("plays"))
-    )
+    return per_minute.join(found, here).groupBy("user_id", "session_id", *ITEM).agg(F.sum("plays").alias("plays"))
 
 
-def basket_items(
-    rows: DataFrame, user: str, basket: str, item: str, block_items: int = BLOCK_ITEMS
-) -> DataFrame:
+def basket_items(rows: DataFrame, user: str, basket: str, item: str) -> DataFrame:
     """The same shape from ready-made baskets (for example order lines)."""
-    items = rows.select(
+    name = F.col(item).cast("string")
+    return rows.groupBy(
         F.col(user).alias("user_id"),
         F.col(basket).alias("session_id"),
         F.col(item).alias("track_id"),
-    ).distinct()
-    sizes = items.groupBy("user_id", "session_id").agg(
-        F.ceil(F.count("*") / block_items).cast("int").alias("blocks")
-    )
-    return items.join(sizes, ["user_id", "session_id"]).select(
-        "user_id",
-        "session_id",
-        "track_id",
-        F.col("track_id").cast("string").alias("track_name"),
-        F.col("track_id").cast("string").alias("artist_name"),
-        "blocks",
-    )
+        name.alias("track_name"),
+        name.alias("artist_name"),
+    ).agg(F.count("*").alias("plays"))
+
+
+def _with_blocks(items: DataFrame, block_items: int) -> DataFrame:
+    """Adds ``blocks``: 1, or for a session of more items than a block ceil(items / block size).
+
+    Only such large sessions are looked up, and there is at most one per
+    ``block_items`` rows, so the table joined here is small next to the items.
+    """
+    session = ["user_id", "session_id"]
+    large = items.groupBy(*session).agg(F.count("*").alias("_items")).filter(F.col("_items") > block_items)
+    blocks = F.coalesce(F.ceil(F.col("_items") / block_items), F.lit(1)).cast("int")
+    return items.join(large, session, "left").withColumn("blocks", blocks).drop("_items")
 
 
-def session_pairs(items: DataFrame) -> DataFrame:
+def session_pairs(items: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Pairs of tracks heard in one session, the smaller id as ``track_a``.
 
     A session of n items is cut into b = ceil(n / block size) blocks, and each
@@ -69,11 +64,12 @@ def session_pairs(items: DataFrame) -> DataFrame:
     and is joined as it is; one with a third of all items becomes b * b keys
     of bounded size that spread over the cluster, each item sent to b of them.
     """
+    blocked = _with_blocks(items, block_items)
     block = F.pmod(F.hash(*ITEM), "blocks")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
 
     def side(tag: str, row, column) -> DataFrame:
-        return items.select(
+        return blocked.select(
             "user_id",
             "session_id",
             F.col("track_id").alias(f"track_{tag}_id"),

@@ -18,7 +18,7 @@ def session_minutes(
     ts: str = "played_at",
     plays: Column | None = None,
 ) -> DataFrame:
-    """(user, minute) to ``session_id``, with the number of ``rows`` in the minute.
+    """(user, minute) to ``session_id``.
 
     Gaps count minute boundaries, so every play of one minute is in the same
     session and sessions can be found on distinct minutes alone. Those are
@@ -31,7 +31,7 @@ def session_minutes(
     of the last one. ``plays`` counts them where a row stands for several.
     """
     minutes = rows.groupBy(F.col(user).alias("user_id"), trunc_to("minute", ts).alias("minute")).agg(
-        F.count("*").alias("rows"), (F.count("*") if plays is None else plays).alias("_plays")
+        (F.count("*") if plays is None else plays).alias("_plays")
     )
     w = Window.partitionBy("user_id").orderBy(F.col("minute").asc_nulls_last())
     gap = datediff_boundary("minute", F.lag("minute").over(w), F.col("minute"))
@@ -42,7 +42,7 @@ def session_minutes(
         .otherwise(0)
     )
     return minutes.withColumn("_starts", starts).select(
-        "user_id", "minute", F.sum("_starts").over(w).alias("session_id"), "rows"
+        "user_id", "minute", F.sum("_starts").over(w).alias("session_id")
     )
 
 

@@ -69,6 +69,11 @@ def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(silver(spark, sf_dir), "silver")
 
 
+def stored_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was heard in each session, as a written table."""
+    return materialize(recommend.session_items(silver(spark, sf_dir), WIDE_GAP), "items")
+
+
 def cooccurrence(spark: SparkSession, sf_dir: str, gap: int = WIDE_GAP, **options) -> DataFrame:
     return recommend.track_cooccurrence(silver(spark, sf_dir), gap, **options)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import dateadd
 from ..operators import gold, recommend, sessions
 from ..operators import silver as silver_ops
+from ..session import materialize
 from . import bridge
 from .bridge import AS_OF, WIDE_GAP, with_tables
 from .registry import query
@@ -97,13 +98,13 @@ def _clock_hour(spark, sf):
 
 @query("session_self_join", with_tables("pairs") + "SELECT * FROM pairs")
 def _session_self_join(spark, sf):
-    return recommend.session_pairs(recommend.session_items(bridge.silver(spark, sf), WIDE_GAP))
+    return recommend.session_pairs(bridge.stored_items(spark, sf))
 
 
 @query("distinct_pairs_count", with_tables("pairs") + """
 SELECT user_id, track_a_id, track_b_id, count(DISTINCT session_id) AS sessions_together FROM pairs GROUP BY 1, 2, 3""")
 def _distinct_pairs_count(spark, sf):
-    pairs = recommend.session_pairs(recommend.session_items(bridge.silver(spark, sf), WIDE_GAP))
+    pairs = recommend.session_pairs(bridge.stored_items(spark, sf))
     return pairs.groupBy("user_id", "track_a_id", "track_b_id").agg(F.count("*").alias("sessions_together"))
 
 
@@ -158,7 +159,8 @@ GROUP BY 1, 2, 3""")
 def _order_line_pairs(spark, sf):
     orders = bridge.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     lines = bridge.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").join(orders, "l_orderkey")
-    pairs = recommend.session_pairs(recommend.basket_items(lines, "o_custkey", "l_orderkey", "l_partkey"))
+    items = materialize(recommend.basket_items(lines, "o_custkey", "l_orderkey", "l_partkey"), "items")
+    pairs = recommend.session_pairs(items)
     return pairs.groupBy("user_id", "track_a_id", "track_b_id").agg(F.count("*").alias("sessions_together"))
 
 

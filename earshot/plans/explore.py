@@ -157,7 +157,7 @@ def _distinct_count(spark, sf):
 @query("pair_totals", with_tables("pairs") + """
 SELECT count(*) AS total_pairs, count(DISTINCT (user_id, session_id)) AS sessions_with_pairs FROM pairs""")
 def _pair_totals(spark, sf):
-    return profile.pair_totals(recommend.session_pairs(recommend.session_items(bridge.silver(spark, sf), WIDE_GAP)))
+    return profile.pair_totals(recommend.session_pairs(bridge.stored_items(spark, sf)))
 
 
 @query("cooccurrence_stats", with_tables("cooc") + """

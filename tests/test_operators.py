@@ -90,11 +90,19 @@ def test_blocks_give_the_same_pairs(spark):
     for items in baskets.values():
         for a, b in itertools.combinations(sorted(items), 2):
             want[(a, b)] += 1
+    items = recommend.basket_items(lines, "u", "b", "i")
     for size in (7, 50, 1000):
-        items = recommend.basket_items(lines, "u", "b", "i", block_items=size)
-        pairs = recommend.session_pairs(items).groupBy("track_a_id", "track_b_id").agg(F.count("*").alias("n"))
+        pairs = recommend.session_pairs(items, size).groupBy("track_a_id", "track_b_id").agg(F.count("*").alias("n"))
         assert {(r.track_a_id, r.track_b_id): r.n for r in pairs.collect()} == want
-    assert recommend.basket_items(lines, "u", "b", "i", 7).agg(F.max("blocks")).first()[0] > 10
+
+
+def test_blocks_follow_distinct_items(spark):
+    """A track played very often in one long session is still one item."""
+    plays = [play(f"{i:04d}", track=f"t{i % 5}", at=f"2024-01-01T{10 + i // 600}:{i // 10 % 60:02d}:{i % 10:02d}Z") for i in range(1200)]
+    items = recommend.session_items(silver_ops.silver_plays(bronze(spark, *plays)))
+    assert items.count() == 5
+    assert recommend._with_blocks(items, 5).agg(F.max("blocks")).first()[0] == 1
+    assert recommend._with_blocks(items, 2).agg(F.max("blocks")).first()[0] == 3
 
 
 def test_cooccurrence_scores(spark):
