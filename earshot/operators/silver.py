@@ -36,12 +36,11 @@ def dedup_first(plays: DataFrame, key=PLAY_KEY, order: Column | None = None) ->
     """One row per key, the one with the smallest event id.
 
     Spark drops all but the first row of each key before the shuffle
-    (WindowGroupLimit), so a key with very many copies stays cheap. The other
-    columns only settle ties between copies with the same id.
+    (WindowGroupLimit), so a key with very many copies stays cheap. Only key
+    and id are compared: columns a query does not use are neither read nor
+    shuffled. Copies with the same id are one event delivered again.
     """
-    lead = F.col("event_id").asc() if order is None else order
-    rest = [F.col(c).asc() for c in plays.columns if c not in key and c != "event_id"]
-    w = Window.partitionBy(*key).orderBy(lead, *rest)
+    w = Window.partitionBy(*key).orderBy(F.col("event_id").asc() if order is None else order)
     return plays.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
