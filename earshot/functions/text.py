@@ -117,6 +117,7 @@ def event_id_uuid5(user: Column | str, track: Column | str, played_at: Column |
 
 def reasoning_text(cooccurrence: Column | str, affinity: Column | str, sessions: Column | str) -> Column:
     """Sentence that explains a recommendation from its score bands."""
+    # The bands and the wording shown to listeners.
     co, aff = _col(cooccurrence), _col(affinity)
     often = F.when(co >= 0.8, "Frequently").when(co >= 0.5, "Often").otherwise("Sometimes")
     together = F.format_string("%s played together (%d sessions)", often, _col(sessions).cast("long"))

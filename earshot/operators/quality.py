@@ -343,6 +343,7 @@ def test_suite(
 # pytest must not take the operator for a test case.
 test_suite.__test__ = False
 
+# The declared column tests of the tables.
 SILVER_RULES = dict(
     unique_columns=["event_id"],
     not_null_columns=[

@@ -94,7 +94,7 @@ def track_change_report(detections: DataFrame, user: str = "user_id", ts: str =
     """
     order = [F.col(ts).asc_nulls_last(), F.col("track_id").asc()]
     prev = {"previous_track_id": F.col("track_id"), "previous_track_name": F.col("track_name")}
-    out = neighbours(detections, order, prev, [user])
+    out = neighbours(detections, order, prev, [user], unique=False)
     changed = F.col("track_id") != F.col("previous_track_id")
     return out.withColumn("change_status", F.when(changed, "TRACK CHANGE").otherwise("SAME TRACK"))
 
@@ -102,12 +102,12 @@ def track_change_report(detections: DataFrame, user: str = "user_id", ts: str =
 def track_changes(detections: DataFrame, user: str = "user_id", ts: str = "detected_at") -> DataFrame:
     """Only the detections that start a track: the first, and each that differs from the one before."""
     order = [F.col(ts).asc_nulls_last(), F.col("track_id").asc()]
-    out = neighbours(detections, order, {"_prev": F.col("track_id")}, [user])
+    out = neighbours(detections, order, {"_prev": F.col("track_id")}, [user], unique=False)
     return out.filter(F.col("_prev").isNull() | (F.col("track_id") != F.col("_prev"))).drop("_prev")
 
 
 def poll_latency(detections: DataFrame, user: str = "user_id", ts: str = "detected_at") -> DataFrame:
     """Seconds between detections of a user."""
     order = [F.col(ts).asc_nulls_last(), F.col("track_id").asc()]
-    out = neighbours(detections, order, {"previous_detection": F.col(ts)}, [user])
+    out = neighbours(detections, order, {"previous_detection": F.col(ts)}, [user], unique=False)
     return out.withColumn("seconds_since_last", datediff_boundary("second", "previous_detection", ts))

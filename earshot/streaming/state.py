@@ -51,7 +51,7 @@ def track_change_step(user: str = "user_id", ts: str = "detected_at") -> Step:
         fresh = batch.withColumn("_old", F.lit(0))
         known = fresh if state is None else fresh.unionByName(state.withColumn("_old", F.lit(1)))
         order = [F.col("_old").desc(), F.col(ts).asc_nulls_last(), F.col("track_id").asc()]
-        seen = neighbours(known, order, {"_prev": F.col("track_id")}, [user])
+        seen = neighbours(known, order, {"_prev": F.col("track_id")}, [user], unique=False)
         new = seen.filter("_old = 0")
         changes = new.filter(F.col("_prev").isNull() | (F.col("track_id") != F.col("_prev")))
         last = F.max_by(F.struct(*batch.columns), F.struct(-F.col("_old"), ts, "track_id"))
