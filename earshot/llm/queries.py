@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import captures, decontaminate, exact_dedup, html_text, lm_scores, mixing, near_dup, pii, quality, repeats, revisits
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -16,10 +16,47 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "expected_grade", "p_grade_1", "p_grade_2", F.col("selected").alias("kept"))
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(_table(spark, sf_dir, "pages"))
+
+
+def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve(captures.captures(_table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", F.to_json(F.map_from_entries(F.array_sort(F.map_entries("headers")))))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("key")
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.cut_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(_table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.PATTERNS]
+    base = F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, pii.span_text(F.col("spans")).alias("spans"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85, size=3).drop("key")
+
+
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -36,7 +73,10 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
 """
 
 QUERIES: dict[str, Plan] = {
-    "op4_mix_sources": op4_mix_sources,
-    "op10_exact_dedup": op10_exact_dedup,
+    plan.__name__: plan
+    for plan in (
+        op1_quality, op2_html_text, op3_revisits, op4_mix_sources, op5_repeats, op6_pii, op7_decontaminate, op8_near_dup, op9_lm_scores,
+        op10_exact_dedup,
+    )
 }
 SQL: dict[str, str] = {"op10_exact_dedup": OP10_SQL}
