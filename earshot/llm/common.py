@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 #: What separates words, and what a word is, in every operator.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,6 +27,15 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.unhex(F.md5(F.to_json(F.struct(F.col(doc_id).cast("string").alias("i"), F.col(text).alias("t")))))
 
 
-def without(docs: DataFrame, dropped: DataFrame, key: Column) -> DataFrame:
-    """Rows of ``docs`` whose key is not in ``dropped`` (one column ``_key``); columns as they were."""
-    return docs.withColumn("_key", key).join(dropped, "_key", "left_anti").drop("_key")
+def keep_rows(docs: DataFrame, verdicts: DataFrame, key: Column) -> DataFrame:
+    """Rows of ``docs`` whose key a verdict (``key, kept``) keeps; of repeated rows one. Columns as they were.
+
+    Only keys that are dropped are joined, and the step for repeated rows is
+    taken only where there are some.
+    """
+    per_key = verdicts.groupBy(F.col("key").alias("_key")).agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    per_key = materialize(per_key.filter(~F.col("kept") | (F.col("n") > 1)), "verdicts")
+    left = docs.withColumn("_key", key).join(per_key.filter(~F.col("kept")).select("_key"), "_key", "left_anti")
+    if not per_key.filter("kept").isEmpty():
+        left = left.dropDuplicates(["_key"])
+    return left.select(*docs.columns)

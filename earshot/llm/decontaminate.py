@@ -227,10 +227,11 @@ def _searching(items, least: float):
     return run
 
 
-def _clean(items, least: float, place: int):
+def _clean(items, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The last column is the text in lower case."""
         for batch in batches:
-            content, starts = byte_view(batch.column(place))
+            content, starts = byte_view(batch.column(batch.num_columns - 1))
             for first, last in slices(starts):
                 dirty = {found[0] for found in matches(content, starts[first : last + 1], items.value, least)}
                 kept = pa.array([k not in dirty for k in range(last - first)])
@@ -241,7 +242,7 @@ def _clean(items, least: float, place: int):
 
 def _item_blocks(benchmark: DataFrame, item_id: str, text: str, size: int) -> Iterator[Items]:
     """The benchmark in blocks of about ``size`` items, each small enough for every task."""
-    rows = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).filter("t IS NOT NULL")
+    rows = benchmark.select(F.col(item_id).cast("long").alias("i"), F.lower(F.col(text)).alias("t")).filter("t IS NOT NULL")
     count = rows.count()
     parts = -(-count // size)
     for part in range(parts):
@@ -257,7 +258,7 @@ def find_leaks(
 ) -> DataFrame:
     """One row per document and item found in it: ``doc_id, item_id, similarity, distance, first_word, n_words``.
 
-    Words are compared in lower case (A-Z) and without ASCII marks. The
+    Words are compared in lower case and without ASCII marks. The
     similarity is that of the weighted five-word shingles of the item and of
     the best window of its length; a window at a text's end may be shorter.
     Null and empty texts and items match nothing, repeated documents and items
@@ -266,7 +267,7 @@ def find_leaks(
     documents, and only a block's fingerprints are sent to the tasks.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.lower(F.col(text)).alias("text"))
     schema = "doc_id long, item_id long, similarity double, distance long, first_word long, n_words long"
     out = None
     for items in _item_blocks(benchmark, item_id, item_text, block):
@@ -280,9 +281,10 @@ def drop_leaks(
     block: int = ITEMS,
 ) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; columns as they were."""
-    names, schema = docs.columns, docs.schema
+    names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    plain = plain.withColumn(f"c{len(names)}", F.lower(F.col(f"c{names.index(text)}")))
     kind = plain.schema
     for items in _item_blocks(benchmark, item_id, item_text, block):
-        plain = plain.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(items), least, names.index(text)), kind)
-    return plain.toDF(*[f.name for f in schema.fields])
+        plain = plain.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(items), least), kind)
+    return plain.drop(f"c{len(names)}").toDF(*names)

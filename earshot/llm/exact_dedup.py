@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import SPACE, text_of
+from .common import SPACE, keep_rows, row_key, text_of
 
 #: A cut comes after one of these two-character ends, or after a CJK sentence mark.
 CUT_AFTER = r"(?<=[nrstlm][.,;:!?|]|[。、！？])"
@@ -57,7 +57,7 @@ def verified_words(docs: DataFrame, text: str = "text", words: int = WORDS, mask
 
 
 def chunk_recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, mask: int = -1) -> DataFrame:
-    """One row per document: ``row_no, doc_id, chars, text_sha256, recipe``, as a written table.
+    """One row per document: ``row_no, key, doc_id, chars, text_sha256, recipe``, as a written table.
 
     ``row_no`` tells repeated rows apart; ``chars`` counts the code points of
     the text as it came. Null texts count as empty and have an empty recipe.
@@ -66,6 +66,7 @@ def chunk_recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     short = normalised(text)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_no"),
+        row_key(doc_id, text).alias("key"),
         F.col(doc_id).alias("doc_id"),
         F.length(text_of(text)).cast("long").alias("chars"),
         F.sha2(short, 256).alias("text_sha256"),
@@ -77,7 +78,7 @@ def chunk_recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, mask: int = -1) -> DataFrame:
     """Every document with the one that stays for it.
 
-    Returns ``doc_id, keep_id, group_size, kept, text_sha256``. Texts are equal
+    Returns ``doc_id, keep_id, group_size, kept, text_sha256, key`` (``common.row_key``). Texts are equal
     without their white space; the longest original stays, then the smallest
     doc_id (null last), then the first of repeated rows, so exactly one row of
     a group is kept. Null texts are empty, and all empty texts are one group.
@@ -92,4 +93,10 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wo
         "group_size",
         (F.col("row_no") == F.col("best.r")).alias("kept"),
         "text_sha256",
+        "key",
     )
+
+
+def drop_exact_copies(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each group of equal texts; columns as they were."""
+    return keep_rows(docs, exact_groups(docs, **options).select("key", "kept"), row_key())

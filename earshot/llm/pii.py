@@ -70,7 +70,7 @@ def _matches(text: Column, kind: str, clue: Column) -> Column:
     )
     return F.zip_with(
         hits,
-        F.zip_with(short, F.slice(short, 2, F.greatest(F.size(short), F.lit(1))), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
+        F.zip_with(F.slice(short, F.lit(1), F.size(hits)), F.slice(short, F.lit(2), F.size(hits)), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
         lambda hit, gap: F.struct(
             F.lit(kind).alias("kind"), hit.alias("hit"), gap["a"]["n"].alias("gap"), gap["a"]["tail"].alias("before"), gap["b"]["head"].alias("after"),
             gap["b"]["n"].alias("room"),

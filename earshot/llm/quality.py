@@ -18,10 +18,13 @@ from pyspark.sql import types as T
 
 from .words import U, byte_view, mix, plain_letters, slices, word_hashes
 
-HASH_BITS = 18
+#: Words are known by so many bits of their hash; only those that tell something have a weight, so the model stays small.
+HASH_BITS = 40
 #: The model is fitted on at most so many labelled rows, chosen by a hash of their id.
 FIT_ROWS = 20_000
 GRADES = 3
+#: A word's mean grade must lie so many standard errors off the overall mean, over at least so many documents.
+TELLING, SUPPORT = 4.0, 5
 
 _LETTERS = plain_letters()
 
@@ -49,6 +52,9 @@ def _shape(content: np.ndarray, starts: np.ndarray, first: np.ndarray, hashes: n
 
     words = np.diff(first)
     distinct = np.array([len(np.unique(hashes[a:b])) for a, b in zip(first[:-1], first[1:])])
+    again = np.zeros(len(hashes) + 1, np.int64)
+    again[2:] = np.cumsum(hashes[1:] == hashes[:-1])
+    repeated = again[np.maximum(first[1:], first[:-1])] - again[np.minimum(first[:-1] + 1, first[1:])]
     figures = [
         share(of("ABCDEFGHIJKLMNOPQRSTUVWXYZ")) * 2,
         share(of("#$%&*@^~_=+<>/\\")) * 4,
@@ -60,6 +66,7 @@ def _shape(content: np.ndarray, starts: np.ndarray, first: np.ndarray, hashes: n
         np.minimum(size / np.maximum(words, 1), 16) / 16,
         np.log2(words + 1) / 16,
         distinct / np.maximum(words, 1),
+        repeated / np.maximum(words, 1) * 2,
     ]
     return np.minimum(np.sqrt(np.stack(figures, 1)) * 16, 15).astype(np.int64)
 
@@ -82,7 +89,7 @@ def _collected(bits: int):
             content, starts = byte_view(batch.column(2))
             for first, last in slices(starts):
                 found, begin = features(content, starts[first : last + 1], bits)
-                lists = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(found, pa.int32()))
+                lists = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(found, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(k).slice(first, last - first) for k in (0, 1)), lists], ["doc_id", "grade", "found"]
                 )
@@ -96,8 +103,9 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class OrdinalModel:
-    """Weights by feature number, and thresholds in rising order."""
+    """Weights of features by rising number, and thresholds in rising order."""
 
+    numbers: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
     bits: int
@@ -107,48 +115,54 @@ class OrdinalModel:
         return _logistic(scores[:, None] - self.thresholds[None, :])
 
     def scores(self, found: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0.0], np.cumsum(self.weights[found], dtype=np.float64)])
+        if not len(self.numbers):
+            return np.zeros(len(begin) - 1)
+        at = np.minimum(np.searchsorted(self.numbers, found), len(self.numbers) - 1)
+        own = np.where(self.numbers[at] == found, self.weights[at], 0.0)
+        total = np.concatenate([[0.0], np.cumsum(own)])
         return total[begin[1:]] - total[begin[:-1]]
 
 
+def _telling(numbers: np.ndarray, where: np.ndarray, grades: np.ndarray, telling: float, support: int) -> np.ndarray:
+    """Which features lie far enough off the mean grade, over enough documents."""
+    times = np.bincount(where, minlength=len(numbers))
+    off = np.bincount(where, grades - grades.mean(), len(numbers))
+    return (times >= support) & (np.abs(off) >= telling * max(grades.std(), 1e-9) * np.sqrt(times))
+
+
 def fit(
-    found: Sequence[np.ndarray], grades: np.ndarray, bits: int = HASH_BITS, levels: int = GRADES, epochs: int = 12, batch: int = 256,
-    rate: float = 0.1, sparsity: float = 2e-5,
+    found: Sequence[np.ndarray], grades: np.ndarray, bits: int = HASH_BITS, levels: int = GRADES, steps: int = 400, rate: float = 0.2,
+    decay: float = 1e-4, telling: float = TELLING, support: int = SUPPORT,
 ) -> OrdinalModel:
-    """Adagrad with soft thresholds on the log likelihood; the thresholds start at the grades' shares."""
-    weights = np.zeros(1 << bits)
-    seen = np.full(1 << bits, 1e-6)
+    """Most likely weights and thresholds by gradient steps over all rows (Adagrad, small L2), of the features that tell something."""
+    sizes = np.array([len(f) for f in found])
+    numbers, where = np.unique(np.concatenate(found), return_inverse=True)
+    row = np.repeat(np.arange(len(found)), sizes)
+    kept = _telling(numbers, where, np.repeat(grades, sizes), telling, support) if len(numbers) else np.zeros(0, bool)
+    place = np.cumsum(kept) - 1
+    use = kept[where]
+    row, where, numbers = row[use], place[where[use]], numbers[kept]
+    weights, seen = np.zeros(len(numbers)), np.full(len(numbers), 1e-8)
     shares = np.clip(np.cumsum(np.bincount(grades, minlength=levels))[:-1] / max(len(grades), 1), 1e-3, 1 - 1e-3)
-    cuts = np.log(shares / (1 - shares))
-    cuts = np.maximum.accumulate(cuts + np.arange(levels - 1) * 1e-3)
-    cut_seen = np.full(levels - 1, 1e-6)
-    random = np.random.default_rng(5)
-    for _ in range(epochs):
-        rows = random.permutation(len(grades))
-        for start in range(0, len(rows), batch):
-            own = rows[start : start + batch]
-            sizes = np.array([len(found[i]) for i in own])
-            items = np.concatenate([found[i] for i in own])
-            score = np.bincount(np.repeat(np.arange(len(own)), sizes), weights[items], len(own))
-            below = np.concatenate([np.zeros((len(own), 1)), _logistic(cuts[None, :] - score[:, None]), np.ones((len(own), 1))], 1)
-            k, row = grades[own], np.arange(len(own))
-            upper, lower = below[row, k + 1], below[row, k]
-            # d log P / d score = P(<= k) + P(<= k - 1) - 1
-            slope = upper + lower - 1
-            touched, where = np.unique(items, return_inverse=True)
-            step = np.bincount(where, np.repeat(slope, sizes), len(touched)) / len(own)
-            seen[touched] += step**2
-            pace = rate / np.sqrt(seen[touched])
-            moved = weights[touched] + pace * step
-            weights[touched] = np.sign(moved) * np.maximum(np.abs(moved) - pace * sparsity, 0)
-            chance = np.maximum(upper - lower, 1e-9)
-            dense = np.zeros((len(own), levels + 1))
-            dense[row, k + 1] += upper * (1 - upper) / chance
-            dense[row, k] -= lower * (1 - lower) / chance
-            cut_step = dense[:, 1:-1].mean(0)
-            cut_seen += cut_step**2
-            cuts = np.maximum.accumulate(cuts + rate * cut_step / np.sqrt(cut_seen) + np.arange(levels - 1) * 1e-9)
-    return OrdinalModel(weights.astype(np.float32), cuts, bits)
+    cuts = np.maximum.accumulate(np.log(shares / (1 - shares)) + np.arange(levels - 1) * 1e-3)
+    cut_seen = np.full(levels - 1, 1e-8)
+    every = np.arange(len(grades))
+    for _ in range(steps):
+        score = np.bincount(row, weights[where], len(grades))
+        below = np.concatenate([np.zeros((len(grades), 1)), _logistic(cuts[None, :] - score[:, None]), np.ones((len(grades), 1))], 1)
+        upper, lower = below[every, grades + 1], below[every, grades]
+        # d log P / d score = P(<= k) + P(<= k - 1) - 1
+        step = np.bincount(where, (upper + lower - 1)[row], len(numbers)) / len(grades) - decay * weights / max(len(numbers), 1)
+        seen += step**2
+        weights += rate * step / np.sqrt(seen)
+        chance = np.maximum(upper - lower, 1e-9)
+        dense = np.zeros((len(grades), levels + 1))
+        dense[every, grades + 1] += upper * (1 - upper) / chance
+        dense[every, grades] -= lower * (1 - lower) / chance
+        cut_step = dense[:, 1:-1].mean(0)
+        cut_seen += cut_step**2
+        cuts = np.maximum.accumulate(cuts + rate * cut_step / np.sqrt(cut_seen) + np.arange(levels - 1) * 1e-9)
+    return OrdinalModel(numbers, weights, cuts, bits)
 
 
 def train(
@@ -164,7 +178,7 @@ def train(
     chosen = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     # At most fit_rows rows of two numbers.
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("doc_id", "grade", "text").mapInArrow(_collected(bits), "doc_id long, grade int, found array<int>")
+    rows = texts.select("doc_id", "grade", "text").mapInArrow(_collected(bits), "doc_id long, grade int, found array<long>")
     table = rows.dropDuplicates(["doc_id"]).toArrow()
     if not table.num_rows:
         return None

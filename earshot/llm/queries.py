@@ -58,7 +58,7 @@ def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_groups(_table(spark, sf_dir, "documents")).drop("key")
 
 
 OP10_SQL = r"""
