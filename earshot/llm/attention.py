@@ -21,11 +21,12 @@ HEAD, BANDS = 56, 8
 
 @dataclass(frozen=True)
 class Classes:
-    """How ids become inputs and classes, and the natural log of an id's chance within its class."""
+    """How ids become inputs and classes, and the natural logs of an id's chance within its class and of a class's chance."""
 
     inputs: np.ndarray
     classes: np.ndarray
     within: np.ndarray
+    mass: np.ndarray
 
     @property
     def start(self) -> int:
@@ -51,7 +52,8 @@ def make_classes(counts: np.ndarray) -> Classes:
     classes, within = np.empty(size, np.int64), np.empty(size)
     classes[order] = by_rank
     within[order] = np.log(weight / total[by_rank])
-    return Classes(inputs.astype(np.int64), classes, within)
+    mass = np.log(np.maximum(total, 1e-3) / total.sum())
+    return Classes(inputs.astype(np.int64), classes, within, mass)
 
 
 SHAPES = {
@@ -60,12 +62,16 @@ SHAPES = {
 }
 
 
-def new_parameters(seed: int = 3) -> dict[str, np.ndarray]:
+def new_parameters(mass: np.ndarray | None = None, seed: int = 3) -> dict[str, np.ndarray]:
+    """Small random numbers; with ``mass`` the model begins as the classes' own frequencies, whatever the context."""
     random = np.random.default_rng(seed)
     made = {}
     for name, shape in SHAPES.items():
         scale = 0 if name in ("far", "prior") else 0.3 if name == "embed" else 1 / np.sqrt(shape[0])
         made[name] = (random.standard_normal(shape) * scale).astype(np.float32)
+    if mass is not None:
+        made["last"][:] = 0
+        made["prior"][:] = mass
     return made
 
 

@@ -192,14 +192,14 @@ def _scoring(shared, path: str):
                     asked = where[part, scored]
                     found = att.log_chances(p, inputs[where[part]], exists[part], targets[asked], tables)
                     sums = np.where(exists[part, scored], found, 0).sum(1, dtype=np.float64)
-                    total += np.bincount(owner[part], sums, high - low)
+                    total = total + np.bincount(owner[part], sums, high - low)
                 # Words in the table of frequent ones are settled here, the rest goes on with its hash.
                 signed = hashes.view(np.int64)
                 row = np.repeat(np.arange(high - low), np.diff(first))
                 if len(words):
                     found_at = np.minimum(np.searchsorted(words, signed), len(words) - 1)
                     known = words[found_at] == signed
-                    known_logs = np.bincount(row[known], logs[found_at[known]], high - low)
+                    known_logs = np.bincount(row[known], logs[found_at[known]], high - low).astype(np.float64)
                 else:
                     known, known_logs = np.zeros(len(signed), bool), np.zeros(high - low)
                 known_count = np.bincount(row[known], minlength=high - low)
@@ -228,7 +228,7 @@ def count_tokens(training: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame
 
 def train(training: DataFrame, classes: att.Classes, vocabulary: str = VOCABULARY, rounds: int = ROUNDS, rate: float = 0.01) -> np.ndarray:
     """Flat parameters of the attention model after some rounds over ``training`` (text, salt)."""
-    parameters = att.flat(att.new_parameters())
+    parameters = att.flat(att.new_parameters(classes.mass))
     for turn in range(rounds):
         shared = training.sparkSession.sparkContext.broadcast((parameters, classes))
         sums = training.mapInArrow(_training(shared, vocabulary, turn, rate / (turn + 1)), "place int, value double")
@@ -267,11 +267,14 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = FREQUEN
     salted = learnt.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(EACH)).alias("salt"))
     parameters = train(salted, classes, vocabulary, rounds)
 
+    ends = words.filter(F.col("key") == int(END)).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("c")).first().c
+    ground = math.log10(total.n + total.v + 1)
+
     # No more than ``frequent`` words can have a share of 1 / frequent.
     often = words.filter((F.col("count") >= total.n / frequent) & (F.col("key") != int(END))).select("key", "count").toArrow()
     keys, times = (often[c].to_numpy() for c in ("key", "count"))
     order = np.argsort(keys)
-    shared = context.broadcast((parameters, classes, keys[order], np.log10(times[order] + 1.0)))
+    shared = context.broadcast((parameters, classes, keys[order], np.log10(times[order] + 1.0) - ground))
     numbered = rows.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "text")
     scored = numbered.mapInArrow(
         _scoring(shared, vocabulary),
@@ -281,9 +284,9 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = FREQUEN
 
     rare = scored.select("row_no", F.explode("rare").alias("key"))
     seldom = words.filter(F.col("count") < total.n / frequent).select("key", "count")
-    found = rare.join(seldom, "key").groupBy("row_no").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("count") + 1.0)).alias("more_logs"))
-    ends = words.filter(F.col("key") == int(END)).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("c")).first().c
-    ground = math.log10(total.n + total.v + 1)
+    found = rare.join(seldom, "key").groupBy("row_no").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("count") + 1.0) - ground).alias("more_logs"))
+    # Each known word is summed as its chance, not as its count: equal parts of two long sums would cost digits.
+    known = F.col("known") + F.coalesce("more", F.lit(0))
     return (
         scored.drop("rare")
         .join(found, "row_no", "left")
@@ -291,9 +294,9 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = FREQUEN
             "doc_id",
             held_out("doc_id").alias("held_out"),
             "n_tokens",
-            (F.col("known") + F.coalesce("more", F.lit(0)) + int(ends > 0)).alias("n_known"),
+            (known + int(ends > 0)).alias("n_known"),
             F.lit(int(total.n)).cast("long").alias("train_tokens"),
-            (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) + math.log10(ends + 1) - F.col("n_tokens") * ground).alias("base_score"),
+            (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) + (math.log10(ends + 1) - ground) - (F.col("n_tokens") - 1 - known) * ground).alias("base_score"),
             "score",
         )
     )
