@@ -38,9 +38,11 @@ def split_part(text: Column | str, delimiter: str, n: int) -> Column:
 
 def slugify(text: Column | str) -> Column:
     """Lower-case identifier: blanks and dashes to ``_``, the rest dropped, no leading digit."""
-    joined = F.regexp_replace(F.lower(_col(text)), "[ -]+", "_")
-    kept = F.regexp_replace(joined, "[^a-z0-9_]+", "")
-    return F.regexp_replace(kept, "^([0-9])", "_$1")
+    # What is joined, what is dropped, what may not lead.
+    slug = F.lower(_col(text))
+    for found, put in (("[ -]+", "_"), ("[^a-z0-9_]+", ""), ("^([0-9])", "_$1")):
+        slug = F.regexp_replace(slug, found, put)
+    return slug
 
 
 def slugify_name(text: str) -> str:
@@ -64,10 +66,10 @@ def get_url_host(url: Column | str) -> Column:
 
 
 def get_url_path(url: Column | str) -> Column:
-    """What follows the first slash, without the query string."""
-    bare = _without(_col(url), URL_SCHEMES[1:])
-    cut = F.coalesce(F.nullif(F.instr(bare, "/"), F.lit(0)), F.instr(bare, "?") - 1)
-    return split_part(right(bare, F.length(bare) - cut), "?", 1)
+    """What follows the first slash up to the query; empty where only a query follows, all of it where nothing does."""
+    bare = F.regexp_replace(_col(url), "https?://", "")
+    after_host = r"^(?:[^/]*/([^?]*)|[^?]*\?|(.*)$)"
+    return F.concat(*[F.regexp_extract(bare, after_host, group) for group in (1, 2)])
 
 
 def get_url_parameter(url: Column | str, parameter: str) -> Column:

@@ -10,14 +10,29 @@ from .ordering import global_rank
 
 
 def daily_user_stats(silver: DataFrame, with_minutes: bool = False) -> DataFrame:
-    """Plays, listening time, distinct tracks and artists per user and day."""
+    """Plays, listening time, distinct tracks and artists per user and day.
+
+    Plays are summed per track first, which also bounds what a heavy user
+    sends on; distinct names are then counted among the sums.
+    """
+    per_track = silver.groupBy(F.to_date("played_at").alias("date"), "user_id", "track_id", "artist_name").agg(
+        F.count("*").alias("_n"), F.sum("duration_ms").alias("_ms")
+    )
+    # Each sum counts once with its track and once with its artist, so both kinds of name are made distinct together.
+    track, artist = (F.struct(F.lit(k).alias("kind"), F.col(c).alias("name")) for k, c in (("t", "track_id"), ("a", "artist_name")))
+    per_name = (
+        per_track.select("date", "user_id", "_n", "_ms", F.inline(F.array(track, artist)))
+        .groupBy("date", "user_id", "kind", "name")
+        .agg(F.sum("_n").alias("_n"), F.sum("_ms").alias("_ms"))
+    )
+    by_track = F.col("kind") == "t"
     out = (
-        silver.groupBy(F.to_date("played_at").alias("date"), "user_id")
+        per_name.groupBy("date", "user_id")
         .agg(
-            F.count("*").alias("total_plays"),
-            F.sum("duration_ms").alias("total_listening_time_ms"),
-            F.countDistinct("track_id").alias("unique_tracks"),
-            F.countDistinct("artist_name").alias("unique_artists"),
+            F.sum(F.when(by_track, F.col("_n"))).alias("total_plays"),
+            F.sum(F.when(by_track, F.col("_ms"))).alias("total_listening_time_ms"),
+            F.count(F.when(by_track, F.col("name"))).alias("unique_tracks"),
+            F.count(F.when(~by_track, F.col("name"))).alias("unique_artists"),
         )
         .withColumn(
             "avg_track_duration_ms",
@@ -78,6 +93,17 @@ def device_usage(silver: DataFrame) -> DataFrame:
     )
 
 
+def table_keys(silver: DataFrame) -> dict[str, DataFrame]:
+    """The keys of each aggregated table, as many as it has rows: enough to count them without building or ranking."""
+    keys = {
+        "daily_user_stats": [F.to_date("played_at").alias("date"), "user_id"],
+        "top_tracks": ["track_id", "track_name", "artist_name", "album_name"],
+        "top_artists": ["artist_name"],
+        "device_usage": ["device_type"],
+    }
+    return {name: silver.select(*own).distinct() for name, own in keys.items()}
+
+
 def track_popularity(silver: DataFrame) -> DataFrame:
     """Plays, distinct listeners and mean duration per track."""
     return silver.groupBy("track_id", "track_name", "artist_name").agg(

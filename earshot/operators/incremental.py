@@ -8,8 +8,9 @@ folder and points the table there, so a table is never overwritten while read.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -32,18 +33,22 @@ def merge(
     update_columns: Sequence[str] | None = None,
     exclude_columns: Sequence[str] | None = None,
     predicate: Column | None = None,
+    order_by: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Upsert: matched rows take the update columns from the source, new keys are added.
 
     One full join, so each side is shuffled once. Without keys every source
     row is added. Target rows outside ``predicate`` (for example old
-    partitions) are passed through and never shuffled.
+    partitions) are passed through and never shuffled. A source that holds a
+    key more than once is refused, or, with ``order_by``, gives the first of
+    its rows along that order. Null keys match nothing and may repeat.
     """
     if update_columns and exclude_columns:
         raise ValueError("give either update_columns or exclude_columns, not both")
     source = source.select(*target.columns)
     if not keys:
         return target.unionByName(source)
+    source = _one_per_key(source, keys, order_by)
     excluded = {c.lower() for c in exclude_columns or ()}
     updated = set(update_columns) if update_columns else {c for c in target.columns if c.lower() not in excluded}
     inside = None if predicate is None else F.coalesce(predicate, F.lit(False))
@@ -61,6 +66,18 @@ def merge(
     return merged if inside is None else merged.unionByName(target.filter(~inside))
 
 
+def _one_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[Column] | None) -> DataFrame:
+    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    if order_by is not None:
+        w = Window.partitionBy(*keys).orderBy(*order_by)
+        first = source.filter(whole).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        return first.unionByName(source.filter(~whole))
+    repeated = source.filter(whole).groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"the source holds a key of {list(keys)} more than once; give order_by to choose a row")
+    return source
+
+
 def delete_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], predicate: Column | None = None) -> DataFrame:
     """Target rows whose key the source does not hold."""
     gone = source.select(*keys).distinct()
@@ -94,9 +111,10 @@ def insert_overwrite(target: DataFrame, source: DataFrame, predicate: Column | N
 
 
 def overwrite_partitions(source: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Write, replacing only the partitions the source holds rows for."""
+    """Write, replacing only the partitions the source holds rows for; files follow the partitions' sizes."""
     (
-        source.write.mode("overwrite")
+        source.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)

@@ -44,9 +44,15 @@ def source_freshness(df: DataFrame, loaded_at: str, as_of: str | None = None, wh
     return rows.agg(F.max(loaded_at).alias("max_loaded_at")).withColumn("snapshotted_at", _moment(as_of))
 
 
-def test_results(results: DataFrame, last: int = 10) -> DataFrame:
-    """None of the latest test results failed."""
-    latest = results.orderBy(F.col("executed_at").desc(), "test_name").limit(last)
+def test_results(results: DataFrame, run: str = "executed_at", last: int | None = None) -> DataFrame:
+    """No result of the newest run failed; its results share the largest ``run``. An empty log passes.
+
+    With ``last`` only so many results, newest first, are judged instead.
+    """
+    if last is None:
+        latest = results.filter(F.col(run) == results.agg(F.max(run)).scalar())
+    else:
+        latest = results.orderBy(F.col("executed_at").desc(), "test_name").limit(last)
     one = latest.agg(F.count_if(F.col("status") == "fail").alias("failed"))
     return _verdict(one, "test_results", F.col("failed"), F.lit(0), F.col("failed") == 0)
 

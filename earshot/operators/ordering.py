@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
@@ -91,3 +92,38 @@ def neighbours(
     for i, g in enumerate(group):
         same = same & F.col(g).eqNullSafe(F.col(f"_seen._g{i}"))
     return seen.select(*df.columns, *[F.when(same, F.col(f"_seen.{n}")).alias(n) for n in shifted])
+
+
+def natural_bucket(df: DataFrame, column: str) -> Column | None:
+    """Hours of a time, months of a date, runs of 4,096 of a whole number; None for a type without such steps."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("hour", column)
+    if isinstance(kind, T.DateType):
+        return F.date_trunc("month", column)
+    return F.shiftright(F.col(column).cast("long"), 12) if isinstance(kind, T.IntegralType) else None
+
+
+def neighbours_in_buckets(
+    df: DataFrame, order: Sequence[Column], bucket: Column, shifted: dict[str, Column], group: Sequence[str] = (), offset: int = -1
+) -> DataFrame:
+    """``lag`` (offset -1) or ``lead`` (offset 1) inside ``group`` along rising ``order``, nulls last.
+
+    ``bucket`` must rise with the order. Rows are shuffled once, by group and
+    bucket, so a large group is cut by its buckets. What a bucket hands to the
+    next one is one row, taken by an aggregate before its shuffle.
+    """
+    if offset not in (-1, 1):
+        raise ValueError("offset must be -1 or 1")
+    keyed = df.withColumn("_key", F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(group)], bucket.alias("bucket")))
+    payload = F.struct(*[expr.alias(name) for name, expr in shifted.items()])
+    inside = Window.partitionBy("_key").orderBy(*[c.asc_nulls_last() for c in order])
+    seen = keyed.withColumn("_near", (F.lag if offset == -1 else F.lead)(payload).over(inside))
+    place = F.struct(*[F.struct(c.isNull(), c) for c in order])
+    edge = F.max_by(payload, place) if offset == -1 else F.min_by(payload, place)
+    edges = keyed.groupBy("_key").agg(edge.alias("_edge"))
+    along = Window.partitionBy(*[F.col(f"_key.g{i}") for i in range(len(group))]).orderBy(F.col("_key.bucket").asc_nulls_last())
+    handed = edges.select("_key", (F.lag if offset == -1 else F.lead)("_edge").over(along).alias("_handed"))
+    joined = seen.join(handed, "_key")
+    found = F.coalesce("_near", "_handed")
+    return joined.select(*df.columns, *[found.getField(name).alias(name) for name in shifted])

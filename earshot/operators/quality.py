@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import dateadd
-from .ordering import neighbours
+from .ordering import natural_bucket, neighbours, neighbours_in_buckets
 from .reshape import except_sets
 
 
@@ -96,14 +96,18 @@ def at_least_one(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> Da
     return df.groupBy(*group_by).agg(F.count(column).alias("filler_column")).filter("filler_column = 0")
 
 
+def _by_side(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows of both frames with how often each side has them (``_a``, ``_b``), by one aggregate."""
+    both = a.select("*", F.lit(1).alias("_left")).unionAll(b.select("*", F.lit(0).alias("_left")))
+    return both.groupBy(*a.columns).agg(F.sum("_left").alias("_a"), F.sum(1 - F.col("_left")).alias("_b"))
+
+
 def cardinality_equality(a: DataFrame, column: str, b: DataFrame, field: str) -> DataFrame:
     """Values whose row counts differ between two tables."""
 
-    def counted(df: DataFrame, c: str) -> DataFrame:
-        return df.groupBy(F.col(c).alias("value_field")).agg(F.count("*").alias("num_rows"))
-
-    left, right = counted(a, column), counted(b, field)
-    return left.subtract(right).unionAll(right.subtract(left))
+    counted = _by_side(a.select(F.col(column).alias("value_field")), b.select(F.col(field).alias("value_field")))
+    sides = F.filter(F.array("_a", "_b"), lambda n: n > 0)
+    return counted.filter("_a <> _b").select("value_field", F.explode(sides).alias("num_rows"))
 
 
 def _count_pairs(a: DataFrame, b: DataFrame, group_by: Sequence[str], name_a: str, name_b: str) -> DataFrame:
@@ -139,12 +143,8 @@ FEWER_ROWS_FAILURES = "sum(coalesce(row_count_delta, 0))"
 def equality(a: DataFrame, b: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows only one of the tables has, labelled by side."""
     columns = list(columns or a.columns)
-    left, right = a.select(*columns), b.select(*columns)
-    return (
-        except_sets(left, right)
-        .select(F.lit("a_minus_b").alias("which_diff"), "*")
-        .unionAll(except_sets(right, left).select(F.lit("b_minus_a").alias("which_diff"), "*"))
-    )
+    counted = _by_side(a.select(*columns), b.select(*columns)).filter("_a = 0 or _b = 0")
+    return counted.select(F.when(F.col("_a") > 0, "a_minus_b").otherwise("b_minus_a").alias("which_diff"), *columns)
 
 
 EQUALITY_FAILURES = (
@@ -176,14 +176,12 @@ def mutually_exclusive_ranges(
     part = [F.col(partition_by).alias("partition_by_col")] if partition_by else []
     ranges = df.select(*part, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"))
     order = [F.col("lower_bound").asc_nulls_last(), F.col("upper_bound").asc_nulls_last()]
-    seen = neighbours(
-        ranges,
-        order,
-        {"next_lower_bound": F.col("lower_bound"), "_has_next": F.lit(True)},
-        ["partition_by_col"] if partition_by else (),
-        offset=1,
-        unique=False,
-    )
+    shifted = {"next_lower_bound": F.col("lower_bound"), "_has_next": F.lit(True)}
+    group, bucket = ["partition_by_col"] if partition_by else [], natural_bucket(ranges, "lower_bound")
+    if bucket is None:
+        seen = neighbours(ranges, order, shifted, group, offset=1, unique=False)
+    else:
+        seen = neighbours_in_buckets(ranges, [F.col("lower_bound"), F.col("upper_bound")], bucket, shifted, group, offset=1)
     lo, hi = F.col("lower_bound"), F.col("upper_bound")
     filled = F.coalesce(lo <= hi if zero_length_range_allowed else lo < hi, F.lit(False))
     apart = F.coalesce(meets[gaps](hi, F.col("next_lower_bound")), F.col("_has_next").isNull())
@@ -230,8 +228,11 @@ def sequential_values(
     """Values that are not their predecessor plus the interval; the first passes."""
     previous = f"previous_{column}"
     rows = df.select(*group_by, column)
-    order = [F.col(column).asc_nulls_last()]
-    seen = neighbours(rows, order, {previous: F.col(column)}, list(group_by), unique=False)
+    bucket = natural_bucket(rows, column)
+    if bucket is None:
+        seen = neighbours(rows, [F.col(column).asc_nulls_last()], {previous: F.col(column)}, list(group_by), unique=False)
+    else:
+        seen = neighbours_in_buckets(rows, [F.col(column)], bucket, {previous: F.col(column)}, list(group_by))
     due = dateadd(datepart, interval, F.col(previous)) if datepart else F.col(previous) + interval
     return seen.filter(_broken(F.col(column) == due))
 
@@ -261,9 +262,11 @@ def contract_check(df: DataFrame, declared: T.StructType) -> DataFrame:
 
 def unit_diff(actual: DataFrame, expected: DataFrame) -> DataFrame:
     """Rows (with their multiplicity) that only one side has, labelled."""
-    expected = expected.select(*actual.columns)
-    only_actual = actual.exceptAll(expected).withColumn("actual_or_expected", F.lit("actual"))
-    return only_actual.unionByName(expected.exceptAll(actual).withColumn("actual_or_expected", F.lit("expected")))
+    counted = _by_side(actual, expected.select(*actual.columns)).filter("_a <> _b")
+    side = F.when(F.col("_a") > F.col("_b"), "actual").otherwise("expected")
+    # A row for each time that one side has it more often than the other.
+    times = F.explode(F.sequence(F.lit(1), F.abs(F.col("_a") - F.col("_b"))))
+    return counted.select(*actual.columns, side.alias("actual_or_expected"), times.alias("_n")).drop("_n")
 
 
 @dataclass

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import dateadd, trunc_to
@@ -294,18 +294,66 @@ def recommend_for_track(
     seeds = cooc.filter(F.col("track_a_id") == track_id)
     if user_id is not None:
         seeds = seeds.filter(F.col("user_id") == user_id)
-    scored = score_candidates(seeds, affinity)
+    return best_for_track(score_candidates(seeds, affinity), track_id, user_id, limit)
+
+
+def store_scored(scored: DataFrame, path: str, parts: int = 16) -> None:
+    """Scored pairs as files for lookups: folders by a hash of the user, sorted by source track inside.
+
+    A lookup's filter on the track then skips most row groups by their
+    statistics, one on the user all other folders. Large folders are split.
+    """
+    placed = scored.withColumn("part", F.pmod(F.xxhash64("user_id"), F.lit(parts)).cast("int"))
+    spread = placed.hint("rebalance", "part").sortWithinPartitions("part", "track_a_id")
+    spread.write.partitionBy("part").parquet(path)
+
+
+def stored_scored(spark: SparkSession, path: str, user_id: str | None = None, parts: int = 16) -> DataFrame:
+    """What :func:`store_scored` wrote, of one user if given."""
+    rows = spark.read.parquet(path)
+    if user_id is not None:
+        folder = F.pmod(F.xxhash64(F.lit(user_id)), F.lit(parts)).cast("int")
+        rows = rows.filter((F.col("part") == folder) & (F.col("user_id") == user_id))
+    return rows.drop("part")
+
+
+#: What a lookup says of a track that has no recommendations.
+UNKNOWN = "Unknown"
+NO_HISTORY = "No recommendations available yet. This track needs more listening history."
+
+
+def best_for_track(scored: DataFrame, track_id: str, user_id: str | None = None, limit: int = 10) -> DataFrame:
+    """The first ``limit`` scored pairs of a source track, with their reasons."""
+    if not 1 <= limit <= 50:
+        raise ValueError("limit must be between 1 and 50")
+    scored = scored.filter(F.col("track_a_id") == track_id)
+    if user_id is not None:
+        scored = scored.filter(F.col("user_id") == user_id)
     reason = reasoning_text("cooccurrence_score", "artist_affinity_score", "sessions_together")
     order = [F.col("recommendation_score").desc(), "user_id", "track_b_id", "track_b_name", "track_b_artist"]
     return scored.select("*", reason.alias("reasoning")).orderBy(*order).limit(limit)
 
 
-def recommend_batch_response(cooc: DataFrame, affinity: DataFrame, limit: int = 10) -> DataFrame:
+def track_answer(scored: DataFrame, track_id: str, user_id: str | None = None, limit: int = 10) -> DataFrame:
+    """One row: the track, its recommendations in order, and a message where it has none."""
+    order = F.struct((-F.col("recommendation_score")).alias("_rank"), "user_id", "track_b_id", "track_b_name", "cooccurrence_score", "reasoning")
+    best = best_for_track(scored, track_id, user_id, limit)
+    return best.agg(
+        F.coalesce(F.min("track_a_name"), F.lit(UNKNOWN)).alias("track_name"),
+        F.coalesce(F.min("track_a_artist"), F.lit(UNKNOWN)).alias("artist_name"),
+        F.transform(F.array_sort(F.collect_list(order)), lambda r: r.dropFields("_rank")).alias("recommendations"),
+        F.count("*").alias("total_recommendations"),
+    ).select(
+        F.lit(track_id).alias("track_id"), "*", F.when(F.col("total_recommendations") == 0, NO_HISTORY).alias("message")
+    )
+
+
+def recommend_batch_response(cooc: DataFrame, affinity: DataFrame | None = None, limit: int = 10) -> DataFrame:
     """The answer for every (user, track) at once: one row with an array of recommendations.
 
     The lookup table a serving layer reads; each array holds at most ``limit`` entries.
     """
-    scored = score_candidates(cooc, affinity)
+    scored = cooc if affinity is None else score_candidates(cooc, affinity)
     source = ["user_id", "track_a_id"]
     order = [F.col("recommendation_score").desc(), "track_b_id", "track_b_name", "track_b_artist", "track_a_name"]
     w = Window.partitionBy(*source).orderBy(*order)
@@ -334,13 +382,14 @@ def latest_row(df: DataFrame, ts: str, *ties: str) -> DataFrame:
     return df.orderBy(F.col(ts).desc(), *ties).limit(1)
 
 
-def recommend_for_current(current: DataFrame, cooc: DataFrame, affinity: DataFrame, limit: int = 10) -> DataFrame:
-    """Recommendations for the track playing now."""
+def recommend_for_current(current: DataFrame, cooc: DataFrame, affinity: DataFrame | None = None, limit: int = 10) -> DataFrame:
+    """Recommendations for the track playing now; without ``affinity``, ``cooc`` are pairs that are scored already."""
     # A single row by construction, so it may be broadcast.
     now = latest_row(current, "detected_at", "user_id", "track_id").select("user_id", F.col("track_id").alias("track_a_id"))
     seeds = cooc.join(F.broadcast(now), ["user_id", "track_a_id"], "left_semi")
     order = [F.col("recommendation_score").desc(), "track_b_id", "track_b_name", "track_b_artist"]
-    return score_candidates(seeds, affinity).orderBy(*order).limit(limit)
+    scored = seeds if affinity is None else score_candidates(seeds, affinity)
+    return scored.orderBy(*order).limit(limit)
 
 
 def recommendation_coverage(cooc: DataFrame, silver: DataFrame) -> DataFrame:

@@ -90,6 +90,14 @@ def column_values(
     return ordered if max_records is None else ordered.limit(max_records)
 
 
+def pivot_values(
+    df: DataFrame, column: str, where: Column | str | None = None, max_records: int = 1000, default: Sequence = ()
+) -> list:
+    """The most frequent values as a list, at most ``max_records`` of them; ``default`` where there is none."""
+    found = [r.value for r in column_values(df.filter(F.col(column).isNotNull()), column, where, max_records).collect()]
+    return found or list(default)
+
+
 def unpivot(
     df: DataFrame,
     cast_to: str = "string",

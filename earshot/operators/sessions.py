@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import datediff_boundary, trunc_to
-from .ordering import neighbours
+from .ordering import neighbours_in_buckets
 
 GAP_MINUTES = 60
 
@@ -60,12 +60,14 @@ def clock_hour_sessions(plays: DataFrame, ts: str = "played_at") -> DataFrame:
     return plays.withColumn("session_id", trunc_to("hour", ts))
 
 
-def session_summary(sessionized: DataFrame, name_chars: int = 30) -> DataFrame:
+def session_summary(sessionized: DataFrame, name_chars: int | None = None) -> DataFrame:
     """Size, start, end, length and track names per session.
 
-    Names are made distinct before they meet, so the list holds each once.
+    Names are made distinct before they meet, so the list holds each once;
+    with ``name_chars`` only so many characters of them count.
     """
-    per_name = sessionized.groupBy("user_id", "session_id", F.left("track_name", F.lit(name_chars)).alias("_name")).agg(
+    name = F.col("track_name") if name_chars is None else F.left("track_name", F.lit(name_chars))
+    per_name = sessionized.groupBy("user_id", "session_id", name.alias("_name")).agg(
         F.count("*").alias("_n"), F.min("played_at").alias("_lo"), F.max("played_at").alias("_hi")
     )
     return (
@@ -80,10 +82,14 @@ def session_summary(sessionized: DataFrame, name_chars: int = 30) -> DataFrame:
     )
 
 
+def _before(rows: DataFrame, user: str, ts: str, tie: str, shifted: dict[str, Column]) -> DataFrame:
+    """Values of the user's row before; hours cut a user of any size."""
+    return neighbours_in_buckets(rows, [F.col(ts), F.col(tie)], F.date_trunc("hour", ts), shifted, [user])
+
+
 def play_gaps(plays: DataFrame, user: str = "user_id", ts: str = "played_at", tie: str = "event_id") -> DataFrame:
     """Previous play of the user and the minutes since."""
-    order = [F.col(ts).asc_nulls_last(), F.col(tie).asc()]
-    out = neighbours(plays, order, {"previous_play": F.col(ts)}, [user])
+    out = _before(plays, user, ts, tie, {"previous_play": F.col(ts)})
     return out.withColumn("minutes_since_last", datediff_boundary("minute", "previous_play", ts))
 
 
@@ -92,22 +98,19 @@ def track_change_report(detections: DataFrame, user: str = "user_id", ts: str =
 
     The first detection of a user has nothing to differ from: 'SAME TRACK'.
     """
-    order = [F.col(ts).asc_nulls_last(), F.col("track_id").asc()]
     prev = {"previous_track_id": F.col("track_id"), "previous_track_name": F.col("track_name")}
-    out = neighbours(detections, order, prev, [user], unique=False)
+    out = _before(detections, user, ts, "track_id", prev)
     changed = F.col("track_id") != F.col("previous_track_id")
     return out.withColumn("change_status", F.when(changed, "TRACK CHANGE").otherwise("SAME TRACK"))
 
 
 def track_changes(detections: DataFrame, user: str = "user_id", ts: str = "detected_at") -> DataFrame:
     """Only the detections that start a track: the first, and each that differs from the one before."""
-    order = [F.col(ts).asc_nulls_last(), F.col("track_id").asc()]
-    out = neighbours(detections, order, {"_prev": F.col("track_id")}, [user], unique=False)
+    out = _before(detections, user, ts, "track_id", {"_prev": F.col("track_id")})
     return out.filter(F.col("_prev").isNull() | (F.col("track_id") != F.col("_prev"))).drop("_prev")
 
 
 def poll_latency(detections: DataFrame, user: str = "user_id", ts: str = "detected_at") -> DataFrame:
     """Seconds between detections of a user."""
-    order = [F.col(ts).asc_nulls_last(), F.col("track_id").asc()]
-    out = neighbours(detections, order, {"previous_detection": F.col(ts)}, [user], unique=False)
+    out = _before(detections, user, ts, "track_id", {"previous_detection": F.col(ts)})
     return out.withColumn("seconds_since_last", datediff_boundary("second", "previous_detection", ts))

@@ -13,7 +13,7 @@ from ..functions.dates import try_cast_ts
 from ..operators import recommend
 from ..operators import silver as silver_ops
 from ..schemas import PLAY_EVENT
-from ..session import materialize
+from ..session import materialize, scratch_path
 
 AS_OF = "2024-01-31 00:00:00"
 WIDE_GAP = 1440
@@ -92,6 +92,23 @@ def pairs_and_affinity(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     return model_tables(spark, sf_dir)[1:]
 
 
+_SCORED: dict[tuple[str, str], str] = {}
+
+
+def build_models(spark: SparkSession, sf_dir: str) -> str:
+    """Writes the scored pairs that lookups read; once per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SCORED:
+        root = scratch_path(spark, "models")
+        recommend.store_scored(recommend.score_candidates(*pairs_and_affinity(spark, sf_dir)), f"{root}/scored")
+        _SCORED[key] = root
+    return _SCORED[key]
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recommend.stored_scored(spark, f"{build_models(spark, sf_dir)}/scored")
+
+
 def currently_playing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Playback detections: one per play, at its time."""
     return plays(spark, sf_dir).select(
@@ -157,16 +174,21 @@ SELECT device_type, count(*) AS total_plays, CAST(sum(duration_ms) AS BIGINT) AS
        round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM silver) * 100, 2) AS play_percentage,
        CAST(CAST(round(sum(duration_ms) / count(*), 2) AS DECIMAL(38,0)) AS BIGINT) AS avg_track_duration_ms
 FROM silver GROUP BY 1""",
+    # A play's session is one more than the starts among the user's distinct minutes up to its own.
     "sessioned": """
-SELECT *, CAST(sum(CASE WHEN prev IS NULL OR date_diff('minute', prev, played_at) > {gap} THEN 1 ELSE 0 END)
-       OVER (PARTITION BY user_id ORDER BY played_at) AS BIGINT) AS session_id
-FROM (SELECT *, lag(played_at) OVER (PARTITION BY user_id ORDER BY played_at, event_id) AS prev FROM silver)""",
+SELECT p.*, lag(p.played_at) OVER (PARTITION BY p.user_id ORDER BY p.played_at, p.event_id) AS prev, CAST(m.starts_so_far AS BIGINT) AS session_id
+FROM silver p JOIN (
+  SELECT user_id, minute, count(*) FILTER (is_start) OVER (PARTITION BY user_id ORDER BY minute) AS starts_so_far
+  FROM (SELECT user_id, minute, coalesce(minute - max(minute) OVER (PARTITION BY user_id ORDER BY minute ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                                         > INTERVAL 1 MINUTE * {gap}, true) AS is_start
+        FROM (SELECT DISTINCT user_id, date_trunc('minute', played_at) AS minute FROM silver))) m
+  ON m.user_id = p.user_id AND m.minute = date_trunc('minute', p.played_at)""",
+    "heard": """
+SELECT user_id, session_id, track_id, track_name, artist_name FROM sessioned GROUP BY ALL""",
     "pairs": """
-SELECT DISTINCT a.user_id, a.session_id,
-       a.track_id AS track_a_id, a.track_name AS track_a_name, a.artist_name AS track_a_artist,
-       b.track_id AS track_b_id, b.track_name AS track_b_name, b.artist_name AS track_b_artist
-FROM sessioned a JOIN sessioned b
-  ON a.user_id = b.user_id AND a.session_id = b.session_id AND a.track_id < b.track_id""",
+SELECT user_id, session_id, x.track_id AS track_a_id, x.track_name AS track_a_name, x.artist_name AS track_a_artist,
+       y.track_id AS track_b_id, y.track_name AS track_b_name, y.artist_name AS track_b_artist
+FROM heard x JOIN heard y USING (user_id, session_id) WHERE y.track_id > x.track_id""",
     "cooc": """
 SELECT p.*, t.total_sessions AS track_a_total_sessions,
        round(CAST(p.sessions_together AS DOUBLE) / t.total_sessions, 3) AS cooccurrence_score
@@ -214,7 +236,8 @@ _NEEDS = {
     "artists": ["silver"],
     "devices": ["silver"],
     "sessioned": ["silver"],
-    "pairs": ["sessioned"],
+    "heard": ["sessioned"],
+    "pairs": ["heard"],
     "cooc": ["pairs"],
     "raw_affinity": ["silver"],
     "affinity": ["raw_affinity"],

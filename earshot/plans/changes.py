@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
-from ..operators import incremental, sessions, snapshots
-from ..session import scratch_path
+from ..operators import gold, incremental, sessions, snapshots
+from ..session import run_name, scratch_path
 from ..sources import events as event_sources
 from ..sources import tables
 from ..streaming import ingest, state
@@ -14,16 +16,17 @@ from .bridge import with_tables
 from .registry import query
 
 CUT = "2000-01-01"
-WRITERS = 32  # every hour is a small file here, so writing is spread wide
 
 
 def _at(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
-# Orders summed per customer before and after a date: the later ones update and add customers.
-_BEFORE = "SELECT o_custkey, count(*) AS orders, max(o_orderdate) AS last_order, min(o_orderpriority) AS best FROM orders WHERE o_orderdate < TIMESTAMP '1995-06-01' GROUP BY 1"
-_AFTER = "SELECT o_custkey, count(*) AS orders, max(o_orderdate) AS last_order, min(o_orderpriority) AS best FROM orders WHERE o_orderdate >= TIMESTAMP '2000-06-01' GROUP BY 1"
+# Orders summed per customer before and from a date on: the later ones update and add customers. Every order is on one side.
+SPLIT = "1996-01-01"
+_SUMS = "SELECT o_custkey, count(*) AS orders, max(o_orderdate) AS last_order, min(o_orderpriority) AS best FROM orders WHERE o_orderdate"
+_BEFORE = f"{_SUMS} < TIMESTAMP '{SPLIT}' GROUP BY 1"
+_AFTER = f"{_SUMS} >= TIMESTAMP '{SPLIT}' GROUP BY 1"
 _TWO = f"WITH t AS ({_BEFORE}), s AS ({_AFTER})\n"
 
 
@@ -35,8 +38,8 @@ def _before_after(spark, sf):
             F.count("*").alias("orders"), F.max("o_orderdate").alias("last_order"), F.min("o_orderpriority").alias("best")
         )
 
-    early = orders.filter(F.col("o_orderdate") < _at("1995-06-01"))
-    return per_customer(early), per_customer(orders.filter(F.col("o_orderdate") >= _at("2000-06-01")))
+    early = F.col("o_orderdate") < _at(SPLIT)
+    return per_customer(orders.filter(early)), per_customer(orders.filter(~early))
 
 
 @query("incremental_append", _TWO + "SELECT * FROM t UNION ALL SELECT * FROM s")
@@ -61,13 +64,13 @@ def _merge_columns(spark, sf):
 
 
 @query("incremental_merge_predicate", _TWO + """
-, inside AS (SELECT * FROM t WHERE last_order >= TIMESTAMP '1995-03-01')
+, inside AS (SELECT * FROM t WHERE last_order >= TIMESTAMP '1995-09-01')
 SELECT coalesce(s.o_custkey, t.o_custkey) AS o_custkey, coalesce(s.orders, t.orders) AS orders,
        coalesce(s.last_order, t.last_order) AS last_order, coalesce(t.best, s.best) AS best
 FROM inside t FULL JOIN s ON t.o_custkey = s.o_custkey
-UNION ALL SELECT * FROM t WHERE last_order < TIMESTAMP '1995-03-01'""")
+UNION ALL SELECT * FROM t WHERE last_order < TIMESTAMP '1995-09-01'""")
 def _merge_predicate(spark, sf):
-    recent = F.col("last_order") >= _at("1995-03-01")
+    recent = F.col("last_order") >= _at("1995-09-01")
     return incremental.merge(*_before_after(spark, sf), ["o_custkey"], exclude_columns=["BEST"], predicate=recent)
 
 
@@ -77,16 +80,19 @@ def _delete_insert(spark, sf):
     return incremental.delete_insert(*_before_after(spark, sf), ["o_custkey"])
 
 
-@query("delete_keys_semi", _TWO + "SELECT * FROM t WHERE o_custkey NOT IN (SELECT o_custkey FROM s)")
+@query("delete_keys_semi", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT c_custkey FROM customer)")
 def _delete_keys(spark, sf):
-    return incremental.delete_keys(*_before_after(spark, sf), ["o_custkey"])
+    """Orders, without those whose number is a customer's."""
+    orders = bridge.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    customers = bridge.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_orderkey"))
+    return incremental.delete_keys(orders, customers, ["o_orderkey"])
 
 
 @query("incremental_insert_overwrite", _TWO + """
-SELECT * FROM t WHERE NOT (last_order >= TIMESTAMP '1995-03-01') UNION ALL SELECT * FROM s""")
+SELECT * FROM t WHERE NOT (last_order >= TIMESTAMP '1995-09-01') UNION ALL SELECT * FROM s""")
 def _insert_overwrite(spark, sf):
     target, source = _before_after(spark, sf)
-    return incremental.insert_overwrite(target, source, F.col("last_order") >= _at("1995-03-01"))
+    return incremental.insert_overwrite(target, source, F.col("last_order") >= _at("1995-09-01"))
 
 
 @query("overwrite_partitions", """
@@ -133,25 +139,27 @@ def _schema_change(spark, sf):
     return incremental.append(*incremental.apply_schema_change(target, source, "sync_all_columns"))
 
 
-# A customer's state at a date: its latest order of the five years before. Customers without one are gone.
+# A customer's state at a date: its latest order of all before. Those whose latest order is of low priority are gone.
 def _state_sql(day: str) -> str:
     return f"""SELECT o_custkey, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS priority,
        arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS status, max(o_orderdate) AS changed_at
-FROM orders WHERE o_orderdate < TIMESTAMP '{day}' AND o_orderdate >= TIMESTAMP '{day}' - INTERVAL 400 DAY GROUP BY 1"""
+FROM orders WHERE o_orderdate < TIMESTAMP '{day}' GROUP BY 1
+HAVING arg_max(o_orderpriority, (o_orderdate, o_orderkey)) <> '5-LOW'"""
 
 
 def _state(spark, sf, day: str):
     orders = bridge.table(spark, sf, "orders")
-    since = F.timestamp_add("DAY", F.lit(-400), _at(day))
     latest = F.struct("o_orderdate", "o_orderkey")
-    return orders.filter((F.col("o_orderdate") < _at(day)) & (F.col("o_orderdate") >= since)).groupBy("o_custkey").agg(
+    states = orders.filter(F.col("o_orderdate") < _at(day)).groupBy("o_custkey").agg(
         F.max_by("o_orderpriority", latest).alias("priority"),
         F.max_by("o_orderstatus", latest).alias("status"),
         F.max("o_orderdate").alias("changed_at"),
     )
+    return states.filter("priority <> '5-LOW'")
 
 
-FIRST, SECOND = "1999-01-01", "2000-01-01"
+#: The second date lies after the last order, so every order counts.
+FIRST, SECOND = "1999-01-01", "2002-01-01"
 
 
 def _hash(key: str, stamp: str) -> str:
@@ -213,9 +221,9 @@ FROM t FULL JOIN s ON t.o_custkey = s.o_custkey""")
 def _replace_table(spark, sf):
     """A table merged into itself: the next state is written beside it and the table moves there."""
     target, source = _before_after(spark, sf)
-    spark.sql("DROP TABLE IF EXISTS customer_activity")
-    stored = incremental.replace_table(spark, "customer_activity", target)
-    return incremental.replace_table(spark, "customer_activity", incremental.merge(stored, source, ["o_custkey"]))
+    name = run_name("customer_activity")
+    stored = incremental.replace_table(spark, name, target)
+    return incremental.replace_table(spark, name, incremental.merge(stored, source, ["o_custkey"]))
 
 
 _CLEAN = "event_id, user_id, event_type, track_id, track_name, artist_name, album_name, duration_ms, played_at, device_type"
@@ -232,7 +240,7 @@ def _json_stream(spark, sf, rows):
 def _stream_bronze_ingest(spark, sf):
     root = scratch_path(spark, "bronze")
     messages = _json_stream(spark, sf, bridge.bronze(spark, sf))
-    ingest.run_to_end(ingest.stream_bronze_ingest(messages, root, root + "-progress", every=None, files_per_hour=1, tasks=WRITERS))
+    ingest.run_to_end(ingest.stream_bronze_ingest(messages, root, root + "-progress", every=None))
     return tables.external_table_scan(spark, root).drop(*tables.HOUR_PARTITIONS)
 
 
@@ -245,7 +253,7 @@ def _bounded_stream_run(spark, sf):
     for part in (bronze.filter(~late), bronze.filter(late)):
         part.select(F.to_json(F.struct(*bronze.columns)).alias("value")).write.mode("append").text(source)
         messages = event_sources.file_json_source(spark, source)
-        ingest.run_to_end(ingest.stream_bronze_ingest(messages, root, root + "-progress", every=None, files_per_hour=1, tasks=WRITERS))
+        ingest.run_to_end(ingest.stream_bronze_ingest(messages, root, root + "-progress", every=None))
     landed = tables.external_table_scan(spark, root)
     day = F.concat_ws("-", "year", "month", "day").alias("day")
     return landed.groupBy(day).agg(F.count("*").alias("plays"))
@@ -279,34 +287,64 @@ def _stream_dedup(spark, sf):
     return _run(spark, ingest.stream_dedup(stream), "dedup").select("event_id")
 
 
-@query("stream_sessionize", with_tables("sessioned", gap=60) + """
-SELECT user_id, count(*) AS tracks_in_session, min(played_at) AS session_start,
-       max(played_at) AS session_end FROM sessioned GROUP BY user_id, session_id""")
+def _some_unreadable(spark, sf):
+    """Silver plays as they come off a stream, with times as text, of which some cannot be read."""
+    text = F.when(F.col("event_id").cast("long") % 101 == 0, "not a time").otherwise(F.col("played_at").cast("string"))
+    return bridge.silver(spark, sf).select("user_id", "track_id", "artist_name", "duration_ms", text.alias("played_at"))
+
+
+_UNREADABLE = "CAST(event_id AS BIGINT) % 101 = 0"
+
+
+def _run_untimed(spark, rows, path):
+    """The plays without a readable time, as a bounded stream run leaves them."""
+    out = scratch_path(spark, "untimed")
+    stream = spark.readStream.schema(rows.schema).parquet(path)
+    ingest.run_to_end(ingest.stream_without_time(stream, out, out + "-progress", every=None))
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+@query("stream_sessionize", with_tables("silver", extra=f"""
+timed AS (SELECT * FROM silver WHERE NOT ({_UNREADABLE})),
+minutes AS (SELECT DISTINCT user_id, date_trunc('minute', played_at) AS minute FROM timed),
+marked AS (SELECT *, coalesce(minute - lag(minute) OVER (PARTITION BY user_id ORDER BY minute) > INTERVAL 60 MINUTE, true) AS opens FROM minutes),
+numbered AS (SELECT *, count(*) FILTER (opens) OVER (PARTITION BY user_id ORDER BY minute) AS n FROM marked)""") + f"""
+SELECT t.user_id, count(*) AS tracks_in_session, min(t.played_at) AS session_start, max(t.played_at) AS session_end
+FROM timed t JOIN numbered m ON m.user_id = t.user_id AND m.minute = date_trunc('minute', t.played_at) GROUP BY t.user_id, m.n
+UNION ALL SELECT user_id, count(*), NULL, NULL FROM silver WHERE {_UNREADABLE} GROUP BY 1""")
 def _stream_sessionize(spark, sf):
-    rows = bridge.silver(spark, sf).select("user_id", "track_id", F.col("played_at").cast("timestamp").alias("event_time"))
+    """Closed sessions, and per user what the dead letters hold."""
+    rows = _some_unreadable(spark, sf)
     stream, path = _play_stream(spark, rows)
     _close(spark, rows, path)
-    closed = _run(spark, ingest.stream_sessionize(stream, late="60 days"), "sessions")
-    return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+    closed = _run(spark, ingest.stream_sessionize(ingest.typed_time(stream), late="60 days"), "sessions").filter(F.col("user_id").isNotNull())
+    closed = closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+    untimed = _run_untimed(spark, rows, path).groupBy("user_id").agg(F.count("*").alias("tracks_in_session"))
+    return closed.unionByName(untimed, allowMissingColumns=True)
 
 
-@query("stream_daily_counts", with_tables("daily") + """
-SELECT date, user_id, total_plays, total_listening_time_ms, unique_tracks FROM daily""")
+@query("stream_daily_counts", with_tables("silver") + f"""
+SELECT CASE WHEN NOT ({_UNREADABLE}) THEN CAST(played_at AS DATE) END AS date, user_id, count(*) AS total_plays,
+       CAST(sum(duration_ms) AS BIGINT) AS total_listening_time_ms, count(DISTINCT track_id) AS unique_tracks
+FROM silver GROUP BY 1, 2""")
 def _stream_daily_counts(spark, sf):
-    rows = bridge.silver(spark, sf).select("user_id", "track_id", "duration_ms", F.col("played_at").cast("string").alias("played_at"))
+    """The stream's days and the batch counts of its dead letters are together the batch result."""
+    rows = _some_unreadable(spark, sf)
     stream, path = _play_stream(spark, rows)
     _close(spark, rows, path)
-    return _run(spark, ingest.stream_daily_counts(stream, late="60 days"), "daily").filter(F.col("user_id").isNotNull())
+    daily = _run(spark, ingest.stream_daily_counts(stream, late="60 days"), "daily").filter(F.col("user_id").isNotNull())
+    untimed = _run_untimed(spark, rows, path).withColumn("played_at", F.lit(None).cast("timestamp_ntz"))
+    return daily.unionByName(gold.daily_user_stats(untimed).select(*daily.columns))
 
 
-def _run_halves(spark, sf, step):
+def _run_halves(spark, sf, step, run=state.run_with_state):
     """Detections of each half of the month come in and are processed, one half after the other."""
     rows, path, root = bridge.currently_playing(spark, sf), scratch_path(spark, "detections"), scratch_path(spark, "state")
     late = F.col("detected_at") >= _at("2024-01-16")
     for part in (rows.filter(~late), rows.filter(late)):
         part.write.mode("append").parquet(path)
         stream = spark.readStream.schema(rows.schema).parquet(path)
-        job = state.run_with_state(stream, step, root, root + "-progress")
+        job = run(stream, step, root, root + "-progress")
         ingest.run_to_end(job)
     return rows, root, job
 
@@ -320,7 +358,8 @@ WHERE prev IS NULL OR track_id <> prev"""
 @query("stream_track_change", with_tables("playing") + _CHANGES)
 def _stream_track_change(spark, sf):
     """Run twice over half a month each; the second run continues from the first one's state."""
-    rows, root, _ = _run_halves(spark, sf, state.track_change_step())
+    run = partial(state.run_with_keyed_state, keys=["user_id"], newest=["detected_at", "track_id"])
+    rows, root, _ = _run_halves(spark, sf, state.track_change_step(), run)
     out = spark.read.schema(rows.schema).parquet(f"{root}/out")
     return out.select("user_id", "detected_at", "track_id", "track_name")
 

@@ -270,13 +270,29 @@ SELECT user_id, track_a_id, track_b_id, cooccurrence_score, sessions_together, a
                WHEN artist_affinity_score >= 50 THEN ', artist is well-liked' ELSE '' END AS reasoning
 FROM scored WHERE track_a_id = 'track_26' ORDER BY recommendation_score DESC, user_id, track_b_id LIMIT 10""")
 def _recommend_for_track(spark, sf):
-    recs = recommend.recommend_for_track(*bridge.pairs_and_affinity(spark, sf), "track_26")
+    recs = recommend.best_for_track(bridge.scored(spark, sf), "track_26")
     return recs.select(
         "user_id", "track_a_id", "track_b_id", "cooccurrence_score", "sessions_together",
         "artist_affinity_score", "recommendation_score", "reasoning",
     )
 
 
+@query("track_answer", with_tables("scored") + """
+, asked AS (SELECT unnest(['track_26', 'track_none']) AS track_id),
+best AS (SELECT *, row_number() OVER (PARTITION BY track_a_id ORDER BY recommendation_score DESC, user_id, track_b_id) AS rn
+         FROM scored WHERE track_a_id IN (SELECT track_id FROM asked))
+SELECT asked.track_id, coalesce(min(track_a_name), 'Unknown') AS track_name, coalesce(min(track_a_artist), 'Unknown') AS artist_name,
+       coalesce(string_agg(user_id || '/' || track_b_id, '|' ORDER BY rn), '') AS recommended, count(rn) AS total_recommendations,
+       CASE WHEN count(rn) = 0 THEN 'No recommendations available yet. This track needs more listening history.' END AS message
+FROM asked LEFT JOIN best ON track_a_id = track_id AND rn <= 10 GROUP BY 1""")
+def _track_answer(spark, sf):
+    """The answers for a track that has recommendations and for one that nobody knows."""
+    scored = bridge.scored(spark, sf)
+    answers = recommend.track_answer(scored, "track_26").unionByName(recommend.track_answer(scored, "track_none"))
+    shown = F.array_join(F.transform("recommendations", lambda r: F.concat_ws("/", r["user_id"], r["track_b_id"])), "|")
+    return answers.withColumn("recommended", shown).drop("recommendations")
+
+
 @query("recommend_batch_response", with_tables("scored") + """
 SELECT user_id, track_a_id, min(track_a_name) AS track_name, min(track_a_artist) AS artist_name,
        string_agg(track_b_id || ':' || CAST(recommendation_score AS DECIMAL(9,1)), '|'
@@ -286,7 +302,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id, track_a_id
                                    ORDER BY recommendation_score DESC, track_b_id) AS rn FROM scored)
 WHERE rn <= 10 GROUP BY 1, 2""")
 def _recommend_batch(spark, sf):
-    answers = recommend.recommend_batch_response(*bridge.pairs_and_affinity(spark, sf))
+    answers = recommend.recommend_batch_response(bridge.scored(spark, sf))
     shown = F.transform(
         "recommendations",
         lambda r: F.concat_ws(":", r["track_id"], r["recommendation_score"].cast("decimal(9,1)").cast("string")),
@@ -306,9 +322,7 @@ ORDER BY recommendation_score DESC, track_b_id LIMIT 10"""
 
 @query("recommend_for_current", with_tables("scored", "playing") + _NOW)
 def _recommend_for_current(spark, sf):
-    recs = recommend.recommend_for_current(
-        bridge.currently_playing(spark, sf), *bridge.pairs_and_affinity(spark, sf)
-    )
+    recs = recommend.recommend_for_current(bridge.currently_playing(spark, sf), bridge.scored(spark, sf))
     return recs.select(
         "user_id", "track_a_id", "track_b_id", "cooccurrence_score", "artist_affinity_score", "recommendation_score"
     )

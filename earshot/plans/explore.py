@@ -69,10 +69,12 @@ def _data_range_per_user(spark, sf):
 
 
 @query("processed_at_profile", with_tables("silver") + """
-SELECT TIMESTAMP '2024-01-31 00:00:00' AS earliest_processed, TIMESTAMP '2024-01-31 00:00:00' AS latest_processed,
-       count(DISTINCT 1) AS unique_timestamps FROM silver""")
+SELECT min(CAST(played_at AS DATE) + INTERVAL 1 DAY) AS earliest_processed, max(CAST(played_at AS DATE) + INTERVAL 1 DAY) AS latest_processed,
+       count(DISTINCT CAST(played_at AS DATE)) AS unique_timestamps FROM silver""")
 def _processed_at_profile(spark, sf):
-    out = profile.processed_at_profile(bridge.silver(spark, sf))
+    """Each day's plays are processed in the night after."""
+    night = F.timestamp_add("DAY", F.lit(1), F.date_trunc("day", "played_at").cast("timestamp"))
+    out = profile.processed_at_profile(bridge.silver(spark, sf).withColumn("processed_at", night))
     moments = ("earliest_processed", "latest_processed")
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in moments})
 
@@ -80,7 +82,7 @@ def _processed_at_profile(spark, sf):
 @query("session_summary", with_tables("sessioned") + """
 SELECT user_id, session_id, count(*) AS tracks_in_session, min(played_at) AS session_start, max(played_at) AS session_end,
        date_diff('minute', min(played_at), max(played_at)) AS session_duration_minutes,
-       string_agg(DISTINCT left(track_name, 30), ' | ' ORDER BY left(track_name, 30)) AS tracks_played
+       string_agg(DISTINCT track_name, ' | ' ORDER BY track_name) AS tracks_played
 FROM sessioned GROUP BY 1, 2""")
 def _session_summary(spark, sf):
     return sessions.session_summary(sessions.sessionize(bridge.silver(spark, sf), WIDE_GAP))
@@ -195,8 +197,9 @@ def _overview(spark, sf):
 SELECT count(*) AS total_plays, count(DISTINCT track_id) AS unique_tracks, count(DISTINCT artist_name) AS unique_artists
 FROM silver""")
 def _overview_exact(spark, sf):
-    return bridge.silver(spark, sf).agg(
-        F.count("*").alias("total_plays"),
+    """Plays are summed per track and artist first: the distinct counts see one row for each."""
+    return bridge.silver(spark, sf).groupBy("track_id", "artist_name").agg(F.count("*").alias("_n")).agg(
+        F.sum("_n").alias("total_plays"),
         F.countDistinct("track_id").alias("unique_tracks"),
         F.countDistinct("artist_name").alias("unique_artists"),
     )

@@ -204,9 +204,11 @@ def _get_url_host(spark, sf):
     return bridge.table(spark, sf, "pages").select("page_id", text.get_url_host("url").alias("host"))
 
 
-@query("get_url_path", f"""
-SELECT page_id, split_part(right({_BARE}, length({_BARE}) - coalesce(nullif(instr({_BARE}, '/'), 0), instr({_BARE}, '?') - 1)),
-       '?', 1) AS path FROM pages""")
+@query("get_url_path", """
+WITH bare AS (SELECT page_id, regexp_replace(url, 'https?://', '', 'g') AS u FROM pages),
+cut AS (SELECT page_id, u, list_position(string_split(u, ''), '/') AS slash FROM bare)
+SELECT page_id, CASE WHEN slash IS NOT NULL AND slash > 0 THEN string_split(substring(u, slash + 1), '?')[1]
+                     WHEN contains(u, '?') THEN '' ELSE u END AS path FROM cut""")
 def _get_url_path(spark, sf):
     return bridge.table(spark, sf, "pages").select("page_id", text.get_url_path("url").alias("path"))
 
@@ -337,13 +339,16 @@ def _width_bucket(spark, sf):
     return bridge.table(spark, sf, "part").select("p_partkey", numeric.width_bucket("p_size", 10, 40, 6).alias("bucket"))
 
 
-_HAVERSINE = """2 * 3961 * asin(sqrt(power(sin(radians((lat2 - lat1) / 2)), 2) + cos(radians(lat1)) * cos(radians(lat2))
-* power(sin(radians((lon2 - lon1) / 2)), 2)))"""
+# The angle between the two points' unit vectors, from their cross product and dot product.
+_HAVERSINE = """3961 * atan2(sqrt(power(y1 * z2 - z1 * y2, 2) + power(z1 * x2 - x1 * z2, 2) + power(x1 * y2 - y1 * x2, 2)),
+x1 * x2 + y1 * y2 + z1 * z2)"""
 
 
 @query("haversine_distance", f"""
-WITH p AS (SELECT doc_id, n_chars % 90 AS lat1, n_chars % 180 AS lon1, -(doc_id % 90) AS lat2, doc_id % 180 AS lon2 FROM documents)
-SELECT doc_id, round({_HAVERSINE}, 4) AS miles, round({_HAVERSINE} * 1.60934, 4) AS km FROM p""")
+WITH p AS (SELECT doc_id, n_chars % 90 AS lat1, n_chars % 180 AS lon1, -(doc_id % 90) AS lat2, doc_id % 180 AS lon2 FROM documents),
+v AS (SELECT doc_id, cos(radians(lat1)) * cos(radians(lon1)) AS x1, cos(radians(lat1)) * sin(radians(lon1)) AS y1, sin(radians(lat1)) AS z1,
+             cos(radians(lat2)) * cos(radians(lon2)) AS x2, cos(radians(lat2)) * sin(radians(lon2)) AS y2, sin(radians(lat2)) AS z2 FROM p)
+SELECT doc_id, round({_HAVERSINE}, 4) AS miles, round({_HAVERSINE} * 1.60934, 4) AS km FROM v""")
 def _haversine_distance(spark, sf):
     spots = [F.col("n_chars") % 90, F.col("n_chars") % 180, -(F.col("doc_id") % 90), F.col("doc_id") % 180]
     return bridge.table(spark, sf, "documents").select(

@@ -50,7 +50,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/earshot/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/earshot/{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Deletes what this application wrote below the shared folder; call it once the results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def run_name(label: str) -> str:
+    """A table name that no other run uses."""
+    return f"{label}_{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:

@@ -37,15 +37,17 @@ def stream_bronze_ingest(
     root: str,
     checkpoint: str,
     every: str | None = "60 seconds",
-    files_per_hour: int = 8,
+    files_per_hour: int | None = None,
     tasks: int | None = None,
 ) -> StreamingQuery:
     """JSON messages to hourly bronze files, every row under the hour of its own time.
 
-    A batch writes at most ``files_per_hour`` files per hour, and the current
-    hour, which holds nearly all of a batch, is written by as many tasks.
+    By default Spark rebalances a batch over the hours by size, so the hour
+    that holds nearly all of it is written by several tasks; ``files_per_hour``
+    fixes the number of files instead.
     """
-    rows = spread_by_hour(with_hour_partitions(parse_events(messages)), files_per_hour, tasks)
+    rows = with_hour_partitions(parse_events(messages))
+    rows = rows.hint("rebalance", *HOUR_PARTITIONS) if files_per_hour is None else spread_by_hour(rows, files_per_hour, tasks)
     return start_file_sink(rows, root, checkpoint, HOUR_PARTITIONS, every)
 
 
@@ -62,10 +64,23 @@ def append_currently_playing(states: DataFrame, path: str, checkpoint: str, ever
     return start_file_sink(stamped, path, checkpoint, every=every)
 
 
+def typed_time(plays: DataFrame) -> DataFrame:
+    return plays.withColumn("event_time", try_cast_ts("played_at").cast("timestamp"))
+
+
 def with_event_time(plays: DataFrame, late: str) -> DataFrame:
     """Typed event time with a watermark. Rows later than ``late`` are dropped by stateful steps."""
-    typed = plays.withColumn("event_time", try_cast_ts("played_at").cast("timestamp"))
-    return typed.withWatermark("event_time", late)
+    return typed_time(plays).withWatermark("event_time", late)
+
+
+def without_time(plays: DataFrame) -> DataFrame:
+    """Plays whose time does not parse: windows would pass over them, so they go to the dead letters."""
+    return plays.filter(try_cast_ts("played_at").isNull())
+
+
+def stream_without_time(plays: DataFrame, path: str, checkpoint: str, every: str | None = "60 seconds") -> StreamingQuery:
+    """The plays that steps on event time leave out, kept for inspection and counting."""
+    return start_file_sink(without_time(plays), path, checkpoint, every=every)
 
 
 def stream_dedup(plays: DataFrame, late: str = "1 day", keys: tuple[str, ...] = ("event_id",)) -> DataFrame:

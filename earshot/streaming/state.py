@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ordering import neighbours
+from ..operators.ordering import neighbours_in_buckets
 
 Step = Callable[[DataFrame | None, DataFrame], tuple[DataFrame, DataFrame | None]]
 
@@ -36,6 +36,40 @@ def run_with_state(rows: DataFrame, step: Step, root: str, checkpoint: str, ever
     return writer.start()
 
 
+def run_with_keyed_state(
+    rows: DataFrame, step: Step, root: str, checkpoint: str, keys: list[str], newest: list[str], every: str | None = None, compact: int = 20
+) -> StreamingQuery:
+    """As :func:`run_with_state` for a state with one row per key, at the cost of the keys that a batch touches.
+
+    A batch writes the state of its own keys to a folder of its own; a key's
+    state is its row in the latest folder. ``step`` sees the state of the
+    batch's keys only. Every ``compact`` batches one folder takes over the rows
+    of all before it, so no more than that many are read. ``newest`` orders
+    the rows of one key within a folder; the last counts.
+    """
+    spark = rows.sparkSession
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        state = None
+        if batch_id:
+            base = (batch_id - 1) // compact * compact
+            folders = [f"{root}/state/batch={k}" for k in range(base, batch_id)]
+            held = spark.read.option("basePath", f"{root}/state").parquet(*folders)
+            latest = F.max_by(F.struct(*batch.columns), F.struct("batch", *newest))
+            state = held.groupBy(*keys).agg(latest.alias("_row")).select("_row.*")
+        touched = batch.select(*keys).distinct()
+        next_state, out = step(state if state is None else state.join(touched, keys, "left_semi"), batch)
+        if out is not None:
+            out.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+        if state is not None and batch_id % compact == 0:
+            next_state = next_state.unionByName(state.join(touched, keys, "left_anti"))
+        next_state.write.mode("overwrite").parquet(f"{root}/state/batch={batch_id}")
+
+    writer = rows.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
+    return writer.start()
+
+
 def current_state(rows: DataFrame, root: str, query: StreamingQuery) -> DataFrame:
     """The state table after the query's last batch."""
     return rows.sparkSession.read.parquet(f"{root}/state/{query.lastProgress['batchId'] % 2}")
@@ -50,8 +84,9 @@ def track_change_step(user: str = "user_id", ts: str = "detected_at") -> Step:
     def step(state: DataFrame | None, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
         fresh = batch.withColumn("_old", F.lit(0))
         known = fresh if state is None else fresh.unionByName(state.withColumn("_old", F.lit(1)))
-        order = [F.col("_old").desc(), F.col(ts).asc_nulls_last(), F.col("track_id").asc()]
-        seen = neighbours(known, order, {"_prev": F.col("track_id")}, [user], unique=False)
+        order = [-F.col("_old"), F.col(ts), F.col("track_id")]
+        bucket = F.struct(-F.col("_old"), F.date_trunc("hour", ts))
+        seen = neighbours_in_buckets(known, order, bucket, {"_prev": F.col("track_id")}, [user])
         new = seen.filter("_old = 0")
         changes = new.filter(F.col("_prev").isNull() | (F.col("track_id") != F.col("_prev")))
         last = F.max_by(F.struct(*batch.columns), F.struct(-F.col("_old"), ts, "track_id"))

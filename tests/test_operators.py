@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from earshot.operators import gold, incremental, ordering, quality, recommend, reshape, sessions, snapshots
+from earshot.operators import gold, incremental, monitors, ordering, quality, recommend, reshape, sessions, snapshots
 from earshot.operators import silver as silver_ops
 from earshot.plans import bridge
 from earshot.schemas import PLAY_EVENT
@@ -174,6 +174,42 @@ def test_neighbours_equal_a_window(spark, offset, chunk):
     assert rows(ordering.neighbours(df, [F.col("o").asc()], {"n": F.col("v")}, ["g"], offset, chunk_rows=chunk)) == want
 
 
+@pytest.mark.parametrize("offset", [-1, 1])
+def test_neighbours_in_buckets_equal_a_window(spark, offset):
+    rng = random.Random(offset)
+    data = [(rng.choice([None, "a", "b"]), rng.choice([None, *range(40)]), k) for k in range(400)]
+    df = spark.createDataFrame(data, "g string, o long, v long")
+    w = Window.partitionBy("g").orderBy(F.col("o").asc_nulls_last(), F.col("v").asc_nulls_last())
+    want = rows(df.withColumn("n", (F.lag if offset == -1 else F.lead)("v").over(w)))
+    got = ordering.neighbours_in_buckets(df, [F.col("o"), F.col("v")], F.shiftright("o", 2), {"n": F.col("v")}, ["g"], offset)
+    assert rows(got) == want
+
+
+def test_merge_refuses_repeated_source_keys(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    source = spark.createDataFrame([(1, "x"), (1, "y"), (None, "n"), (None, "n")], "k long, v string")
+    with pytest.raises(ValueError, match="more than once"):
+        incremental.merge(target, source, ["k"])
+    merged = incremental.merge(target, source, ["k"], order_by=[F.col("v").desc()])
+    assert rows(merged) == [(1, "y"), (2, "b"), (None, "n"), (None, "n")]
+
+
+def test_results_of_the_newest_run_are_all_judged(spark):
+    log = [(f"t{k:02d}", "fail" if k == 11 else "pass", "2024-01-02") for k in range(12)] + [("old", "fail", "2024-01-01")]
+    results = spark.createDataFrame(log, "test_name string, status string, executed_at string")
+    assert monitors.test_results(results).first().passed is False
+    assert monitors.test_results(results.filter("test_name <> 't11'")).first().passed is True
+    assert monitors.test_results(results, last=5).first().passed is True
+
+
+def test_every_order_is_on_one_side(spark, sf):
+    from earshot.plans import changes
+
+    before, after = changes._before_after(spark, sf)
+    orders = bridge.table(spark, sf, "orders").count()
+    assert before.agg(F.sum("orders")).first()[0] + after.agg(F.sum("orders")).first()[0] == orders
+
+
 def test_pivot_names_and_quotes(spark):
     df = spark.createDataFrame([("S", "red"), ("S", "blue"), ("S", "blue's"), ("M", "red")], "size string, color string")
     columns = reshape.pivot_columns("color", ["red", "blue", "blue's"])

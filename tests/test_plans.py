@@ -64,6 +64,33 @@ def test_no_single_task_windows(spark, sf):
                 assert "_chunk" in line, line
 
 
+def test_distinct_counts_do_not_multiply_rows(spark, sf):
+    assert "Expand" not in plan(PLANS["daily_user_stats"](spark, sf))
+    assert "Expand" not in plan(PLANS["dedup_verify"](spark, sf))
+
+
+def test_one_scan_per_side(spark, sf):
+    for name in ("test_equality", "unit_diff", "test_cardinality_equality"):
+        assert plan(PLANS[name](spark, sf)).split("== Initial Plan ==")[0].count("FileScan") == 2
+
+
+def test_counting_gold_tables_ranks_nothing(spark, sf):
+    assert "rangepartitioning" not in plan(PLANS["monitor_gold_completeness"](spark, sf))
+
+
+def test_neighbours_by_time_shuffle_rows_once(spark, sf):
+    text = plan(PLANS["track_change_report"](spark, sf))
+    assert "rangepartitioning" not in text
+    full = [line for line in text.splitlines() if "Exchange hashpartitioning(_key" in line]
+    assert len(full) == 2  # the rows, and one row per bucket
+
+
+def test_lookups_read_the_stored_table_by_track(spark, sf):
+    df = PLANS["recommend_for_track"](spark, sf)
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "EqualTo(track_a_id,track_26)" in text and "Exchange hash" not in text
+
+
 def test_aggregates_run_compiled(spark, sf):
     text = final_plan(PLANS["dq_assessment"](spark, sf))
     assert re.search(r"\*\(\d+\) HashAggregate", text)

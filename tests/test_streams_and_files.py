@@ -94,7 +94,8 @@ def test_kafka_source_needs_its_connector(spark):
         events.kafka_json_source(spark, "host:1", "plays")
 
 
-def test_track_changes_over_batches_equal_one_batch(spark):
+@pytest.mark.parametrize("compact", [1, 2, 20])
+def test_track_changes_over_batches_equal_one_batch(spark, compact):
     data = [("u", f"2024-01-01 10:00:{i:02d}", t, t.upper()) for i, t in enumerate("aabbbacca")]
     data += [("v", f"2024-01-01 10:00:{i:02d}", "a", "A") for i in range(4)]
     df = spark.createDataFrame(data, "user_id string, detected_at string, track_id string, track_name string").withColumn(
@@ -104,13 +105,65 @@ def test_track_changes_over_batches_equal_one_batch(spark):
     for lo, hi in ((0, 3), (3, 5), (5, 60)):
         df.filter((F.second("detected_at") >= lo) & (F.second("detected_at") < hi)).write.mode("append").parquet(path)
         stream = spark.readStream.schema(df.schema).parquet(path)
-        ingest.run_to_end(state.run_with_state(stream, state.track_change_step(), root, root + "-p"))
+        ingest.run_to_end(
+            state.run_with_keyed_state(stream, state.track_change_step(), root, root + "-p", ["user_id"], ["detected_at", "track_id"], compact=compact)
+        )
     got = spark.read.schema(df.schema).parquet(root + "/out")
     want = sessions.track_changes(df)
     assert sorted(map(tuple, got.select(df.columns).collect())) == sorted(map(tuple, want.collect()))
     assert want.count() == 6
 
 
+def test_a_batch_writes_the_state_of_its_own_users(spark):
+    schema = "user_id string, detected_at timestamp_ntz, track_id string, track_name string"
+    path, root = scratch_path(spark, "d"), scratch_path(spark, "s")
+    for users in ("uvw", "v"):
+        rows = spark.createDataFrame([(u, "2024-01-01", "t", "T") for u in users], schema.replace("timestamp_ntz", "string"))
+        rows.withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz")).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(schema).parquet(path)
+        ingest.run_to_end(
+            state.run_with_keyed_state(stream, state.track_change_step(), root, root + "-p", ["user_id"], ["detected_at", "track_id"])
+        )
+    held = [sorted(r.user_id for r in spark.read.parquet(f"{root}/state/batch={k}").collect()) for k in (0, 1)]
+    assert held == [["u", "v", "w"], ["v"]]
+
+
+def test_a_hot_hour_is_written_by_several_tasks(spark):
+    hour = F.when(F.col("id") % 10 == 0, F.col("id") % 24).otherwise(7)
+    plays = spark.range(60_000).select(
+        *[F.sha2(F.concat_ws("-", F.lit(c), "id"), 512).alias(c) for c in ("event_id", "user_id", "event_type", "track_id", "track_name", "artist_name", "album_name")],
+        F.col("id").alias("duration_ms"),
+        F.format_string("2024-01-01T%02d:00:00Z", hour).alias("played_at"),
+        F.lit("phone").alias("device_type"),
+    )
+    kept = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+    try:
+        root = scratch_path(spark, "hot")
+        tables.write_bronze(plays, root)
+        path = scratch_path(spark, "hot-messages")
+        plays.select(F.to_json(F.struct(*plays.columns)).alias("value")).write.text(path)
+        streamed = scratch_path(spark, "hot-stream")
+        ingest.run_to_end(ingest.stream_bronze_ingest(events.file_json_source(spark, path), streamed, streamed + "-p", every=None))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", kept)
+    for place in (root, streamed):
+        files = tables.list_source_files(tables.external_table_scan(spark, place)).filter("file_path like '%hour=07%'")
+        assert files.count() > 2 and files.agg(F.sum("row_count")).first()[0] > 54_000
+
+
+def test_scratch_is_removed(spark):
+    from earshot.session import build_session, materialize, remove_scratch, shared_dir
+
+    kept = materialize(spark.range(3), "gone")
+    assert kept.count() == 3
+    before = spark.sparkContext.applicationId
+    assert build_session().sparkContext.applicationId == before
+    remove_scratch(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/earshot/{before}")
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def test_bad_messages_of_a_stream_are_kept(spark):
     path, root = scratch_path(spark, "m"), scratch_path(spark, "dead")
     messages(spark, GOOD, "nonsense").write.text(path)
