@@ -62,21 +62,24 @@ def intervals_between(part: str, start: Column | str, end: Column | str) -> Colu
     return datediff_boundary(part, start, end)
 
 
+SPINE_RUN = 10_000
+
+
 def date_spine(bounds: DataFrame, part: str, start: str, end: str, name: str | None = None) -> DataFrame:
     """One row per step from ``start`` up to, not including, ``end``.
 
     ``bounds`` holds the two moments as columns (one row, or one row per
     entity, whose other columns are kept).
     """
-    step = F.expr(f"interval 1 {part}")
     begin, stop = trunc_to("second", start), trunc_to("second", end)
     name = name or f"date_{part}"
-    steps = intervals_between(part, begin, stop)
-    series = F.when(
-        steps > 0, F.sequence(begin, F.timestamp_add(part.upper(), steps - 1, begin), step)
-    )
     keep = [c for c in bounds.columns if c not in (start, end)]
-    return bounds.select(*keep, F.explode(series).alias(name))
+    steps = bounds.select(*keep, begin.alias("_begin"), intervals_between(part, begin, stop).cast("long").alias("_steps")).filter("_steps > 0")
+    # Steps are counted out in runs, so that no array holds a long spine whole.
+    runs = steps.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("_steps") - 1, F.lit(0).cast("long")), F.lit(SPINE_RUN).cast("long"))).alias("_run"))
+    last = F.least(F.col("_run") + SPINE_RUN, F.col("_steps")) - 1
+    each = runs.select(*keep, "_begin", F.explode(F.sequence("_run", last)).alias("_step"))
+    return each.select(*keep, F.timestamp_add(part.upper(), F.col("_step"), F.col("_begin")).alias(name))
 
 
 def generate_series(spark: SparkSession, upper: int) -> DataFrame:
@@ -103,6 +106,16 @@ def partition_range(raw: str, fmt: str = "%Y%m%d") -> list[str]:
     return dates_in_range(parts[0], parts[-1], fmt, fmt)
 
 
+def within_days(column: Column | str, raw: str, fmt: str = "%Y%m%d") -> Column:
+    """Whether a time lies on the days of ``"a"`` or ``"a,b"``, as two comparisons that reach the files."""
+    days = partition_range(raw, fmt)
+    first = datetime.strptime(days[0], fmt)
+    after = datetime.strptime(days[-1], fmt) + timedelta(days=1)
+    moment = F.col(column) if isinstance(column, str) else column
+    low, high = (F.lit(str(d)).cast("timestamp_ntz") for d in (first, after))
+    return (moment >= low) & (moment < high)
+
+
 def make_date(year: int | Column, month: int | Column, day: int | Column) -> Column:
     as_col = [F.lit(v) if isinstance(v, int) else v for v in (year, month, day)]
     return F.make_date(*as_col)

@@ -124,10 +124,8 @@ SELECT strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS day, count(*) AS orders
 WHERE o_orderdate BETWEEN TIMESTAMP '1997-01-15' AND TIMESTAMP '1997-03-15' GROUP BY 1""")
 def _dates_in_range(spark, sf):
     """Orders of every day in an inclusive range given as two formatted dates."""
-    days = dates.partition_range("19970115,19970315")
-    day = F.date_format("o_orderdate", "yyyyMMdd")
-    per_day = bridge.table(spark, sf, "orders").withColumn("day", day).filter(F.col("day").isin(days))
-    return per_day.groupBy("day").agg(F.count("*").alias("orders"))
+    days = bridge.table(spark, sf, "orders").filter(dates.within_days("o_orderdate", "19970115,19970315"))
+    return days.groupBy(F.date_format("o_orderdate", "yyyyMMdd").alias("day")).agg(F.count("*").alias("orders"))
 
 
 @query("parse_iso_ts", with_tables("plays") + "SELECT event_id, ts AS played FROM plays")

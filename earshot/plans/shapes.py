@@ -221,11 +221,7 @@ def _parse_events(spark, sf):
 @query("dead_letter_split", with_tables("bronze") + """
 SELECT user_id IS NULL AS dead, count(*) AS messages FROM bronze GROUP BY 1""")
 def _dead_letter_split(spark, sf):
-    messages = _messages(spark, sf)
-    good, bad = events.parse_events(messages), events.dead_letters(messages)
-    return good.agg(F.count("*").alias("messages")).select(F.lit(False).alias("dead"), "messages").unionByName(
-        bad.agg(F.count("*").alias("messages")).select(F.lit(True).alias("dead"), "messages")
-    )
+    return events.mark_dead(_messages(spark, sf)).groupBy("dead").agg(F.count("*").alias("messages"))
 
 
 @query("conform_schema", with_tables("plays") + """

@@ -59,6 +59,12 @@ def dead_letters(messages: DataFrame, value: str = "value") -> DataFrame:
     return rows.filter(F.col("_event").isNull() | F.col(f"_event.{CORRUPT}").isNotNull()).drop("_event")
 
 
+def mark_dead(messages: DataFrame, value: str = "value") -> DataFrame:
+    """The messages with ``dead``: whether :func:`parse_events` leaves them out. One scan serves both sides."""
+    rows = _parsed(messages, value)
+    return rows.withColumn("dead", F.col("_event").isNull() | F.col(f"_event.{CORRUPT}").isNotNull()).drop("_event")
+
+
 def conform_schema(df: DataFrame, schema: T.StructType = PLAY_EVENT) -> DataFrame:
     """Exactly the columns of ``schema``: missing ones null, extra ones gone, bad cells null."""
     have = {c.lower(): c for c in df.columns}
