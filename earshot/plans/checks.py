@@ -205,9 +205,9 @@ def _range_overlap_window(spark, sf):
 
 
 @query("test_not_constant", """
-SELECT o_custkey, count(DISTINCT o_orderstatus) AS filler_column FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderstatus) = 1""")
+SELECT l_orderkey, count(DISTINCT l_returnflag) AS filler_column FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) = 1""")
 def _not_constant(spark, sf):
-    return quality.not_constant(bridge.table(spark, sf, "orders"), "o_orderstatus", ["o_custkey"])
+    return quality.not_constant(bridge.table(spark, sf, "lineitem"), "l_returnflag", ["l_orderkey"])
 
 
 @query("test_not_empty_string", """
