@@ -88,6 +88,16 @@ def unflat(values: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+def windows(begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (windows x WINDOW) of sequences given by begin and length, which of them exist, and each window's sequence."""
+    count = -(-length // STRIDE)
+    owner = np.repeat(np.arange(len(length)), count)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    inside = number[:, None] * STRIDE + np.arange(STRIDE - WINDOW, STRIDE)[None, :]
+    exists = (inside >= 0) & (inside < length[owner][:, None])
+    return np.where(exists, inside, 0) + begin[owner][:, None], exists, owner
+
+
 def _geometry() -> tuple[np.ndarray, np.ndarray]:
     """How far each key lies before each scored place, and which may be seen."""
     back = np.arange(WINDOW - STRIDE, WINDOW)[:, None] - np.arange(WINDOW)[None, :]
@@ -97,67 +107,68 @@ def _geometry() -> tuple[np.ndarray, np.ndarray]:
 _BACK, _SEEN = _geometry()
 
 
-def windows(begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places (windows x WINDOW) of sequences given by begin and length, which of them exist, and each window's sequence."""
-    count = -(-length // STRIDE)
-    owner = np.repeat(np.arange(len(length)), count)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    inside = number[:, None] * STRIDE + np.arange(STRIDE - WINDOW, STRIDE)[None, :]
-    exists = (inside >= 0) & (inside < length[owner][:, None])
-    return np.where(exists, inside, 0) + begin[owner][:, None], exists, owner
+class Tables:
+    """Parameters made ready: queries (scaled), keys and values of every input, and what is added to logits by distance."""
+
+    def __init__(self, p: dict) -> None:
+        self.embed, self.out, self.last = p["embed"], p["out"], p["last"]
+        self.queries = p["embed"] @ (p["query"] / np.sqrt(WIDTH)).astype(p["query"].dtype)
+        self.keys, self.values = p["embed"] @ p["key"], p["embed"] @ p["value"]
+        self.far = np.where(_SEEN, p["far"][_BACK], -1e9).astype(p["far"].dtype)[None]
+        # Hidden values lie between -1 and 1, so no class can score above this: shifted by it, nothing overflows.
+        self.shift = float((np.abs(p["last"]).sum(0) + p["prior"]).max())
+        self.prior = p["prior"] - p["prior"].dtype.type(self.shift)
 
 
-def _forward(p: dict, inputs: np.ndarray, exists: np.ndarray, tables: tuple | None = None):
-    embed, queries, keys, values = tables or (p["embed"], p["embed"] @ p["query"], p["embed"] @ p["key"], p["embed"] @ p["value"])
+def _forward(t: Tables, inputs: np.ndarray, exists: np.ndarray):
     asked = inputs[:, WINDOW - STRIDE :]
-    q, k, v = queries[asked], keys[inputs], values[inputs]
+    q, k, v = t.queries[asked], t.keys[inputs], t.values[inputs]
     logits = q @ k.transpose(0, 2, 1)
-    logits *= np.float32(1 / np.sqrt(WIDTH))
-    logits += np.where(_SEEN, p["far"][_BACK], np.float32(-1e9))[None]
-    logits += np.where(exists, np.float32(0), np.float32(-1e9))[:, None, :]
-    # A scored place sees itself, so a row's largest value is a real one; those of places that do not exist are not used.
-    np.clip(logits, -60, 30, out=logits)
+    logits += t.far
+    short = np.flatnonzero(~exists.all(1))
+    if len(short):
+        logits[short] += np.where(exists[short], 0, -1e9).astype(logits.dtype)[:, None, :]
+    # A scored place sees itself, so its weights sum to more than 0; those of places that do not exist are not used.
+    np.minimum(logits, 30, out=logits)
     weights = np.exp(logits, out=logits)
-    weights /= weights.sum(2, keepdims=True)
+    total = weights.sum(2, keepdims=True)
+    total += 1e-30
     mixed = weights @ v
-    hidden = np.tanh(embed[asked] + mixed @ p["out"])
-    scores = hidden.reshape(-1, WIDTH) @ p["last"] + p["prior"]
-    return asked, q, k, v, weights, mixed, hidden, scores
+    mixed /= total
+    hidden = mixed.reshape(-1, WIDTH) @ t.out
+    hidden += t.embed[asked].reshape(-1, WIDTH)
+    np.tanh(hidden, out=hidden)
+    scores = hidden @ t.last
+    scores += t.prior
+    return asked, q, k, v, weights, total, mixed, hidden, scores
 
 
-def log_chances(p: dict, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray, tables: tuple | None = None) -> np.ndarray:
+def log_chances(t: Tables, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log of the chance of each target class (windows x STRIDE)."""
-    scores = _forward(p, inputs, exists, tables)[-1]
+    scores = _forward(t, inputs, exists)[-1]
     chosen = scores[np.arange(len(scores)), targets.ravel()]
-    scores -= 20  # far from overflow, without another pass for the largest
-    np.clip(scores, -80, 60, out=scores)
     total = np.exp(scores, out=scores).sum(1)
-    return (chosen - 20 - np.log(total)).reshape(targets.shape)
-
-
-def tables_of(p: dict) -> tuple:
-    return p["embed"], p["embed"] @ p["query"], p["embed"] @ p["key"], p["embed"] @ p["value"]
+    return (chosen - np.log(total + 1e-38)).reshape(targets.shape)
 
 
 def gradients(p: dict, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
     """Mean gradient of the log loss over the places that count (windows x STRIDE)."""
-    asked, q, k, v, weights, mixed, hidden, scores = _forward(p, inputs, exists)
-    scores = np.clip(scores, -60, 60)
-    chance = np.exp(scores - scores.max(1, keepdims=True))
-    chance /= chance.sum(1, keepdims=True)
+    asked, q, k, v, weights, total, mixed, hidden, scores = _forward(Tables(p), inputs, exists)
+    weights /= total
+    chance = np.exp(scores, out=scores)
+    chance /= chance.sum(1, keepdims=True) + 1e-38
     chance[np.arange(len(chance)), targets.ravel()] -= 1
     chance *= (counts.ravel() / max(counts.sum(), 1)).astype(np.float32)[:, None]
-    flat_hidden = hidden.reshape(-1, WIDTH)
-    g = {"last": flat_hidden.T @ chance, "prior": chance.sum(0)}
-    d_inner = ((chance @ p["last"].T) * (1 - flat_hidden**2)).reshape(hidden.shape)
+    g = {"last": hidden.T @ chance, "prior": chance.sum(0)}
+    d_inner = ((chance @ p["last"].T) * (1 - hidden**2)).reshape(mixed.shape)
     g["out"] = mixed.reshape(-1, WIDTH).T @ d_inner.reshape(-1, WIDTH)
     d_mixed = d_inner @ p["out"].T
     d_weights = d_mixed @ v.transpose(0, 2, 1)
     d_v = weights.transpose(0, 2, 1) @ d_mixed
     d_logits = weights * (d_weights - (d_weights * weights).sum(2, keepdims=True))
     g["far"] = np.bincount(_BACK[_SEEN], d_logits.sum(0)[_SEEN], WINDOW).astype(np.float32)
-    d_logits *= np.float32(1 / np.sqrt(WIDTH))
-    d_q, d_k = d_logits @ k, d_logits.transpose(0, 2, 1) @ q
+    # The queries hold the scale already.
+    d_q, d_k = d_logits @ k / np.float32(np.sqrt(WIDTH)), d_logits.transpose(0, 2, 1) @ q
     rows, asked_rows = p["embed"][inputs].reshape(-1, WIDTH), p["embed"][asked].reshape(-1, WIDTH)
     flat_q, flat_k, flat_v = (d.reshape(-1, WIDTH) for d in (d_q, d_k, d_v))
     g["query"], g["key"], g["value"] = asked_rows.T @ flat_q, rows.T @ flat_k, rows.T @ flat_v

@@ -30,9 +30,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: A word with at least 1 / FREQUENT of all tokens is looked up in the tasks; there can be no more than FREQUENT of them.
 FREQUENT = 500_000
 #: Words of a block, and of how many blocks a round takes one.
-BLOCK, EACH, ROUNDS = 96, 16, 2
+BLOCK, EACH, ROUNDS = 96, 24, 2
 END = np.int64(np.uint64(0xE0F0A5C31B7D9F42).astype(np.int64))
-_BATCH = 64
+_BATCH = 96
 #: Counts that a task holds before it hands them on.
 _HELD = 1_500_000
 
@@ -79,8 +79,14 @@ def _counting(path: str):
                     continue
                 data = content[edges[0] : edges[-1]]
                 numbers = own.encode(hashes, places, word_ends(content, edges), data)
-                ids += np.bincount(own.ids(numbers)[0], minlength=own.size)
-                values, times = np.unique(hashes, return_counts=True)
+                # A word's number is known by now, so words are counted by number.
+                times = np.bincount(numbers)
+                seen = np.flatnonzero(times)
+                first = np.empty(len(times), np.int64)
+                first[numbers] = np.arange(len(numbers))
+                values, times = hashes[first[seen]], times[seen]
+                parts, lengths = own.ids(seen)
+                ids += np.bincount(parts, np.repeat(times, lengths), own.size).astype(np.int64)
                 keys.append(values)
                 counts.append(times)
                 held += len(values)
@@ -172,8 +178,7 @@ def _scoring(shared, path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = subwords(path)
         values, classes, words, logs = shared.value
-        p = att.unflat(values)
-        tables = att.tables_of(p)
+        tables = att.Tables(att.unflat(values))
         scored = slice(att.WINDOW - att.STRIDE, None)
         for batch in batches:
             content, starts = byte_view(batch.column(2))
@@ -187,10 +192,10 @@ def _scoring(shared, path: str):
                 inputs, where, exists, owner = _sequences(classes, ids, edge, np.full(high - low, classes.start))
                 targets = classes.classes[ids].astype(np.int32)
                 total = np.add.reduceat(classes.within[ids], edge[:-1])
-                for at in range(0, len(where), 1024):
-                    part = slice(at, at + 1024)
+                for at in range(0, len(where), 256):
+                    part = slice(at, at + 256)
                     asked = where[part, scored]
-                    found = att.log_chances(p, inputs[where[part]], exists[part], targets[asked], tables)
+                    found = att.log_chances(tables, inputs[where[part]], exists[part], targets[asked])
                     sums = np.where(exists[part, scored], found, 0).sum(1, dtype=np.float64)
                     total = total + np.bincount(owner[part], sums, high - low)
                 # Words in the table of frequent ones are settled here, the rest goes on with its hash.

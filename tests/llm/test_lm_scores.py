@@ -74,7 +74,7 @@ def test_chances_of_all_ids_sum_to_one():
     p = att.new_parameters()
     places, exists, _ = att.windows(np.array([0]), np.array([50]))
     inputs = np.random.default_rng(1).integers(0, att.INPUTS, 50)[places]
-    total = sum(np.exp(att.log_chances(p, inputs, exists, np.full((len(places), att.STRIDE), c))) for c in range(att.HEAD + att.BANDS))
+    total = sum(np.exp(att.log_chances(att.Tables(p), inputs, exists, np.full((len(places), att.STRIDE), c))) for c in range(att.HEAD + att.BANDS))
     assert total == pytest.approx(np.ones_like(total), abs=1e-4)
 
 
@@ -88,10 +88,10 @@ def test_each_place_is_scored_once_and_sees_what_is_before_it():
     rng = np.random.default_rng(3)
     inputs = rng.integers(0, att.INPUTS, 101)
     targets = rng.integers(0, att.HEAD, 101)
-    one = att.log_chances(p, inputs[places], exists, targets[places[:, scored]])
+    one = att.log_chances(att.Tables(p), inputs[places], exists, targets[places[:, scored]])
     changed = inputs.copy()
     changed[60] = (changed[60] + 1) % att.INPUTS
-    two = att.log_chances(p, changed[places], exists, targets[places[:, scored]])
+    two = att.log_chances(att.Tables(p), changed[places], exists, targets[places[:, scored]])
     differs = set(places[:, scored][exists[:, scored] & (one != two)].tolist())
     assert differs and min(differs) == 60 and max(differs) < 60 + att.WINDOW
 
@@ -108,7 +108,7 @@ def test_gradients_are_those_of_small_steps(name):
     targets = rng.integers(0, att.HEAD, 57)[asked]
 
     def loss():
-        return -np.where(there, att.log_chances(p, inputs, exists, targets), 0).sum() / there.sum()
+        return -np.where(there, att.log_chances(att.Tables(p), inputs, exists, targets), 0).sum() / there.sum()
 
     g = att.gradients(p, inputs, exists, targets, there)[name]
     for place in rng.permutation(p[name].size)[:6] if name != "embed" else range(0, 12 * att.WIDTH, 37):
