@@ -35,6 +35,8 @@ STEPS = 5
 #: Items looked up in one pass over the documents.
 ITEMS = 4096
 
+#: Runs whose votes are counted at a time; they stay in the processor's cache.
+_RUNS = 4096
 _LETTERS = plain_letters()
 
 
@@ -85,16 +87,25 @@ class Votes:
 
     def prints(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Fingerprint of each run: a bit is set where more than half of the weight votes for it."""
+        out = np.empty(len(starts), U)
+        for at in range(0, len(starts), _RUNS):
+            part = slice(at, at + _RUNS)
+            out[part] = self._prints(starts[part], ends[part])
+        return out
+
+    def _prints(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         half = (self.weight[ends] - self.weight[starts]) >> 1
         lift = ((1 << (self.lane - 1)) - 1 - half).astype(U) * self.ones
-        votes = self.sums[ends]
-        votes -= self.sums[starts]
+        votes = np.take(self.sums, ends, axis=0)
+        votes -= np.take(self.sums, starts, axis=0)
         votes += lift[:, None]
         votes &= self.high
-        out = votes[:, 0] >> U(self.lane - 1)
-        for plane in range(1, self.lane):
-            out |= votes[:, plane] >> U(self.lane - 1 - plane)
-        return out
+        votes >>= np.arange(self.lane - 1, -1, -1, dtype=U)[None, :]
+        planes = self.lane
+        while planes > 1:
+            planes //= 2
+            votes = votes[:, :planes] | votes[:, planes : 2 * planes]
+        return votes[:, 0]
 
 
 def _weights(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
