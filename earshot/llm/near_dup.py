@@ -14,20 +14,24 @@ on the full sets.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import row_key, without
+from .common import keep_rows, row_key
 from .components import components
 from .words import U, byte_view, mix, shingle_hashes, slices, word_hashes
 
 #: 30 bands of 5 slots: two sets of similarity 0.85 miss all but one band with a chance of 6e-7, of 0.8 with 1e-4.
 BANDS, ROWS = 30, 5
+#: Turns in which a class is compared with one member of each bucket.
+TURNS = 2
 #: Choices made without a table of each shingle's order; later ones are for short texts only.
 _SPARSE = 6
 
@@ -47,7 +51,7 @@ def super_min_hash(sets: list[np.ndarray], slots: int) -> np.ndarray:
     for j in range(slots):
         if not len(item):
             break
-        state = mix(item + U(j + 1) * U(0x9E3779B97F4A7C15))
+        state = mix(item + U((j + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
         other = j + ((state >> U(32)) * U(slots - j) >> U(32)).astype(np.int64)
         value = j + (mix(state) >> U(11)).astype(np.float64) / (1 << 53)
         if order is None and j >= _SPARSE:
@@ -85,6 +89,33 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix(keys + mix(np.arange(1, bands + 1, dtype=U))).view(np.int64)
 
 
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """Four bits of each slot, as planes of 64 slots a word (signatures x 4 words each), to count equal slots by xor."""
+    slots = signatures.shape[1]
+    words = -(-slots // 64)
+    codes = np.zeros((len(signatures), words * 64), np.uint8)
+    codes[:, :slots] = mix(np.ascontiguousarray(signatures).view(U)) >> U(60)
+    planes = [np.packbits(codes >> k & 1, axis=1, bitorder="little").view(np.int64) for k in range(4)]
+    return np.concatenate(planes, axis=1)
+
+
+def equal_slots(a: str, b: str, slots: int) -> Column:
+    """In how many slots two sketches agree."""
+    words = -(-slots // 64)
+
+    def differ(word: int) -> Column:
+        planes = [F.col(a)[k * words + word].bitwiseXOR(F.col(b)[k * words + word]) for k in range(4)]
+        return F.bit_count(reduce(Column.bitwiseOR, planes))
+
+    return F.lit(slots) - reduce(Column.__add__, [differ(w) for w in range(words)])
+
+
+def least_equal(percent: int, slots: int) -> int:
+    """Equal slots that a pair of this similarity has but for a chance of 3e-7 (five standard deviations)."""
+    share = percent / 100 + (1 - percent / 100) / 16
+    return math.floor(slots * share - 5 * math.sqrt(slots * share * (1 - share)))
+
+
 def _signatures(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,16 +123,17 @@ def _signatures(size: int, bands: int, rows: int):
             for first, last in slices(starts):
                 hashes, _, begin = word_hashes(content, starts[first : last + 1])
                 sets = _distinct(*shingle_hashes(hashes, begin, size))
-                keys = band_keys(super_min_hash(sets, bands * rows), bands, rows)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), pa.array(keys.ravel()))
+                signed = super_min_hash(sets, bands * rows)
+                tables = [band_keys(signed, bands, rows), sketches(signed)]
+                lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * t.shape[1], pa.int32()), pa.array(t.ravel())) for t in tables]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(k).slice(first, last - first) for k in (0, 1)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                        lists,
+                        *lists,
                     ],
-                    ["doc_id", "key", "n_shingles", "set_key", "bands"],
+                    ["doc_id", "key", "n_shingles", "set_key", "bands", "sketch"],
                 )
 
     return run
@@ -134,76 +166,111 @@ def near_duplicates(
     only null ids its id is null, and its documents are kept. ``key`` is
     ``common.row_key`` of the row; other columns are not read.
 
-    Pairs inside a bucket are not all compared. First every class is compared
-    with the smallest one of each of its buckets; what is linked is joined by
-    union-find. Then only classes of different components that share two bands
-    are compared. So every pair that shares two bands is either in one
-    component already or has been compared.
+    Pairs inside a bucket are not all compared. In each turn every class is
+    compared with one member of each of its buckets, the smallest or one by
+    chance, if they are not in one component yet; what is linked is joined by
+    union-find. A family of thousands is so settled by a few comparisons of
+    each. Then all pairs of classes that are still in different components,
+    share two bands and agree in enough slots are compared. So every pair that
+    could be a link is in one component already or has been compared.
     """
+    slots, enough = bands * rows, least_equal(percent, bands * rows)
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("key"), F.col(text).alias("text"))
     signed = keyed.mapInArrow(
-        _signatures(size, bands, rows), "doc_id long, key binary, n_shingles long, set_key binary, bands array<long>"
+        _signatures(size, bands, rows),
+        "doc_id long, key binary, n_shingles long, set_key binary, bands array<long>, sketch array<long>",
     )
     signed = materialize(signed, "signatures")
 
     classes = (
         signed.filter("n_shingles > 0")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.min("key").alias("key"))
+        .agg(*[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")], F.min("doc_id").alias("least_id"), F.min("key").alias("key"))
+        .withColumnRenamed("n_shingles", "n")
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = materialize(classes, "classes")
 
     banded = classes.select("node", F.explode("bands").alias("band"))
-    hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("members")).filter("members > 1").drop("members")
-    members = materialize(banded.join(hubs, "band"), "buckets")
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs whose sizes allow a link and that share two bands."""
-        a = classes.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("bands").alias("a_bands"))
-        b = classes.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("bands").alias("b_bands"))
-        both = pairs.distinct().join(a, "a").join(b, "b")
-        shared = F.size(F.array_intersect("a_bands", "b_bands"))
-        fits = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
-        return materialize(both.filter(fits & (shared >= 2)).select("a", "b", "a_n", "b_n"), "candidates")
+    shared = banded.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1").select("band")
+    members = materialize(banded.join(shared, "band"), "buckets")
+
+    def fits(a: str, b: str) -> Column:
+        """Sizes and slots allow a link."""
+        near = F.least(f"{a}_n", f"{b}_n") * 100 >= F.greatest(f"{a}_n", f"{b}_n") * percent
+        return near & (equal_slots(f"{a}_sketch", f"{b}_sketch", slots) >= enough)
+
+    def side(name: str) -> DataFrame:
+        return classes.select(F.col("node").alias(name), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """Full sets of some classes, from one text of each."""
+        texts = keyed.select("key", "text").join(classes.join(nodes, "node", "left_semi").select("key", "node"), "key")
+        # Repeated rows have one key: their sets are equal, the first one counts.
+        return texts.dropDuplicates(["key"]).select("node", "text").mapInArrow(_sets(size), "node long, shingles array<long>")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """Of the candidate pairs, those that full sets confirm."""
+        """Of the pairs (a, b), those that full sets confirm."""
+        pairs = pairs.distinct().join(side("a"), "a").join(side("b"), "b").filter(fits("a", "b")).select("a", "b", "a_n", "b_n")
+        pairs = materialize(pairs, "candidates")
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        texts = keyed.select("key", "text").join(classes.join(wanted, "node", "left_semi").select("key", "node"), "key")
-        # Repeated rows have one key: their sets are equal, the first one counts.
-        sets = texts.dropDuplicates(["key"]).select("node", "text").mapInArrow(_sets(size), "node long, shingles array<long>")
-        sets = materialize(sets, "sets")
+        sets = materialize(sets_of(wanted), "sets")
         first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("a_set"))
         second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("b_set"))
         common = F.size(F.array_intersect("a_set", "b_set"))
         confirmed = pairs.join(first, "a").join(second, "b").withColumn("common", common)
         return materialize(confirmed.filter(F.col("common") * 100 >= (F.col("a_n") + F.col("b_n") - F.col("common")) * percent).select("a", "b"), "confirmed")
 
-    stars = alike(members.filter("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")))
-    links = linked(stars)
-    roots = components(links)
-
-    # Buckets whose classes are not all in one component: look for pairs across components.
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band")
-    open_rows = placed.join(mixed, "band").select("band", "node", "root")
+    def placed(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+        if roots is None:
+            return rows.withColumn("root", F.col("node"))
+        return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    links: DataFrame | None = None
+    roots: DataFrame | None = None
+    for turn in range(TURNS):
+        here = placed(members, roots)
+        rank = F.col("node") if turn == 0 else F.xxhash64(F.lit(turn), "band", "node")
+        hubs = here.groupBy("band").agg(
+            F.min_by("node", rank).alias("hub"), F.min_by("root", rank).alias("hub_root"), F.min("root").alias("low"), F.max("root").alias("high")
+        )
+        pairs = here.join(hubs.filter("low < high"), "band").filter("root <> hub_root")
+        found = linked(pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")))
+        if found.isEmpty():
+            break
+        links = found if links is None else links.unionByName(found)
+        roots = components(links)
+
+    # What is still apart: pairs that share two bands, in cells of both. A shingle that no other of these classes has
+    # is common to no pair, which settles most of a large family whose members have drifted too far from each other.
+    here = placed(members, roots)
+    apart = here.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band")
+    waiting = materialize(here.join(apart, "band"), "waiting")
+    shingled = sets_of(waiting.select("node").distinct()).select("node", F.explode("shingles").alias("shingle"))
+    lone = shingled.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("node").alias("node")).filter("holders = 1")
+    own = lone.groupBy("node").agg(F.count("*").alias("own"))
+    common = classes.join(own, "node", "left").select("node", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"), "n", "sketch", "bands")
+    # Whoever is linked shares so many shingles with a class of at least percent of its size.
+    common = common.filter(F.col("c") * 100 >= F.col("n") * percent)
     twice = (
-        open_rows.join(classes.select("node", "bands"), "node")
+        waiting.join(common.select("node", "bands"), "node")
         .select("node", "root", "band", F.explode("bands").alias("other"))
         .filter("band < other")
         .select("node", "root", F.xxhash64("band", "other").alias("cell"))
     )
     crossed = twice.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("cell")
-    rest = materialize(twice.join(crossed, "cell"), "cells")
-    left, right = (rest.select("cell", F.col("node").alias(n), F.col("root").alias(f"{n}_root")) for n in ("a", "b"))
-    across = left.join(right, (left["cell"] == right["cell"]) & (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root"))).select("a", "b")
-    across = alike(across).join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    across = materialize(across, "across")
-    if not across.isEmpty():
-        roots = components(links.unionByName(linked(across)))
-
-    labelled = classes.select("set_key", "node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = materialize(twice.join(crossed, "cell").join(common.select("node", "c", "n", "sketch"), "node"), "cells")
+    left, right = (rest.select("cell", F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("root", "c", "n", "sketch")]) for x in "ab")
+    enough_common = F.least("a_c", "b_c") * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
+    across = left.join(
+        right, (left["cell"] == right["cell"]) & (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & enough_common & fits("a", "b")
+    )
+    found = linked(materialize(across.select("a", "b").distinct(), "across"))
+    if not found.isEmpty():
+        links = found if links is None else links.unionByName(found)
+        roots = components(links)
+
+    labelled = placed(classes.select("set_key", "node", "least_id"), roots)
     least = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_set = labelled.join(least, "root").select("set_key", "component_id")
     out = signed.select("doc_id", "n_shingles", "set_key", "key").join(by_set, "set_key", "left")
@@ -215,6 +282,4 @@ def near_duplicates(
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id; columns as they were."""
-    found = near_duplicates(docs, **options)
-    dropped = materialize(found.filter(~F.col("kept")).select(F.col("key").alias("_key")), "dropped")
-    return without(docs, dropped, row_key())
+    return keep_rows(docs, near_duplicates(docs, **options).select("key", "kept"), row_key())
