@@ -29,12 +29,14 @@ from ..session import materialize
 from .words import U, byte_view, mix, powers, slices
 
 LENGTH, GRAM = 200, 32
+#: Bytes of text whose anchors are found at a time.
+SLICE = 1 << 19
 #: Bits of a place in a slice; the rest of a number compares hashes.
 _PLACE = U(34)
 _BYTE = mix(np.arange(1, 257, dtype=U) * U(0x8EBC6AF09C88C6E3)) | U(1)
 _OTHER = mix(np.arange(1, 257, dtype=U) * U(0x589965CC75374CC3)) | U(1)
 #: Contexts compared at a time.
-_CONTEXTS = 16_384
+_CONTEXTS = 8_192
 
 
 def _prefix(data: np.ndarray, table: np.ndarray = _BYTE) -> np.ndarray:
@@ -99,7 +101,7 @@ def _anchor_rows(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             content, starts = byte_view(batch.column(1))
-            for first, last in slices(starts):
+            for first, last in slices(starts, SLICE):
                 row, place, low, high, grams, context = anchors(content, starts[first : last + 1], length, gram)
                 if len(row):
                     yield pa.RecordBatch.from_arrays(
