@@ -182,6 +182,10 @@ def find_spans(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUP
     return joined.select("row_no", "doc_id", "key", "base", F.array_sort(F.concat("base", free)).alias("spans"))
 
 
+def count_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 

@@ -40,7 +40,7 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(_table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.PATTERNS]
+    counts = [pii.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.PATTERNS]
     base = F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256")
     return found.select("doc_id", *counts, base, pii.span_text(F.col("spans")).alias("spans"))
 
@@ -72,6 +72,24 @@ ranked AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
 """
 
+OP8_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+places AS (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 2, 1))) AS i FROM split WHERE len(words) > 0),
+shingles AS (SELECT DISTINCT doc_id, hash(CASE WHEN len(words) < 3 THEN words ELSE words[i : i + 2] END) AS s FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_have
+           FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * both_have >= 85 * (x.n + y.n - both_have)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
 QUERIES: dict[str, Plan] = {
     plan.__name__: plan
     for plan in (
@@ -79,4 +97,4 @@ QUERIES: dict[str, Plan] = {
         op10_exact_dedup,
     )
 }
-SQL: dict[str, str] = {"op10_exact_dedup": OP10_SQL}
+SQL: dict[str, str] = {"op8_near_dup": OP8_SQL, "op10_exact_dedup": OP10_SQL}
