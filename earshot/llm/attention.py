@@ -151,6 +151,19 @@ def log_chances(t: Tables, inputs: np.ndarray, exists: np.ndarray, targets: np.n
     return (chosen - np.log(total + 1e-38)).reshape(targets.shape)
 
 
+def _row_sums(ids: np.ndarray, size: int, *parts: np.ndarray) -> list[np.ndarray]:
+    """Sum of each part's rows by the id that they belong to, one row per id."""
+    order = np.argsort(ids.astype(np.int16), kind="stable")
+    placed = ids[order]
+    begin = np.flatnonzero(np.concatenate([[True], placed[1:] != placed[:-1]]))
+    out = []
+    for part in parts:
+        sums = np.zeros((size, part.shape[1]), part.dtype)
+        sums[placed[begin]] = np.add.reduceat(part[order], begin, axis=0)
+        out.append(sums)
+    return out
+
+
 def gradients(p: dict, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
     """Mean gradient of the log loss over the places that count (windows x STRIDE)."""
     asked, q, k, v, weights, total, mixed, hidden, scores = _forward(Tables(p), inputs, exists)
@@ -169,12 +182,13 @@ def gradients(p: dict, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarr
     g["far"] = np.bincount(_BACK[_SEEN], d_logits.sum(0)[_SEEN], WINDOW).astype(np.float32)
     # The queries hold the scale already.
     d_q, d_k = d_logits @ k / np.float32(np.sqrt(WIDTH)), d_logits.transpose(0, 2, 1) @ q
-    rows, asked_rows = p["embed"][inputs].reshape(-1, WIDTH), p["embed"][asked].reshape(-1, WIDTH)
     flat_q, flat_k, flat_v = (d.reshape(-1, WIDTH) for d in (d_q, d_k, d_v))
-    g["query"], g["key"], g["value"] = asked_rows.T @ flat_q, rows.T @ flat_k, rows.T @ flat_v
-    g["embed"] = np.zeros_like(p["embed"])
-    np.add.at(g["embed"], asked.ravel(), d_inner.reshape(-1, WIDTH) + flat_q @ p["query"].T)
-    np.add.at(g["embed"], inputs.ravel(), flat_k @ p["key"].T + flat_v @ p["value"].T)
+    # Queries, keys and values follow from the id, so their gradients are summed by id before they meet the parameters.
+    size = len(p["embed"])
+    by_inner, by_q = _row_sums(asked.ravel(), size, d_inner.reshape(-1, WIDTH), flat_q)
+    by_k, by_v = _row_sums(inputs.ravel(), size, flat_k, flat_v)
+    g["query"], g["key"], g["value"] = (p["embed"].T @ d for d in (by_q, by_k, by_v))
+    g["embed"] = by_inner + by_q @ p["query"].T + by_k @ p["key"].T + by_v @ p["value"].T
     return g
 
 

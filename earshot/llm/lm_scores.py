@@ -6,9 +6,9 @@ counts of the ids. Both learn from the documents that are not held out.
 
 Counts cover all training text. The attention model is trained in rounds: every
 task goes on from the same parameters over its own documents, the parameters
-are then averaged by tokens in a shuffle, one row per parameter. A round takes
-every ``EACH``-th block of words of every training document, from one end of
-the corpus to the other, so what it learns from grows with the corpus.
+are then averaged by tokens in a shuffle, one row per parameter. The rounds
+deal the blocks of words of every training document among them: each block is
+learnt from in exactly one round, so together they are one full pass.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from .words import U, byte_view, mix, slices, word_ends, word_hashes
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: A word with at least 1 / FREQUENT of all tokens is looked up in the tasks; there can be no more than FREQUENT of them.
 FREQUENT = 500_000
-#: Words of a block, and of how many blocks a round takes one.
-BLOCK, EACH, ROUNDS = 96, 24, 2
+#: Words of a block, and the rounds that a full pass over all blocks is dealt to.
+BLOCK, ROUNDS = 96, 2
 END = np.int64(np.uint64(0xE0F0A5C31B7D9F42).astype(np.int64))
 _BATCH = 96
 #: Counts that a task holds before it hands them on.
@@ -108,19 +108,19 @@ def _counting(path: str):
     return run
 
 
-def _block_words(first: np.ndarray, keys: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of each chosen block in words, whether a text starts and whether it ends with it."""
+def _block_words(first: np.ndarray, keys: np.ndarray, turn: int, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each block of this round in words, whether a text starts and whether it ends with it."""
     words = np.diff(first)
     count = np.maximum(-(-words // BLOCK), 1)
     owner = np.repeat(np.arange(len(words)), count)
     number = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    chosen = (number + keys[owner]) % EACH == turn
+    chosen = (number + keys[owner]) % rounds == turn
     owner, number = owner[chosen], number[chosen]
     begin = first[owner] + number * BLOCK
     return begin, np.minimum(begin + BLOCK, first[owner + 1]), number == 0, number == count[owner] - 1
 
 
-def _training(shared, path: str, turn: int, rate: float):
+def _training(shared, path: str, turn: int, rounds: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, (start, classes) = subwords(path), shared.value
         trainer = att.Trainer(att.unflat(start), rate)
@@ -130,7 +130,7 @@ def _training(shared, path: str, turn: int, rate: float):
             for low, high in slices(starts):
                 edges = starts[low : high + 1]
                 hashes, places, first = word_hashes(content, edges)
-                begin, end, opens, closes = _block_words(first, salts[low:high], turn)
+                begin, end, opens, closes = _block_words(first, salts[low:high], turn, rounds)
                 if not len(begin):
                     continue
                 sizes = end - begin
@@ -232,14 +232,14 @@ def count_tokens(training: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame
 
 
 def train(training: DataFrame, classes: att.Classes, vocabulary: str = VOCABULARY, rounds: int = ROUNDS, rate: float = 0.01) -> np.ndarray:
-    """Flat parameters of the attention model after some rounds over ``training`` (text, salt)."""
+    """Flat parameters of the attention model after one pass over all of ``training`` (text, salt), dealt to ``rounds``."""
     parameters = att.flat(att.new_parameters(classes.mass))
     for turn in range(rounds):
         shared = training.sparkSession.sparkContext.broadcast((parameters, classes))
-        sums = training.mapInArrow(_training(shared, vocabulary, turn, rate / (turn + 1)), "place int, value double")
+        sums = training.mapInArrow(_training(shared, vocabulary, turn, rounds, rate / (turn + 1)), "place int, value double")
         found = sorted(sums.groupBy("place").agg(F.sum("value").alias("value")).collect())  # one row per parameter
         if not found:
-            break
+            continue  # a small corpus may have no block in this round
         values = np.array([r.value for r in found])
         parameters = (values[:-1] / values[-1]).astype(np.float32)
     return parameters
@@ -269,7 +269,8 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = FREQUEN
     for key, count in counts.filter("kind = 1").select("key", "count").toArrow().to_pandas().itertuples(index=False):  # at most the vocabulary
         ids[key] = count
     classes = att.make_classes(ids)
-    salted = learnt.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(EACH)).alias("salt"))
+    # A salt is below the number of rounds, so that short documents do not all go to one of them.
+    salted = learnt.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(max(rounds, 1))).alias("salt"))
     parameters = train(salted, classes, vocabulary, rounds)
 
     ends = words.filter(F.col("key") == int(END)).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("c")).first().c

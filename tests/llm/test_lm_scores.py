@@ -120,3 +120,31 @@ def test_gradients_are_those_of_small_steps(name):
         down = loss()
         p[name][at] = kept
         assert g[at] == pytest.approx((up - down) / 2e-4, abs=2e-5)
+
+
+def test_every_block_is_learnt_from_once():
+    words = np.array([0, 1, 96, 97, 500, 2_300, 12_345])
+    first = np.concatenate([[0], np.cumsum(words)])
+    salts = np.arange(len(words)) % lm_scores.ROUNDS
+    taken = [lm_scores._block_words(first, salts, turn, lm_scores.ROUNDS) for turn in range(lm_scores.ROUNDS)]
+    begin, end, opens, closes = (np.concatenate(parts) for parts in zip(*taken))
+    times = np.zeros(first[-1], int)
+    for a, b in zip(begin, end):
+        times[a:b] += 1
+    assert (times == 1).all()
+    assert opens.sum() == closes.sum() == len(words)
+
+
+def test_all_tokens_give_gradients(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(37 * k % 400)), k) for k in range(60)], "doc_id long, text string, salt long")
+    own = subwords(lm_scores.VOCABULARY)
+    content = [own._encoding.encode_ordinary(" " + w) for r in docs.collect() for w in r.text.split()]
+    asked = sum(map(len, content)) + docs.count()
+    classes = att.make_classes(np.ones(own.size, np.int64))
+    shared = spark.sparkContext.broadcast((att.flat(att.new_parameters(classes.mass)), classes))
+    seen = 0.0
+    for turn in range(lm_scores.ROUNDS):
+        run = lm_scores._training(shared, lm_scores.VOCABULARY, turn, lm_scores.ROUNDS, 0.01)
+        sums = docs.select("text", "salt").coalesce(1).mapInArrow(run, "place int, value double")
+        seen += max(sums.collect(), key=lambda r: r.place).value
+    assert seen == asked
