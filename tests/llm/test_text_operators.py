@@ -84,6 +84,35 @@ def test_repeated_runs_go_where_no_article_is_marked(spark):
     assert len(set(copies.values())) == 1 and notice in copies[0][0]
 
 
+def _says(*words):
+    return " ".join(str(w) for w in words)
+
+
+def test_repeats_are_found_at_any_offset(spark):
+    notice = _says(*(f"n{j}" for j in range(20)))
+    rows = [(k, "https://h.org/x", f"<p>{_says(*(f'a{k}x{j}' for j in range(20 + k)))} {notice} {_says(*(f'b{k}x{j}' for j in range(20)))}</p>") for k in range(2, 12)]
+    for k, (text, _) in _texts(spark, rows).items():
+        assert text == _says(*(f"a{k}x{j}" for j in range(20 + k)), *(f"b{k}x{j}" for j in range(20)))
+
+
+def test_what_only_one_page_says_twice_stays(spark):
+    twice = _says(*(f"t{j}" for j in range(10)))
+    page = f"<p>{twice} {_says(*(f'a{j}' for j in range(12)))}</p><p>{twice} {_says(*(f'b{j}' for j in range(12)))}</p>"
+    rows = [(1, "https://h.org/1", page), (2, "https://h.org/2", "<p>something else is said here on this other page</p>"), (3, "https://g.org/1", page)]
+    got = _texts(spark, rows)
+    assert got[1][0].count(twice) == got[3][0].count(twice) == 2
+
+
+def test_runs_are_those_of_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    streams = [(k, f"h{k % 2}", _says(*rng.integers(0, 3, 60))) for k in range(12)]
+    runs = html_text.repeated_runs(spark.createDataFrame(streams, "row_no long, host string, stream string")).collect()
+    n = html_text.MIN_TOKENS
+    cut = {(k, s): (h, t.split()[s : s + n]) for k, h, t in streams for s in range(60 - n + 1)}
+    want = {(k, s) for (k, s), run in cut.items() if any(run == other for (j, _), other in cut.items() if j != k)}
+    assert want and {(r.row_no, r.start) for r in runs} == want and len(runs) == len(want)
+
+
 def test_long_and_broken_pages(spark):
     rows = [(1, "a", "<p " + 'x="' * 20_000), (2, "a", "<" * 50_000), (3, "a", "<div>" * 5_000 + "deep"), (4, "a", "<p>" + "word " * 100_000)]
     got = _texts(spark, rows)
