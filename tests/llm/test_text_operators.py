@@ -95,6 +95,18 @@ def test_repeats_are_found_at_any_offset(spark):
         assert text == _says(*(f"a{k}x{j}" for j in range(20 + k)), *(f"b{k}x{j}" for j in range(20)))
 
 
+def test_repeats_go_from_marked_articles_and_unique_text_stays(spark):
+    notice = "Our shop sells all that you read about here, at half price."
+    own = {k: f"{_says(*(f'a{k}x{j}' for j in range(15)))}." for k in range(6)}
+    rest = {k: f"Here {_says(*(f'b{k}x{j}' for j in range(15)))} end." for k in range(6)}
+    rows = [(k, "https://h.org/x", f"<article><p>{own[k]} {notice} {rest[k]}</p></article><footer>f</footer>") for k in range(6)]
+    # A near copy of an article is not boilerplate.
+    rows += [(k, "https://g.org/x", f"<article><p>{own[0]} {notice} {rest[0]}</p><p>Copy {k}.</p></article>") for k in (10, 11)]
+    got = _texts(spark, rows)
+    assert {k: got[k][0] for k in range(6)} == {k: f"{own[k]} {rest[k]}" for k in range(6)}
+    assert got[10][0] == f"{own[0]} {notice} {rest[0]} Copy 10."
+
+
 def test_what_only_one_page_says_twice_stays(spark):
     twice = _says(*(f"t{j}" for j in range(10)))
     page = f"<p>{twice} {_says(*(f'a{j}' for j in range(12)))}</p><p>{twice} {_says(*(f'b{j}' for j in range(12)))}</p>"
