@@ -1,10 +1,11 @@
-"""Personal data, and terms near it that reveal whose it is.
+"""Personal data, and terms that reveal whose it is.
 
 Patterns find e-mail and network addresses, card and telephone numbers. A term
-beside such an entity is judged by information: the entity's content is
+that shares a document with such an entity is judged by information: the entity's content is
 IC = log2(N / n_entity) over all N documents, what a term tells of it is
 PMI = log2(N * n_both / (n_term * n_entity)). A term that tells ``threshold``
-of the content or more is disclosing. It is generalised to its stem if the
+of the content or more is disclosing, wherever it stands in a document that
+holds the entity. It is generalised to its stem if the
 stem stays below the threshold, else removed. Only DataFrame functions are used.
 """
 
@@ -29,8 +30,7 @@ PATTERNS = {
 KINDS = [*PATTERNS, "term"]
 _PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
-#: Code points on either side of an entity in which its terms stand; a term is a run of letters.
-REACH = 80
+#: A term is a run of letters.
 TERM = r"\p{L}{4,}"
 STEM = 4
 #: Share of an entity's information from which a term discloses it, and the documents that must show it.
@@ -61,56 +61,53 @@ def _holds(kind: Column, hit: Column) -> Column:
 
 
 def _matches(text: Column, kind: str, clue: Column) -> Column:
-    """Array of a kind's matches in order, each with the code points since the one before and the text around it."""
+    """Array of a kind's matches in order, each with the code points since the one before."""
     pattern = F.lit(PATTERNS[kind])
     hits = F.when(clue, F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(F.array().cast("array<string>"))
     gaps = F.when(F.size(hits) > 0, F.split(text, PATTERNS[kind], -1)).otherwise(F.array().cast("array<string>"))
-    short = F.transform(
-        gaps, lambda g: F.struct(F.length(g).alias("n"), F.substr(g, F.lit(1), F.lit(REACH)).alias("head"), F.right(g, F.lit(REACH)).alias("tail"))
-    )
     return F.zip_with(
-        hits,
-        F.zip_with(F.slice(short, F.lit(1), F.size(hits)), F.slice(short, F.lit(2), F.size(hits)), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-        lambda hit, gap: F.struct(
-            F.lit(kind).alias("kind"), hit.alias("hit"), gap["a"]["n"].alias("gap"), gap["a"]["tail"].alias("before"), gap["b"]["head"].alias("after"),
-            gap["b"]["n"].alias("room"),
-        ),
+        hits, F.slice(F.transform(gaps, F.length), F.lit(1), F.size(hits)), lambda hit, gap: F.struct(F.lit(kind).alias("kind"), hit.alias("hit"), gap.alias("gap"))
     )
 
 
-def _terms(context: Column, cut_before: Column, cut_after: Column) -> Column:
-    """Array of ``term, at`` (code points from the context's start); a word that a cut may have shortened is left out."""
-    words = F.regexp_extract_all(context, F.lit(TERM), F.lit(0))
-    gaps = F.split(context, TERM, -1)
-    places = F.sequence(F.lit(0), F.size(words) - 1)
-    sizes = F.transform(F.arrays_zip(gaps.alias("g"), words.alias("w")), lambda z: F.length(z["g"]) + F.coalesce(F.length(z["w"]), F.lit(0)))
-
-    def place(i: Column) -> Column:
-        before = F.aggregate(F.slice(sizes, F.lit(1), i), F.lit(0), lambda total, n: total + n)
-        return F.struct(F.get(words, i).alias("term"), (before + F.length(F.get(gaps, i))).alias("at"))
-
-    whole = F.filter(
-        F.when(F.size(words) > 0, F.transform(places, place)).otherwise(F.array().cast("array<struct<term:string,at:int>>")),
-        lambda t: ~(cut_before & (t["at"] == 0)) & ~(cut_after & (t["at"] + F.length(t["term"]) == F.length(context))),
+def _places(texts: DataFrame) -> DataFrame:
+    """``row_no, at, n, action`` of every occurrence of a row's ``told`` terms (term to action) in its ``body``."""
+    words = F.regexp_extract_all("body", F.lit(TERM), F.lit(0))
+    gaps = F.slice(F.transform(F.split("body", TERM, -1), F.length), F.lit(1), F.size(words))
+    found = F.zip_with(
+        words, gaps, lambda w, g: F.struct(F.length(w).alias("n"), g.alias("gap"), F.try_element_at(F.col("told"), F.lower(w)).alias("action"))
     )
-    return whole
+    rows = texts.select("row_no", F.posexplode(found).alias("no", "t")).select("row_no", "no", "t.*")
+    in_row = Window.partitionBy("row_no").orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ended = rows.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(in_row))
+    return ended.filter(F.col("action").isNotNull()).select("row_no", (F.col("end") - F.col("n")).alias("at"), "n", "action")
 
 
 def stem(term: Column) -> Column:
     return F.concat(F.substr(term, F.lit(1), F.lit(STEM)), F.lit("*"))
 
 
-def disclosing_terms(docs: DataFrame, beside: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT, text: str = "text") -> DataFrame:
+def _listed(text: Column) -> Column:
+    """The distinct terms of a text and their stems."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+    return F.array_distinct(F.concat(words, F.transform(words, stem)))
+
+
+def disclosing_terms(
+    docs: DataFrame, holders: DataFrame, bodies: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT, text: str = "text"
+) -> DataFrame:
     """``entity, term, disclosure, action`` of terms that tell ``threshold`` of an entity's information or more.
 
-    ``beside`` has ``row_no, entity, term`` for each term beside each entity.
-    Counts are documents, over all of ``docs``.
+    ``holders`` has ``row_no, entity`` once for each entity of a document,
+    ``bodies`` has ``row_no, body`` of these documents at least. Counts are
+    whole documents, over all of ``docs``.
     """
-    both = beside.select("row_no", "entity", F.explode(F.array("term", stem(F.col("term")))).alias("term")).distinct()
-    pairs = both.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    entities = beside.select("row_no", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text_of(text)), F.lit(TERM), F.lit(0)))
-    listed = docs.select(F.explode(F.array_distinct(F.concat(words, F.transform(words, stem)))).alias("term"))
+    # No term is in more of an entity's documents than there are.
+    entities = holders.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= support)
+    held = holders.join(entities.select("entity"), "entity").groupBy("row_no").agg(F.collect_list("entity").alias("entities"))
+    both = bodies.join(held, "row_no").select(F.explode("entities").alias("entity"), _listed(F.col("body")).alias("terms"))
+    pairs = both.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    listed = docs.select(F.explode(_listed(text_of(text))).alias("term"))
     terms = listed.groupBy("term").agg(F.count("*").alias("n_term"))
     everything = docs.agg(F.count("*").alias("n"))
     told = (
@@ -146,8 +143,9 @@ def find_spans(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUP
         F.col(doc_id).alias("doc_id"),
         row_key(doc_id, text).alias("key"),
         F.concat(*[_matches(body, kind, clues[kind]) for kind in PATTERNS]).alias("found"),
+        body.alias("body"),
     )
-    found = materialize(found, "found")
+    found = materialize(found.withColumn("body", F.when(F.size("found") > 0, F.col("body"))), "found")
 
     rows = found.filter(F.size("found") > 0).select("row_no", F.posexplode("found").alias("no", "m")).select("row_no", "no", "m.*")
     in_kind = Window.partitionBy("row_no", "kind").orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -155,13 +153,12 @@ def find_spans(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUP
     held = materialize(ended.filter(_holds(F.col("kind"), F.col("hit"))), "held")
 
     entity = F.concat_ws(":", "kind", F.when(F.col("kind").isin("card", "phone"), F.regexp_replace("hit", "[^0-9]", "")).otherwise(F.lower("hit")))
-    left = _terms(F.col("before"), F.col("gap") > REACH, F.lit(False))
-    right = _terms(F.col("after"), F.lit(False), F.col("room") > REACH)
-    from_left = F.transform(left, lambda t: F.struct(F.lower(t["term"]).alias("term"), (F.col("start") - F.length("before") + t["at"]).alias("at"), F.length(t["term"]).alias("n")))
-    from_right = F.transform(right, lambda t: F.struct(F.lower(t["term"]).alias("term"), (F.col("end") + t["at"]).alias("at"), F.length(t["term"]).alias("n")))
-    beside = held.select("row_no", entity.alias("entity"), F.inline(F.concat(from_left, from_right)))
-    beside = materialize(beside, "beside")
-    told = disclosing_terms(docs, beside, threshold, support, text)
+    holders = materialize(held.select("row_no", entity.alias("entity")).distinct(), "holders")
+    bodies = found.filter(F.size("found") > 0).select("row_no", "body")
+    told = disclosing_terms(docs, holders, bodies, threshold, support, text)
+    # What one entity wants removed is removed.
+    wanted = holders.join(told, "entity").groupBy("row_no", "term").agg(F.max("action").alias("action"))
+    by_row = wanted.groupBy("row_no").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("told"))
 
     def span(kind: Column, start: Column, end: Column, action: Column) -> Column:
         turn = reduce(lambda c, k: c.when(kind == k, KINDS.index(k)), KINDS[1:], F.when(kind == KINDS[0], 0))
@@ -169,9 +166,7 @@ def find_spans(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUP
 
     base = held.groupBy("row_no").agg(F.array_sort(F.collect_list(span(F.col("kind"), F.col("start"), F.col("end"), F.lit("remove")))).alias("base"))
     terms = (
-        beside.join(told, ["entity", "term"])
-        .groupBy("row_no", "at", "n")
-        .agg(F.max("action").alias("action"))  # what one entity wants removed is removed
+        _places(bodies.join(by_row, "row_no"))
         .groupBy("row_no")
         .agg(F.collect_list(span(F.lit("term"), F.col("at"), F.col("at") + F.col("n"), F.col("action"))).alias("terms"))
     )

@@ -287,6 +287,19 @@ def test_terms_that_tell_who_it_is(spark):
     assert pii.find_spans(docs.limit(0)).count() == 0
 
 
+def test_disclosing_terms_are_found_in_the_whole_text(spark):
+    filler = "common words about nothing " * 20
+    rows = [(k, f"{filler} number {k}") for k in range(40)]
+    rows += [(100 + k, f"Quxley began. {filler}Mail zq@example.org, exp 12, {filler}signed Quxley. {filler}QUXLEY said {k}") for k in range(3)]
+    rows += [(200, f"{filler}Quxley elsewhere")]
+    found = {r.doc_id: r for r in pii.find_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        spans = [(s.start, text[s.start : s.end]) for s in found[i].spans if s.kind == "term" and text[s.start : s.end].lower() == "quxley"]
+        want = [k for k in range(len(text)) if text[k : k + 6].lower() == "quxley"] if 100 <= i < 200 else []
+        assert [at for at, _ in spans] == want
+        assert not any("common" in text[s.start : s.end] for s in found[i].spans)
+
+
 def test_spans_of_repeated_rows_and_clashing_names(spark):
     docs = spark.createDataFrame([(1, "to me@x.org now", 1), (1, "to me@x.org now", 2), (None, "to me@x.org now", 3)], "doc_id long, text string, spans int")
     assert [[s.kind for s in r.base] for r in pii.find_spans(docs).collect()] == [["email"]] * 3
