@@ -125,21 +125,27 @@ class Items:
     common: np.ndarray
 
 
-def prepare(ids: list, texts: list, near: int = NEAR) -> Items:
-    """Fingerprints of the items; an item shorter than a shingle is one shingle, one without words is left out."""
-    found = []
-    for text in texts:
-        data = np.frombuffer((text or "").encode(), np.uint8)
-        found.append(word_hashes(data, np.array([0, len(data)]), _LETTERS)[0])
-    sets = []
-    for hashes in found:
-        size = min(SHINGLE, len(hashes))
-        sets.append(_rolling(hashes, size)[: len(hashes) - size + 1] if size else np.zeros(0, U))
-    every = np.concatenate([np.unique(s) for s in sets]) if sets else np.zeros(0, U)
-    values, times = np.unique(every, return_counts=True)
-    common = values[times > 1]
+def _item_shingles(text: str | None) -> tuple[int, np.ndarray]:
+    """Number of words of an item and its shingles; an item shorter than a shingle is one."""
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    hashes = word_hashes(data, np.array([0, len(data)]), _LETTERS)[0]
+    size = min(SHINGLE, len(hashes))
+    return len(hashes), _rolling(hashes, size)[: len(hashes) - size + 1] if size else np.zeros(0, U)
+
+
+def _item_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``shingle`` once for each item that has it."""
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_item_shingles(text)[1]).view(np.int64))], ["shingle"])
+
+
+def prepare(ids: list, texts: list, common: np.ndarray, near: int = NEAR) -> Items:
+    """Fingerprints of the items, one without words is left out; ``common`` are the shingles that several items share, in order."""
+    found = [_item_shingles(text) for text in texts]
+    sets = [shingles for _, shingles in found]
     groups = []
-    lengths = np.array([len(h) for h in found])
+    lengths = np.array([words for words, _ in found])
     for words in np.unique(lengths[lengths > 0]):
         numbers = np.flatnonzero(lengths == words)
         prints = []
@@ -252,15 +258,20 @@ def _clean(items, least: float):
 
 
 def _item_blocks(benchmark: DataFrame, item_id: str, text: str, size: int) -> Iterator[Items]:
-    """The benchmark in blocks of about ``size`` items, each small enough for every task."""
+    """The benchmark in blocks of about ``size`` items, each small enough for every task; what is common is so in all of it."""
     rows = benchmark.select(F.col(item_id).cast("long").alias("i"), F.lower(F.col(text)).alias("t")).filter("t IS NOT NULL")
     count = rows.count()
     parts = -(-count // size)
+    if not parts:
+        return
+    sets = rows.select("t").mapInArrow(_item_sets, "shingle long")
+    shared = sets.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1").select("shingle")
+    common = np.sort(shared.toArrow()["shingle"].to_numpy().view(U))
     for part in range(parts):
         block = rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part) if parts > 1 else rows
         found = sorted(block.collect(), key=lambda r: (r.i is None, r.i or 0, r.t))
         if found:
-            yield prepare([r.i for r in found], [r.t for r in found])
+            yield prepare([r.i for r in found], [r.t for r in found], common)
 
 
 def find_leaks(
@@ -275,7 +286,8 @@ def find_leaks(
     Null and empty texts and items match nothing, repeated documents and items
     each have their rows, an empty benchmark gives no rows. The benchmark is
     the stated query set: it is taken in blocks, each one pass over the
-    documents, and only a block's fingerprints are sent to the tasks.
+    documents, and only a block's fingerprints and the shingles that several
+    items of the whole benchmark share are sent to the tasks.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.lower(F.col(text)).alias("text"))

@@ -215,6 +215,16 @@ def test_leaks_are_found_and_others_left_alone(spark, sf):
     assert blocks.count() == len(got)
 
 
+def test_similarity_does_not_depend_on_blocks(spark):
+    own = [f"w{k}" for k in range(38)]
+    # Items share shingles with each other; a document has the first of them with its last words changed.
+    items = [(k, " ".join(own[: 10 + k] + [f"i{k}x{j}" for j in range(28 - k)])) for k in range(24)] + [(24, " ".join(own)), (25, " ".join(own))]
+    docs = spark.createDataFrame([(1, " ".join([*own[:35], "x", "y", "z"])), (2, items[5][1]), (3, " ".join(own))], "doc_id long, text string")
+    listed = spark.createDataFrame(items, "item_id long, text string")
+    whole, *others = (sorted(map(tuple, decontaminate.find_leaks(docs, listed, block=size).collect())) for size in (4096, 13, 1))
+    assert whole and all(found == whole for found in others)
+
+
 def test_fingerprints_are_votes():
     rng = np.random.default_rng(2)
     shingles = rng.integers(0, 2**63, 300, dtype=np.uint64)
