@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import captures, decontaminate, exact_dedup, html_text, lm_scores, mixing, near_dup, pii, quality, repeats, revisits
+from . import captures, collocations, decontaminate, exact_dedup, fingerprints, html_text, lm_scores, mixing, near_dup, pii, quality, repeats, revisits
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents")).drop("key")
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own, edited, after = F.col("fingerprint"), F.col("edited_fingerprint"), F.col("next_fingerprint")
+    found = fingerprints.fingerprints(_table(spark, sf_dir, "documents")).withColumns({
+        "near_edited": fingerprints.resemblance(own, edited),
+        "near_next": fingerprints.resemblance(own, after),
+        "kept_share": fingerprints.containment(own, edited),
+        "n_shingles": fingerprints.distinct_shingles(own),
+    })
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.array_join(own, "").alias("fingerprint"),
+        F.array_join(edited, "").alias("edited_fingerprint"), "near_edited", "near_next", "kept_share", "n_shingles",
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents")).drop("cut")
+
+
 OP10_SQL = r"""
 WITH short AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256
@@ -90,11 +108,36 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_i
 FROM documents JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+places AS (SELECT lang, w, s, unnest(generate_series(1, len(w) - s + 1)) AS i FROM words, (VALUES (1), (2), (3)) t(s) WHERE len(w) >= s),
+counts AS (SELECT lang, s, w[i : i + s - 1] AS p, count(*) AS f FROM places GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE s = 1 GROUP BY 1),
+cuts AS (
+  SELECT c.lang, c.s, c.p, c.f AS a, x.f AS l, y.f AS r, k, CAST(1000000::HUGEINT * c.f * c.f // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM counts c, (VALUES (1), (2)) t(k), counts x, counts y
+  WHERE c.f >= 10 AND c.s > k AND x.lang = c.lang AND x.p = c.p[1 : k] AND y.lang = c.lang AND y.p = c.p[k + 1 : c.s]),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS turn FROM cuts),
+longer AS (SELECT lang, unnest([p[1 : 2], p[2 : 3]]) AS p, f FROM counts WHERE s = 3 AND f >= 10),
+most AS (SELECT lang, p, max(f) AS m FROM longer GROUP BY 1, 2),
+kept AS (SELECT b.* FROM best b LEFT JOIN most m ON m.lang = b.lang AND m.p = b.p WHERE turn = 1 AND coalesce(100 * m < 50 * a, true)),
+ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank
+  FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 QUERIES: dict[str, Plan] = {
     plan.__name__: plan
     for plan in (
         op1_quality, op2_html_text, op3_revisits, op4_mix_sources, op5_repeats, op6_pii, op7_decontaminate, op8_near_dup, op9_lm_scores,
-        op10_exact_dedup,
+        op10_exact_dedup, op11_fingerprints, op13_collocations,
     )
 }
-SQL: dict[str, str] = {"op8_near_dup": OP8_SQL, "op10_exact_dedup": OP10_SQL}
+SQL: dict[str, str] = {"op8_near_dup": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op13_collocations": OP13_SQL}
