@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import captures, collocations, decontaminate, exact_dedup, fingerprints, html_text, lm_scores, mixing, near_dup, pii, quality, repeats, revisits
+from . import captures, collocations, decontaminate, exact_dedup, fingerprints, html_text, lexical, lm_scores, mixing, near_dup, pii, quality, repeats, revisits
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,10 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents")).drop("cut")
 
@@ -108,6 +112,65 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_i
 FROM documents JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+OP11_SQL = r"""
+WITH plain AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+beside AS (
+  SELECT doc_id, text, length(text) AS n, length(text) // 3 AS cut,
+         coalesce(lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)) AS after
+  FROM plain),
+texts AS (SELECT doc_id, n, text, left(text, n - cut) || left(after, cut) AS edited, after FROM beside),
+each AS (
+  SELECT doc_id, kind, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM (SELECT doc_id, unnest(['own', 'edited', 'after']) AS kind, unnest([text, edited, after]) AS t FROM texts)),
+shingles AS (
+  SELECT DISTINCT doc_id, kind, substr(md5(array_to_string(w[i : i + 4], ' ')), 1, 12) AS h
+  FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM each WHERE len(w) > 0)),
+least AS (
+  SELECT doc_id, kind, list(h ORDER BY h) AS s
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, kind ORDER BY h) AS place FROM shingles) WHERE place <= 128 GROUP BY 1, 2),
+wide AS (
+  SELECT doc_id, n, edited, coalesce(a.s, []) AS a, coalesce(b.s, []) AS b, coalesce(c.s, []) AS c
+  FROM texts LEFT JOIN (SELECT doc_id, s FROM least WHERE kind = 'own') a USING (doc_id)
+  LEFT JOIN (SELECT doc_id, s FROM least WHERE kind = 'edited') b USING (doc_id)
+  LEFT JOIN (SELECT doc_id, s FROM least WHERE kind = 'after') c USING (doc_id)),
+sampled AS (
+  SELECT *, list_sort(list_distinct(list_concat(a, b)))[1 : 128] AS ab, list_sort(list_distinct(list_concat(a, c)))[1 : 128] AS ac FROM wide)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, array_to_string(a, '') AS fingerprint,
+       array_to_string(b, '') AS edited_fingerprint,
+       CASE WHEN len(ab) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(list_intersect(ab, a), b)) / len(ab) END AS near_edited,
+       CASE WHEN len(ac) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(list_intersect(ac, a), c)) / len(ac) END AS near_next,
+       CASE WHEN len(a) = 0 THEN 1.0::DOUBLE WHEN len(list_intersect(ab, a)) = 0 THEN 0.0::DOUBLE
+            ELSE len(list_intersect(list_intersect(ab, a), b)) / len(list_intersect(ab, a)) END AS kept_share,
+       CASE WHEN len(a) < 128 THEN CAST(len(a) AS DOUBLE) ELSE 127 / (CAST('0x' || a[128] AS BIGINT) / 281474976710656.0::DOUBLE) END AS n_shingles
+FROM sampled
+"""
+
+OP12_SQL = r"""
+WITH found AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+sized AS (SELECT doc_id, len(t) AS n, t FROM found WHERE len(t) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized),
+long AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM sized, totals),
+freqs AS (SELECT doc_id, unnest(t) AS term FROM sized),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM freqs GROUP BY 1, 2),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY 1), totals),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN long USING (doc_id) GROUP BY 1, 2),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
 OP13_SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
@@ -137,7 +200,7 @@ QUERIES: dict[str, Plan] = {
     plan.__name__: plan
     for plan in (
         op1_quality, op2_html_text, op3_revisits, op4_mix_sources, op5_repeats, op6_pii, op7_decontaminate, op8_near_dup, op9_lm_scores,
-        op10_exact_dedup, op11_fingerprints, op13_collocations,
+        op10_exact_dedup, op11_fingerprints, op12_search, op13_collocations,
     )
 }
-SQL: dict[str, str] = {"op8_near_dup": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op13_collocations": OP13_SQL}
+SQL: dict[str, str] = {"op8_near_dup": OP8_SQL, "op10_exact_dedup": OP10_SQL, "op11_fingerprints": OP11_SQL, "op12_search": OP12_SQL, "op13_collocations": OP13_SQL}
