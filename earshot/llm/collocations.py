@@ -31,7 +31,9 @@ WORD_GAPS = b"\x20\x09"
 #: Bits of the map of frequent phrases: 16 MB, whatever the input.
 BITS = 27
 #: Bytes of text that a task counts at a time.
-SLICE = 1 << 24
+SLICE = 1 << 22
+#: Rows that a task hands on at a time.
+ROWS = 1 << 16
 
 _GAP = np.zeros(256, bool)
 _GAP[list(PIECE_ENDS + WORD_GAPS)] = True
@@ -57,10 +59,10 @@ def _split(content: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, np.ndarra
     places = np.flatnonzero(opens)
     # With the gaps taken out, the words lie side by side.
     letters = _LOWER[data[~gap]]
-    kept = np.cumsum(~gap)
+    kept = np.cumsum(~gap, dtype=np.int32)
     offsets = np.append(kept[places] - 1, len(letters)).astype(np.int32)
     words = pa.Array.from_buffers(pa.string(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
-    piece = np.cumsum(_END[data])[places] if len(data) else np.zeros(0, np.int64)
+    piece = np.cumsum(_END[data], dtype=np.int32)[places] if len(data) else np.zeros(0, np.int64)
     return words, np.searchsorted(edges, places, "right") - 1, piece
 
 
@@ -75,8 +77,8 @@ def _hashes(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def _place(chained: np.ndarray) -> np.ndarray:
-    return mix(chained) >> U(64 - BITS)
+def _place(chained: np.ndarray, width: int) -> np.ndarray:
+    return mix(chained) >> U(64 - width)
 
 
 def _chain(hashes: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -105,7 +107,7 @@ def _count(lang: pa.Array, content: np.ndarray, starts: np.ndarray, size: int, b
         places = hashed[: len(ids) - part + 1]
         for k in range(part):
             places = _chain(places, hashes[k : len(ids) - part + 1 + k])
-        frequent = _may_be(bits, _place(places))
+        frequent = _may_be(bits, _place(places, (len(bits) * 8).bit_length() - 1))
         whole &= frequent[:-1] & frequent[1:]
     at = np.flatnonzero(whole)
     if not len(at):
@@ -130,13 +132,15 @@ def _count(lang: pa.Array, content: np.ndarray, starts: np.ndarray, size: int, b
     return pa.RecordBatch.from_arrays([phrase, pa.array(n.astype(np.int64))], ["phrase", "n"])
 
 
-def phrase_counts(docs: DataFrame, size: int, frequent: DataFrame | None = None, lang: str = "lang", text: str = "text") -> DataFrame:
+def phrase_counts(
+    docs: DataFrame, size: int, frequent: DataFrame | None = None, lang: str = "lang", text: str = "text", width: int = BITS
+) -> DataFrame:
     """``phrase, a``: occurrences of the phrases of ``size`` words inside pieces, the language before a tab.
 
     ``frequent`` are the counts of phrases one word shorter; only phrases whose
     two parts may be among them are counted, and all those whose parts are.
     """
-    held = None if frequent is None else docs.sparkSession.sparkContext.broadcast(_bitmap(frequent))
+    held = None if frequent is None else docs.sparkSession.sparkContext.broadcast(_bitmap(frequent, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if held is None else np.frombuffer(held.value, np.uint8)
@@ -145,16 +149,16 @@ def phrase_counts(docs: DataFrame, size: int, frequent: DataFrame | None = None,
             content, starts = byte_view(batch.column(1))
             for first, last in slices(starts, SLICE):
                 out = _count(langs.slice(first, last - first), content, starts[first : last + 1], size, bits)
-                if out is not None:
-                    yield out
+                for at in range(0, out.num_rows if out is not None else 0, ROWS):
+                    yield out.slice(at, ROWS)
 
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     found = rows.mapInArrow(run, "phrase string, n long")
     return found.groupBy("phrase").agg(F.sum("n").alias("a"))
 
 
-def _bitmap(frequent: DataFrame) -> bytes:
-    """A bit for each phrase at the place of its hash; 2 to the power ``BITS`` bits however many there are."""
+def _bitmap(frequent: DataFrame, width: int) -> bytes:
+    """A bit for each phrase at the place of its hash; 2 to the power ``width`` bits however many there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,14 +170,14 @@ def _bitmap(frequent: DataFrame) -> bytes:
             for k in range(int(sizes.max()) if len(sizes) else 0):
                 more = np.flatnonzero(sizes > k)
                 chained[more] = _chain(chained[more], hashes[begin[more] + k])
-            yield pa.RecordBatch.from_arrays([pa.array(_place(chained).astype(np.int64))], ["place"])
+            yield pa.RecordBatch.from_arrays([pa.array(_place(chained, width).astype(np.int64))], ["place"])
 
     # Spark's bitmaps hold 32,768 places each and count buckets from 1.
     places = frequent.select("phrase").mapInArrow(run, "place long").select((F.col("place") + 1).alias("place"))
     parts = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
     )
-    out = bytearray(1 << (BITS - 3))
+    out = bytearray(1 << (width - 3))
     for bucket, bits in parts.toLocalIterator():
         out[(bucket - 1) * len(bits) : bucket * len(bits)] = bits
     return bytes(out)
@@ -187,7 +191,8 @@ def _words(phrase: Column, first: int, last: int, size: int) -> Column:
 
 
 def collocations(
-    docs: DataFrame, top: int = 2000, least: int = 10, longest: int = 3, absorb: int = 50, lang: str = "lang", text: str = "text"
+    docs: DataFrame, top: int = 2000, least: int = 10, longest: int = 3, absorb: int = 50, lang: str = "lang", text: str = "text",
+    width: int = BITS,
 ) -> DataFrame:
     """The first ``top`` phrases of 2 to ``longest`` words of each language by how much they hang together.
 
@@ -199,14 +204,14 @@ def collocations(
     then by the phrase. Texts are cut at ``PIECE_ENDS`` and split at
     ``WORD_GAPS``, A-Z is lower-cased. Null texts are empty, a null language is
     ``und``, repeated rows count again; other columns are not read. Empty
-    tables give no rows.
+    tables give no rows. The result does not depend on ``width`` (15 or more).
     """
     docs = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     words = materialize(phrase_counts(docs, 1), "words")
     of_lang = words.groupBy(F.regexp_extract("phrase", r"(?s)^(.*)\t", 1).alias("lang")).agg(F.sum("a").alias("n"))
     levels = [words.filter(F.col("a") >= least)]
     for size in range(2, longest + 1):
-        counted = phrase_counts(docs, size, levels[-1]).filter(F.col("a") >= least)
+        counted = phrase_counts(docs, size, levels[-1], width=width).filter(F.col("a") >= least)
         # Prefix order: a phrase stands beside those that begin as it does.
         levels.append(materialize(counted.sortWithinPartitions("phrase"), "phrases"))
     best = None

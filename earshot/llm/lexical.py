@@ -121,8 +121,8 @@ def _occurrences(content: np.ndarray, starts: np.ndarray, query: Query, found: t
 class _Block:
     """Signatures of one length that are still being gathered."""
 
-    def __init__(self, bits: int) -> None:
-        self.bits, self.most = bits, int(min(BLOCK_DOCS, max(8, BLOCK_BITS // bits)))
+    def __init__(self, bits: int, most: int) -> None:
+        self.bits, self.most = bits, int(min(most, max(8, BLOCK_BITS // bits)))
         self.docs: list = []
         self.sizes: list = []
         self.places: list[np.ndarray] = []
@@ -134,7 +134,7 @@ class _Block:
         return self.bits, self.docs, self.sizes, np.packbits(table, axis=1, bitorder="little").tobytes()
 
 
-def _signatures(found: tuple) -> Iterator[tuple[int, int, int, np.ndarray]]:
+def _signatures(found: tuple, key_bits: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
     """Text, number of terms, signature length and set bits, for each text with terms."""
     hashes, _, first = found
     sizes = np.diff(first)
@@ -146,7 +146,7 @@ def _signatures(found: tuple) -> Iterator[tuple[int, int, int, np.ndarray]]:
     for text in np.flatnonzero(sizes):
         own, high = term[edges[text] : edges[text + 1]], level[edges[text] : edges[text + 1]]
         keys = int(len(own) + high.sum())
-        bits = int(min(MOST_SLICES, max(64, 1 << (KEY_BITS * keys - 1).bit_length())))
+        bits = int(min(MOST_SLICES, max(64, 1 << (key_bits * keys - 1).bit_length())))
         places = [_probe(own[high >= k], k, bits).ravel() for k in range(int(high.max()) + 1)]
         yield int(text), int(sizes[text]), bits, np.concatenate(places)
 
@@ -154,7 +154,7 @@ def _signatures(found: tuple) -> Iterator[tuple[int, int, int, np.ndarray]]:
 _INDEX = "bits int, docs array<{id}>, sizes array<long>, slices binary, n_docs long, n_terms long, terms array<long>, held array<long>"
 
 
-def build_index(docs: DataFrame, query: Query | None = None) -> DataFrame:
+def build_index(docs: DataFrame, query: Query | None = None, key_bits: int = KEY_BITS, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """Blocks of signatures of ``docs(doc_id, text)``, and per task the counts of documents and terms, as a written table.
 
     With a query, also how many documents hold each of its terms.
@@ -189,8 +189,8 @@ def build_index(docs: DataFrame, query: Query | None = None) -> DataFrame:
                     row, term = _occurrences(content, part, query, found)
                     each = np.unique(row * len(query.terms) + term)
                     held += np.bincount(each % len(query.terms), minlength=len(held)) if len(each) else 0
-                for text, size, bits, places in _signatures(found):
-                    block = blocks.setdefault(bits, _Block(bits))
+                for text, size, bits, places in _signatures(found, key_bits):
+                    block = blocks.setdefault(bits, _Block(bits, block_docs))
                     block.docs.append(ids[first + text])
                     block.sizes.append(size)
                     block.places.append(places)
@@ -248,8 +248,8 @@ def block_bounds(bits: int, sizes: np.ndarray, cut: bytes, query: Query, weights
     return out
 
 
-def _bound_rows(index: DataFrame, query: Query, weights: np.ndarray, n_docs: int, n_terms: int, least: np.ndarray | None) -> DataFrame:
-    """``item, doc_id, bound``: documents whose bound is ``least`` or more, or without it the ``SEEDS`` best of each task."""
+def _bound_rows(index: DataFrame, query: Query, weights: np.ndarray, n_docs: int, n_terms: int, least: np.ndarray | None, seeds: int = SEEDS) -> DataFrame:
+    """``item, doc_id, bound``: documents whose bound is ``least`` or more, or without it the ``seeds`` best of each task."""
     kind = index.schema["docs"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,16 +272,16 @@ def _bound_rows(index: DataFrame, query: Query, weights: np.ndarray, n_docs: int
                     if len(item):
                         yield out(item, docs.take(pa.array(at)), bounds[item, at])
                     continue
-                some = min(SEEDS, bounds.shape[1])
+                some = min(seeds, bounds.shape[1])
                 top = np.argpartition(bounds, bounds.shape[1] - some, axis=1)[:, bounds.shape[1] - some :]
                 for item, at in enumerate(top):
                     own = [(bounds[item, k], int(k)) for k in at if bounds[item, k] > 0]
                     if own:
                         best[item] += [(bound, docs[k].as_py()) for bound, k in own]
-                        if len(best[item]) > 8 * SEEDS:
-                            best[item] = sorted(best[item], key=lambda x: -x[0])[:SEEDS]
+                        if len(best[item]) > 8 * seeds:
+                            best[item] = sorted(best[item], key=lambda x: -x[0])[:seeds]
         for item, own in enumerate(best):
-            own = sorted(own, key=lambda x: -x[0])[:SEEDS]
+            own = sorted(own, key=lambda x: -x[0])[:seeds]
             if own:
                 yield out([item] * len(own), pa.array([d for _, d in own], ids_type), [b for b, _ in own])
 
@@ -341,7 +341,7 @@ def _blocks_of(items: DataFrame, size: int) -> Iterator[list[tuple]]:
 
 def search(
     docs: DataFrame, items: DataFrame, top: int = TOP, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", block: int = ITEMS,
+    item_text: str = "text", block: int = ITEMS, seeds: int = SEEDS, key_bits: int = KEY_BITS, block_docs: int = BLOCK_DOCS,
 ) -> DataFrame:
     """The ``top`` documents with the highest scores above 0 for every item: ``item_id, rank, doc_id, score``.
 
@@ -350,7 +350,8 @@ def search(
     last, then any order of repeated rows, each of which counts. Null and empty
     texts have no terms: as documents they do not count, as items they have no
     answers. An item that stands twice is answered twice. Other columns are not
-    read; an empty table on either side gives no rows.
+    read; an empty table on either side gives no rows. ``seeds``, ``key_bits`` and
+    ``block_docs`` change what is scored exactly, not the answers.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     items = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
@@ -362,16 +363,16 @@ def search(
         if not query.terms:
             continue
         # Signatures do not depend on the items and serve all blocks; the counts of a block's terms are its own.
-        counted = build_index(docs, query) if index is None else _held(docs, query, index)
+        counted = build_index(docs, query, key_bits, block_docs) if index is None else _held(docs, query, index)
         index = counted if index is None else index
         n_docs, n_terms, weights = _weights(counted, query)
         if not n_docs:
             break
         totals = (query, weights, n_docs, n_terms)
         best = Window.partitionBy("item").orderBy(F.col("bound").desc())
-        seeds = _bound_rows(index, *totals, None).withColumn("turn", F.row_number().over(best)).filter(F.col("turn") <= max(SEEDS, top))
+        first = _bound_rows(index, *totals, None, seeds).withColumn("turn", F.row_number().over(best)).filter(F.col("turn") <= seeds)
         order = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
-        ranked = _exact(docs, seeds, *totals).withColumn("rank", F.row_number().over(order))
+        ranked = _exact(docs, first, *totals).withColumn("rank", F.row_number().over(order))
         least = np.ones(len(rows))
         for item, score in ranked.filter(F.col("rank") == top).select("item", "score").collect():
             least[item] = score

@@ -40,4 +40,4 @@ def test_columns(name, spark, sf):
 
 def test_all_are_registered():
     numbers = {name.split("_")[0] for name in entry_module.queries() if name.startswith("op")}
-    assert {f"op{n}" for n in range(1, 11)} <= numbers and "pipeline" in entry_module.queries()
+    assert {f"op{n}" for n in range(1, 14)} <= numbers and "pipeline" in entry_module.queries()
