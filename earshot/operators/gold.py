@@ -93,17 +93,6 @@ def device_usage(silver: DataFrame) -> DataFrame:
     )
 
 
-def table_keys(silver: DataFrame) -> dict[str, DataFrame]:
-    """The keys of each aggregated table, as many as it has rows: enough to count them without building or ranking."""
-    keys = {
-        "daily_user_stats": [F.to_date("played_at").alias("date"), "user_id"],
-        "top_tracks": ["track_id", "track_name", "artist_name", "album_name"],
-        "top_artists": ["artist_name"],
-        "device_usage": ["device_type"],
-    }
-    return {name: silver.select(*own).distinct() for name, own in keys.items()}
-
-
 def track_popularity(silver: DataFrame) -> DataFrame:
     """Plays, distinct listeners and mean duration per track."""
     return silver.groupBy("track_id", "track_name", "artist_name").agg(

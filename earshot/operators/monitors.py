@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import dateadd
@@ -97,12 +97,19 @@ def event_volume_ratio(silver: DataFrame, as_of: str | None = None, days: int =
     )
 
 
-def gold_completeness(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every gold table has rows."""
-    rows = [
-        _verdict(df.agg(F.count("*").alias("n")), f"{name}_not_empty", F.col("n"), F.lit(1), F.col("n") > 0)
-        for name, df in tables.items()
-    ]
+def gold_completeness(tables: Mapping[str, DataFrame | None], current: Mapping[str, bool] | None = None) -> DataFrame:
+    """Every stored gold table has rows and, where ``current`` says so, is in the version of its inputs.
+
+    A table that was never stored is None: it has no rows and is not current.
+    """
+    spark = SparkSession.active()
+    rows = []
+    for name, df in tables.items():
+        counted = spark.range(1).select(F.lit(0).alias("n")) if df is None else df.agg(F.count("*").alias("n"))
+        rows.append(_verdict(counted, f"{name}_not_empty", F.col("n"), F.lit(1), F.col("n") > 0))
+        if current is not None:
+            good = F.lit(bool(current.get(name)) and df is not None)
+            rows.append(_verdict(spark.range(1), f"{name}_current", good.cast("int"), F.lit(1), good))
     return reduce(DataFrame.unionAll, rows)
 
 

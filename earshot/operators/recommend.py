@@ -265,6 +265,11 @@ def track_recommendations(
     scored = score_candidates(cooc, affinity, w_co, w_aff)
     if exclude_played is not None:
         scored = scored.join(_played(exclude_played), ["user_id", "track_b_id"], "left_anti")
+    return best_per_user(scored, top_n)
+
+
+def best_per_user(scored: DataFrame, top_n: int = TOP_N) -> DataFrame:
+    """The ``top_n`` scored pairs of each user as recommendations."""
     ties = ["track_a_id", "track_b_id", "track_a_name", "track_b_name", "track_a_artist", "track_b_artist"]
     w = Window.partitionBy("user_id").orderBy(F.col("recommendation_score").desc(), *ties)
     return (
@@ -305,7 +310,7 @@ def store_scored(scored: DataFrame, path: str, parts: int = 16) -> None:
     """
     placed = scored.withColumn("part", F.pmod(F.xxhash64("user_id"), F.lit(parts)).cast("int"))
     spread = placed.hint("rebalance", "part").sortWithinPartitions("part", "track_a_id")
-    spread.write.partitionBy("part").parquet(path)
+    spread.write.mode("overwrite").partitionBy("part").parquet(path)
 
 
 def stored_scored(spark: SparkSession, path: str, user_id: str | None = None, parts: int = 16) -> DataFrame:

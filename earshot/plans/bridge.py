@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from ..functions.dates import try_cast_ts
 from ..operators import recommend
 from ..operators import silver as silver_ops
+from ..operators.models import Model, Models, Source, files_version, listening_models
 from ..schemas import PLAY_EVENT
-from ..session import materialize, scratch_path
+from ..session import materialize, own_path
+from ..sources.tables import external_table_scan, write_bronze
 
 AS_OF = "2024-01-31 00:00:00"
 WIDE_GAP = 1440
@@ -92,21 +94,28 @@ def pairs_and_affinity(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     return model_tables(spark, sf_dir)[1:]
 
 
-_SCORED: dict[tuple[str, str], str] = {}
+GOLD = ("daily_user_stats", "top_tracks", "top_artists", "device_usage")
 
 
-def build_models(spark: SparkSession, sf_dir: str) -> str:
-    """Writes the scored pairs that lookups read; once per application and data folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SCORED:
-        root = scratch_path(spark, "models")
-        recommend.store_scored(recommend.score_candidates(*pairs_and_affinity(spark, sf_dir)), f"{root}/scored")
-        _SCORED[key] = root
-    return _SCORED[key]
+def _landed_bronze(bronze):
+    return bronze
+
+
+#: Bronze as hourly files, stored beside the other tables.
+LANDED = Model(
+    "landed_bronze", _landed_bronze, write=lambda df, path: write_bronze(df, path, mode="overwrite"), read=external_table_scan
+)
+
+
+def models(spark: SparkSession, sf_dir: str, root: str | None = None) -> Models:
+    """All stored tables over the given events, in versions that follow the event files."""
+    events = Source(lambda: bronze(spark, sf_dir), files_version(spark, f"{sf_dir}/events.parquet"))
+    listed = [*listening_models(AS_OF, WIDE_GAP), LANDED]
+    return Models(spark, root or own_path(spark, "models"), listed, {"bronze": events})
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recommend.stored_scored(spark, f"{build_models(spark, sf_dir)}/scored")
+    return models(spark, sf_dir).table("scored_pairs")
 
 
 def currently_playing(spark: SparkSession, sf_dir: str) -> DataFrame:

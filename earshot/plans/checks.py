@@ -381,19 +381,10 @@ def _silver_test_suite(spark, sf):
 _GOLD_SQL = {"daily_user_stats": "daily", "top_tracks": "tracks", "top_artists": "artists", "device_usage": "devices"}
 
 
-def _gold_tables(silver):
-    return {
-        "daily_user_stats": gold.daily_user_stats(silver),
-        "top_tracks": gold.top_tracks(silver),
-        "top_artists": gold.top_artists(silver),
-        "device_usage": gold.device_usage(silver),
-    }
-
-
 @query("gold_test_suite", with_tables(*_GOLD_SQL.values()) + " UNION ALL ".join(
     _suite_sql(t, quality.GOLD_RULES[n], n) for n, t in _GOLD_SQL.items()))
 def _gold_test_suite(spark, sf):
-    return quality.gold_test_suite(_gold_tables(bridge.stored_silver(spark, sf)))
+    return quality.gold_test_suite(bridge.models(spark, sf).tables(*bridge.GOLD))
 
 
 @query("monitor_row_retention", with_tables("silver") + """
@@ -460,10 +451,14 @@ def _event_volume_ratio(spark, sf):
 
 
 @query("monitor_gold_completeness", with_tables(*_GOLD_SQL.values()) + " UNION ALL ".join(
-    f"SELECT '{n}_not_empty' AS check_name, CAST(count(*) AS DOUBLE) AS value, 1::DOUBLE AS threshold, count(*) > 0 AS passed FROM {t}"
+    f"SELECT '{n}_not_empty' AS check_name, CAST(count(*) AS DOUBLE) AS value, 1::DOUBLE AS threshold, count(*) > 0 AS passed FROM {t} "
+    f"UNION ALL SELECT '{n}_current', 1, 1, true"
     for n, t in _GOLD_SQL.items()))
 def _gold_completeness(spark, sf):
-    return monitors.gold_completeness(gold.table_keys(bridge.stored_silver(spark, sf)))
+    """Of the stored tables, in the versions that the events call for."""
+    stored = bridge.models(spark, sf)
+    stored.build(*bridge.GOLD)
+    return monitors.gold_completeness({name: stored.newest(name) for name in bridge.GOLD}, {name: stored.is_current(name) for name in bridge.GOLD})
 
 
 def _runs(spark, sf):
@@ -509,8 +504,8 @@ SELECT 'bronze_rows' AS metric, count(*) AS value FROM bronze UNION ALL SELECT '
 UNION ALL SELECT 'events_last_24h', count(*) FROM silver WHERE played_at >= TIMESTAMP '2024-01-30 00:00:00' UNION ALL """
        + " UNION ALL ".join(f"SELECT '{n}_rows', count(*) FROM {t}" for n, t in _GOLD_SQL.items()))
 def _data_metrics(spark, sf):
-    silver = bridge.stored_silver(spark, sf)
-    return monitors.data_metrics(bridge.bronze(spark, sf), silver, gold.table_keys(silver), AS_OF)
+    stored = bridge.models(spark, sf)
+    return monitors.data_metrics(bridge.bronze(spark, sf), stored.table("silver_plays"), stored.tables(*bridge.GOLD), AS_OF)
 
 
 @query("system_health_rows", with_tables("cooc", "affinity", "playing") + """
@@ -519,7 +514,7 @@ UNION ALL SELECT 'Track Co-occurrence', count(*), NULL FROM cooc UNION ALL SELEC
 def _system_health_rows(spark, sf):
     newest = F.max("detected_at").alias("last_updated")
     never = F.max(F.lit(None).cast("timestamp_ntz")).alias("last_updated")
-    cooc, liked = bridge.pairs_and_affinity(spark, sf)
+    cooc, liked = bridge.models(spark, sf).tables("track_cooccurrence", "artist_affinity").values()
     rows = [
         ("Currently Playing", bridge.currently_playing(spark, sf), newest),
         ("Track Co-occurrence", cooc, never),
@@ -534,5 +529,33 @@ def _system_health_rows(spark, sf):
 @query("cross_layer_totals", with_tables("devices") + """
 SELECT (SELECT count(*) FROM silver) AS silver_count, (SELECT CAST(sum(total_plays) AS BIGINT) FROM devices) AS gold_total_plays""")
 def _cross_layer_totals(spark, sf):
-    silver = bridge.stored_silver(spark, sf)
-    return monitors.cross_layer_totals(silver, gold.device_usage(silver))
+    return monitors.cross_layer_totals(*bridge.models(spark, sf).tables("silver_plays", "device_usage").values())
+
+
+@query("stored_models", with_tables("daily", "tracks", "artists", "devices", "recs", "scored") + " UNION ALL ".join(
+    f"SELECT '{n}' AS model, true AS current, count(*) AS row_count FROM {t}"
+    for n, t in {
+        "silver_plays": "silver", **_GOLD_SQL, "track_cooccurrence": "cooc", "artist_affinity": "affinity", "scored_pairs": "scored",
+        "track_recommendations": "recs", "landed_bronze": "bronze",
+    }.items()))
+def _stored_models(spark, sf):
+    """Every table of the model graph after a build: current, and with the rows it must have."""
+    stored = bridge.models(spark, sf)
+    stored.build()
+    return stored.status()
+
+
+@query("stored_recommendations", with_tables("recs", "daily") + """
+SELECT user_id, recommendations, mean_score, best_affinity, days
+FROM (SELECT user_id, count(*) AS recommendations, round(avg(recommendation_score), 6) AS mean_score FROM recs GROUP BY 1)
+JOIN (SELECT user_id, max(affinity_score) AS best_affinity FROM affinity GROUP BY 1) USING (user_id)
+JOIN (SELECT user_id, count(*) AS days FROM daily GROUP BY 1) USING (user_id)""")
+def _stored_recommendations(spark, sf):
+    """Three stored tables read together: recommendations, affinity and daily statistics of each user."""
+    recs, liked, daily = bridge.models(spark, sf).tables("track_recommendations", "artist_affinity", "daily_user_stats").values()
+    best = liked.groupBy("user_id").agg(F.max("affinity_score").alias("best_affinity"))
+    days = daily.groupBy("user_id").agg(F.count("*").alias("days"))
+    per_user = recs.groupBy("user_id").agg(
+        F.count("*").alias("recommendations"), F.round(F.avg("recommendation_score"), 6).alias("mean_score")
+    )
+    return per_user.join(best, "user_id").join(days, "user_id")

@@ -53,6 +53,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def own_path(spark: SparkSession, label: str) -> str:
+    """A path of this application under the shared folder, the same at every call."""
+    return f"{_own_folder(spark)}/{label}"
+
+
 def _own_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/earshot/{spark.sparkContext.applicationId}"
 

@@ -93,14 +93,6 @@ def row_lineage(df: DataFrame) -> DataFrame:
     )
 
 
-def files_present(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """How many files there are and their bytes: what a job checks before it starts."""
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    )
-    return listing.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
-
-
 def landing_checks(df: DataFrame, schema: T.StructType = PLAY_EVENT) -> DataFrame:
     """Rows present, every file under year/month/day/hour, all columns there; extra columns only warn."""
     have = {c.lower() for c in df.columns}
