@@ -134,11 +134,16 @@ def track_cooccurrence(
     half of a pair, and for the totals.
 
     ``top_per_track`` keeps the best ranked partners of each track (ties share
-    a rank) and adds the ``rank`` column.
+    a rank) and adds the ``rank`` column; :func:`top_pairs.top_partners` then
+    does without most of the other pairs.
     """
+    from .top_pairs import top_partners  # built on this module
+
     if user_id is not None:
         silver = silver.filter(F.col("user_id") == user_id)
     items = materialize(session_items(silver, gap_minutes), "items")
+    if top_per_track is not None and not symmetric:
+        return top_partners(items, top_per_track, min_sessions)
     scored = score_pairs(items, min_sessions, symmetric)
     if top_per_track is None:
         return scored

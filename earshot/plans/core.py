@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import dateadd
-from ..operators import gold, recommend, sessions
+from ..operators import gold, recommend, sessions, top_pairs
 from ..operators import silver as silver_ops
 from ..session import materialize
 from . import bridge
@@ -218,7 +218,10 @@ def _affinity_left_join(spark, sf):
 
 @query("track_recommendations", with_tables("recs") + "SELECT * FROM recs")
 def _track_recommendations(spark, sf):
-    return recommend.track_recommendations(*bridge.pairs_and_affinity(spark, sf))
+    """Only the pairs that can be among a user's best are made."""
+    stored = bridge.stored_silver(spark, sf)
+    items = materialize(recommend.session_items(stored, WIDE_GAP), "items")
+    return top_pairs.top_recommendations(items, recommend.artist_affinity(stored, bridge.AS_OF))
 
 
 @query("exclude_played_anti", with_tables("scored") + """
