@@ -26,9 +26,8 @@ def _band(total: Column) -> Column:
 
 
 def _counted(items: DataFrame, block_items: int) -> DataFrame:
-    """Items with the sessions of their track and the blocks of their session, as a written table."""
-    totals = track_session_counts(items)
-    return materialize(_with_blocks(items.join(totals, ["user_id", "track_id"]), block_items), "counted")
+    """Items with the sessions of their track and the blocks of their session."""
+    return _with_blocks(items.join(track_session_counts(items), ["user_id", "track_id"]), block_items)
 
 
 def _paired(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = (), reach: Column | None = None) -> DataFrame:
