@@ -8,7 +8,7 @@ the expected grade and, for the selection, the chance of at least a grade.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .words import U, byte_view, mix, plain_letters, slices, word_hashes
 
 #: Words are known by so many bits of their hash; only those that tell something have a weight, so the model stays small.
@@ -86,17 +87,46 @@ def features(content: np.ndarray, starts: np.ndarray, bits: int = HASH_BITS) ->
 def _collected(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content, starts = byte_view(batch.column(2))
+            content, starts = byte_view(batch.column(3))
             for first, last in slices(starts):
                 found, begin = features(content, starts[first : last + 1], bits)
                 lists = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(found, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).slice(first, last - first) for k in (0, 1)), lists], ["doc_id", "grade", "found"]
+                    [*(batch.column(k).slice(first, last - first) for k in range(3)), lists], ["doc_id", "grade", "tie", "found"]
                 )
 
     return run
 
 
+def _only(numbers: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            values = np.asarray(lists.flatten(), np.int64)
+            at = np.minimum(np.searchsorted(numbers, values), max(len(numbers) - 1, 0))
+            held = numbers[at] == values if len(numbers) else np.zeros(len(values), bool)
+            ends = np.cumsum(np.asarray(lists.value_lengths(), np.int64))
+            kept = np.concatenate([[0], np.cumsum(held)])[np.concatenate([[0], ends])]
+            places = pa.ListArray.from_arrays(pa.array(kept, pa.int32()), pa.array(at[held], pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), places], ["doc_id", "grade", "places"])
+
+    return run
+
+
+def _telling_numbers(rows: DataFrame, telling: float, support: int) -> np.ndarray:
+    """Numbers of the features that tell something, in order, counted in Spark by the rule of ``_telling``."""
+    size, grade = F.size("found").cast("long"), F.col("grade")
+    n, total, squares = rows.agg(F.sum(size), F.sum(size * grade), F.sum(size * grade * grade)).first()
+    if not n:
+        return np.zeros(0, np.int64)
+    mean = total / n
+    spread = max(squares / n - mean * mean, 0.0) ** 0.5
+    counted = rows.select(F.explode("found").alias("number"), "grade").groupBy("number").agg(F.count("*").alias("n"), F.sum("grade").alias("sum"))
+    off = F.abs(F.col("sum") - F.lit(mean) * F.col("n"))
+    far = off >= telling * max(spread, 1e-9) * F.sqrt(F.col("n"))
+    return np.sort(counted.filter((F.col("n") >= support) & far).select("number").toArrow()["number"].to_numpy())
+
+
 def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -171,21 +201,30 @@ def train(
     """The model of at most ``fit_rows`` labelled documents; None if there is none.
 
     A document with several ratings counts with the worst, rows without id or
-    grade are not labels, and of repeated documents one is used.
+    grade are not labels, and of documents that share an id the one whose text
+    has the smallest hash is used. Features are counted in Spark, and only the
+    places of those that tell something come to the driver.
     """
     rated = labels.select(F.col(doc_id).cast("long").alias("doc_id"), grade().alias("grade")).filter("doc_id IS NOT NULL AND grade IS NOT NULL")
     rated = rated.groupBy("doc_id").agg(F.min("grade").alias("grade"))
     chosen = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     # At most fit_rows rows of two numbers.
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("doc_id", "grade", "text").mapInArrow(_collected(bits), "doc_id long, grade int, found array<long>")
-    table = rows.dropDuplicates(["doc_id"]).toArrow()
+    hashed = texts.select("doc_id", "grade", F.xxhash64("text").alias("tie"), "text")
+    rows = hashed.mapInArrow(_collected(bits), "doc_id long, grade int, tie long, found array<long>")
+    first = F.min_by(F.struct("grade", "found"), "tie").alias("first")
+    rows = materialize(rows.groupBy("doc_id").agg(first).select("doc_id", "first.*"), "rated")
+    numbers = _telling_numbers(rows, TELLING, SUPPORT)
+    table = rows.mapInArrow(_only(numbers), "doc_id long, grade int, places array<int>").toArrow()
     if not table.num_rows:
         return None
     table = table.sort_by("doc_id").combine_chunks()
-    lists = table["found"].combine_chunks()
+    lists = table["places"].combine_chunks()
     values, starts = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-    return fit([values[a:b] for a, b in zip(starts[:-1], starts[1:])], table["grade"].to_numpy().astype(np.int64), bits)
+    places = [values[a:b] for a, b in zip(starts[:-1], starts[1:])]
+    # All that come are used.
+    model = fit(places, table["grade"].to_numpy().astype(np.int64), bits, telling=0.0, support=0)
+    return replace(model, numbers=numbers[model.numbers])
 
 
 def _scored(model, place: int):
