@@ -259,13 +259,17 @@ def near_duplicates(
         .select("node", "root", F.xxhash64("band", "other").alias("cell"))
     )
     crossed = twice.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("cell")
-    rest = materialize(twice.join(crossed, "cell").join(common.select("node", "c", "n", "sketch"), "node"), "cells")
-    left, right = (rest.select("cell", F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("root", "c", "n", "sketch")]) for x in "ab")
+    rest = materialize(twice.join(crossed, "cell").join(common.select("node", "c", "n", "sketch", "bands"), "node"), "cells")
+    left, right = (rest.select("cell", F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("root", "c", "n", "sketch", "bands")]) for x in "ab")
     enough_common = F.least("a_c", "b_c") * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
+    # A pair comes out of one cell only, that of the two smallest bands that both have.
+    both = F.sort_array(F.array_intersect("a_bands", "b_bands"))
     across = left.join(
-        right, (left["cell"] == right["cell"]) & (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & enough_common & fits("a", "b")
+        right,
+        (left["cell"] == right["cell"]) & (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & enough_common & fits("a", "b")
+        & (left["cell"] == F.xxhash64(F.get(both, 0), F.get(both, 1))),
     )
-    found = linked(materialize(across.select("a", "b").distinct(), "across"))
+    found = linked(materialize(across.select("a", "b"), "across"))
     if not found.isEmpty():
         links = found if links is None else links.unionByName(found)
         roots = components(links)
