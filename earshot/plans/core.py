@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import dateadd
-from ..operators import gold, recommend, sessions, top_pairs
+from ..operators import gold, recommend, session_state, sessions, top_pairs
 from ..operators import silver as silver_ops
-from ..session import materialize
+from ..session import materialize, scratch_path
 from . import bridge
 from .bridge import AS_OF, WIDE_GAP, with_tables
 from .registry import query
@@ -89,6 +89,16 @@ def _sessionize_wide(spark, sf):
     return sessions.sessionize(bridge.silver(spark, sf), WIDE_GAP).drop("processed_at")
 
 
+@query("incremental_sessions", with_tables("sessioned", gap=60) + """
+SELECT user_id, session_id, min(played_at) AS session_start, max(played_at) AS session_end, count(*) AS plays FROM sessioned GROUP BY 1, 2""")
+def _incremental_sessions(spark, sf):
+    """All plays in three loads of every third day, so that the later ones fill the gaps of the earlier."""
+    rows, root = bridge.stored_silver(spark, sf).select("user_id", "played_at"), scratch_path(spark, "sessions")
+    for load in range(3):
+        session_state.load_plays(spark, root, rows.filter(F.dayofyear("played_at") % 3 == 2 - load), load)
+    return session_state.stored_sessions(spark, root)
+
+
 @query("sessionize_clock_hour", with_tables("silver") + """
 SELECT user_id, date_trunc('hour', played_at) AS session_id, count(*) AS plays FROM silver GROUP BY 1, 2""")
 def _clock_hour(spark, sf):
