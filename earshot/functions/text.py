@@ -54,15 +54,9 @@ def slugify_name(text: str) -> str:
     return "_" + slug if slug[:1].isdigit() else slug
 
 
-def _without(text: Column, schemes: Sequence[str]) -> Column:
-    for scheme in schemes:
-        text = F.replace(text, F.lit(scheme), F.lit(""))
-    return text
-
-
 def get_url_host(url: Column | str) -> Column:
-    """Host of a URL, with or without a scheme in front."""
-    return split_part(split_part(_without(_col(url), URL_SCHEMES), "/", 1), "?", 1)
+    """What stands before the first slash or question mark, after any schemes in front."""
+    return F.regexp_extract(_col(url), f"^(?:{'|'.join(URL_SCHEMES)})*([^/?]*)", 1)
 
 
 def get_url_path(url: Column | str) -> Column:

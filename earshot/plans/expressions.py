@@ -196,8 +196,7 @@ _BARE = "replace(replace(url, 'http://', ''), 'https://', '')"
 
 
 @query("get_url_host", """
-SELECT page_id, split_part(split_part(replace(replace(replace(url, 'android-app://', ''), 'http://', ''), 'https://', ''),
-       '/', 1), '?', 1) AS host FROM pages""")
+SELECT page_id, regexp_extract(url, '^(?:android-app://|https?://)*([^/?]*)', 1) AS host FROM pages""")
 def _get_url_host(spark, sf):
     return bridge.table(spark, sf, "pages").select("page_id", text.get_url_host("url").alias("host"))
 

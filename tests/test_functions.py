@@ -92,6 +92,11 @@ def test_uuid5_equals_python(spark):
         ("https://www.example.com/2018/01/01/blog", "www.example.com", "2018/01/01/blog"),
         ("android-app://m.example.com/", "m.example.com", None),
         ("http://example.com/tips/?utm_source=a", "example.com", "tips/"),
+        ("https://http://example.com:8080/x?u=http://other.org/", "example.com:8080", None),
+        ("example.com", "example.com", None),
+        ("https:///x", "", None),
+        ("", "", None),
+        (None, None, None),
     ],
 )
 def test_url_parts(spark, url, host, path):
