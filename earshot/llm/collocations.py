@@ -151,6 +151,9 @@ def phrase_counts(
                 out = _count(langs.slice(first, last - first), content, starts[first : last + 1], size, bits)
                 for at in range(0, out.num_rows if out is not None else 0, ROWS):
                     yield out.slice(at, ROWS)
+                # Workers stay after the task; what they no longer use goes back to the machine.
+                del out
+                pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     found = rows.mapInArrow(run, "phrase string, n long")
