@@ -115,14 +115,143 @@ def test_what_only_one_page_says_twice_stays(spark):
     assert got[1][0].count(twice) == got[3][0].count(twice) == 2
 
 
-def test_runs_are_those_of_all_pairs(spark):
+def test_names_do_not_take_the_article_with_them(spark):
+    story = "The story that all came for is told here at some length."
+    pages = {
+        1: f'<article class="post comments-open"><p>{story}</p></article>',
+        2: f'<article data-comment-count="3"><p>{story}</p></article>',
+        3: f'<div class="layout-sidebar-right"><article><p>{story}</p></article><div class="sidebar">Elsewhere</div></div>',
+        4: f'<div id="main-search-results" class="has-sidebar"><p>{story}</p></div><div class="site-footer">Imprint</div>',
+        5: f'<article><p class="notice">Old browser<p>{story}</article>',
+        6: f'<article><ul><li class="related">See also<ul><li>That</li></ul><li>{story}</ul></article>',
+        7: f'<article><table><tr><td class="ad">Buy<td>{story}<tr><td class="ad">Buy</table></article>',
+        8: f'<form id="page"><article><p>{story}</p><form>Vote</form></article></form><form>Find</form>',
+        9: f'<article><p>{story}</p></article><section class="comments"><article>First!</article></section><article class="comment-7">Me too</article>',
+        10: '<div class="cookie-notice">We use cookies</div><form>Name</form>',
+        11: f'<div class="sidebar"><p>Elsewhere</p></div><p>{story}</p><div class="post-comments">First!</div>',
+    }
+    got = _texts(spark, [(k, f"http://h{k}/", page) for k, page in pages.items()])
+    assert {k: text for k, (text, _) in got.items()} == {k: "" if k == 10 else story for k in pages}
+
+
+def test_copies_of_an_article_keep_all_of_it(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{k}" for k in range(120)]
+    pages = []
+    for k in range(40):
+        own = [f"e{k}" if rng.random() < 0.04 else w for w in words]
+        text = [_says(*own[j : j + 12]) + "." for j in range(0, 120, 12)]
+        pages.append(f"<article><h1>The same title of many words for each of the copies</h1><p>{' '.join(text)}</p><p>Released under the terms that are usual for such a text.</p></article>")
+    got = _texts(spark, [(k, "https://h.org/x", page) for k, page in enumerate(pages)])
+    for k, page in enumerate(pages):
+        assert got[k][0] == " ".join(html_text.re.sub("<[^>]*>", " ", page).split())
+
+
+def _plain_runs(pages, host):
+    """All stretches that suffixes of a host share, found by looking at every prefix of every suffix."""
+    import pyarrow as pa
+
+    columns = [[p[0] for p in pages], [host] * len(pages), [p[2] for p in pages], [p[3] for p in pages], [p[4] for p in pages]]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.list_(pa.int32())))], list("abcde"))
+    tokens = {p[0]: p[3].split() for p in pages}
+    marked = {p[0]: p[2] for p in pages}
+    by_key = collections.defaultdict(list)
+    for found in html_text._starts(iter([batch])):
+        for r in found.to_pylist():
+            by_key[r["key"]].append(r)
+    best = {}
+    for rows in by_key.values():
+        around = collections.Counter(r["around"] for r in rows if r["first"])
+        if sum(around.values()) < html_text.PAGES or 2 * max(around.values()) > sum(around.values()):
+            continue
+        prefixes = collections.defaultdict(list)
+        for r in rows:
+            own = tokens[r["row_no"]][r["at"] :]
+            for depth in range(html_text.MARK, len(own) + 1):
+                prefixes[tuple(own[:depth])].append(r)
+        for prefix, members in prefixes.items():
+            counting = [r for r in members if r["first"]]
+            n = len(counting)
+
+            def no_majority(values, n=n):
+                return 2 * max(collections.Counter(values).values()) <= n
+
+            def token(r, at):
+                own = tokens[r["row_no"]]
+                return own[at] if 0 <= at < len(own) else ("edge", None if marked[r["row_no"]] else r["row_no"])
+
+            if n < html_text.PAGES or not no_majority([token(r, r["at"] + len(prefix)) for r in counting]):
+                continue
+            looked = 1 if marked[rows[0]["row_no"]] else html_text._CHOICE
+            shared = []
+            for k in range(1, looked + 1):
+                lefts = collections.Counter(tuple(token(r, r["at"] - j) for j in range(1, k + 1)) for r in counting)
+                top, count = lefts.most_common(1)[0]
+                if 2 * count > n:
+                    shared.append(top)
+            if len(shared) == looked:
+                continue
+            for r in members:
+                extra = sum(tuple(token(r, r["at"] - j) for j in range(1, len(s) + 1)) == s for s in shared)
+                if extra + len(prefix) >= html_text.MIN_TOKENS:
+                    place = (r["row_no"], r["at"])
+                    best[place] = max(best.get(place, (0, 0)), (r["at"] + len(prefix), r["at"] - extra))
+    return sorted((k, start, end) for (k, _), (end, start) in best.items())
+
+
+@pytest.mark.parametrize("marked", [True, False])
+def test_runs_are_those_of_a_plain_search(spark, marked):
     rng = np.random.default_rng(5)
-    streams = [(k, f"h{k % 2}", _says(*rng.integers(0, 3, 60))) for k in range(12)]
-    runs = html_text.repeated_runs(spark.createDataFrame(streams, "row_no long, host string, stream string")).collect()
-    n = html_text.MIN_TOKENS
-    cut = {(k, s): (h, t.split()[s : s + n]) for k, h, t in streams for s in range(60 - n + 1)}
-    want = {(k, s) for (k, s), run in cut.items() if any(run == other for (j, _), other in cut.items() if j != k)}
-    assert want and {(r.row_no, r.start) for r in runs} == want and len(runs) == len(want)
+    notices = [[f"n{k}x{j}" for j in range(size)] for k, size in enumerate((9, 14, 30))]
+    notices.append(notices[1] + ["and", "more", "of", "it"])
+    pages = []
+    for k in range(40):
+        parts, edges = [], [0]
+        for _ in range(5):
+            parts += [str(w) for w in rng.integers(0, 400, rng.integers(3, 12))]
+            edges.append(len(parts))
+            parts += notices[rng.integers(0, 4)] if rng.random() < 0.7 else [f"c{j}" for j in range(20)]
+            edges.append(len(parts))
+        pages.append((k, "h", marked, _says(*parts), edges[:-1]))
+    frame = spark.createDataFrame(pages, "row_no long, host string, marked boolean, stream string, edges array<int>")
+    # Which marks are chosen depends on the host's hash.
+    want = _plain_runs(pages, frame.select(F.xxhash64("host", "marked")).first()[0])
+    assert len(want) > 40
+    for group in (4_096, 6):
+        got = html_text.repeated_runs(frame, group=group).collect()
+        assert sorted((r.row_no, r.start, r.end) for r in got) == want
+
+
+def test_pages_without_foreign_text_keep_their_whole_article(spark):
+    """The smallest table's articles as another parser reads them."""
+    import html.parser
+
+    class Article(html.parser.HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.inside, self.pieces = False, []
+
+        def handle_starttag(self, tag, attrs):
+            self.inside |= tag == "article"
+            if tag not in html_text._INLINE:
+                self.pieces.append(" ")
+
+        def handle_endtag(self, tag):
+            self.inside &= tag != "article"
+            if tag not in html_text._INLINE:
+                self.pieces.append(" ")
+
+        def handle_data(self, data):
+            if self.inside:
+                self.pieces.append(data)
+
+    for sf in ("sf0.001", "sf0.01"):
+        pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")
+        got = {r.page_id: r.text for r in html_text.main_texts(pages).collect()}
+        for row in pages.collect():
+            reader = Article()
+            reader.feed(row.html or "")
+            assert got[row.page_id] == " ".join("".join(reader.pieces).split()), row.page_id
 
 
 def test_long_and_broken_pages(spark):
