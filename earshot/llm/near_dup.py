@@ -252,22 +252,25 @@ def near_duplicates(
     common = classes.join(own, "node", "left").select("node", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"), "n", "sketch", "bands")
     # Whoever is linked shares so many shingles with a class of at least percent of its size.
     common = common.filter(F.col("c") * 100 >= F.col("n") * percent)
+    # Bands in fewer bits, to go with every row: a band that agrees by chance only adds a cell.
+    brief = F.transform("bands", lambda band: F.hash(band))
+    common = materialize(common.select("node", "c", "n", "sketch", "bands", brief.alias("brief")), "common")
     twice = (
-        waiting.join(common.select("node", "bands"), "node")
-        .select("node", "root", "band", F.explode("bands").alias("other"))
-        .filter("band < other")
-        .select("node", "root", F.xxhash64("band", "other").alias("cell"))
+        waiting.join(common.select("node", "bands", "brief"), "node")
+        .select("node", "root", (F.array_position("bands", F.col("band")) - 1).cast("int").alias("i"), "brief", F.posexplode("brief").alias("j", "other"))
+        .filter("i < j")
+        .select("node", "root", "i", "j", F.xxhash64("i", F.get("brief", "i"), "j", "other").alias("cell"))
     )
     crossed = twice.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("cell")
-    rest = materialize(twice.join(crossed, "cell").join(common.select("node", "c", "n", "sketch", "bands"), "node"), "cells")
-    left, right = (rest.select("cell", F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("root", "c", "n", "sketch", "bands")]) for x in "ab")
+    rest = materialize(twice.join(crossed, "cell").join(common.drop("bands"), "node"), "cells")
+    left, right = (rest.select("cell", "i", "j", F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("root", "c", "n", "sketch", "brief")]) for x in "ab")
     enough_common = F.least("a_c", "b_c") * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
-    # A pair comes out of one cell only, that of the two smallest bands that both have.
-    both = F.sort_array(F.array_intersect("a_bands", "b_bands"))
+    # A pair comes out of one cell only, that of the first two bands in which it agrees.
+    earlier = [(left["j"] > k) & (left["i"] != k) & (F.get("a_brief", F.lit(k)) == F.get("b_brief", F.lit(k))) for k in range(bands)]
     across = left.join(
-        right,
+        right.drop("i", "j"),
         (left["cell"] == right["cell"]) & (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & enough_common & fits("a", "b")
-        & (left["cell"] == F.xxhash64(F.get(both, 0), F.get(both, 1))),
+        & ~reduce(Column.__or__, earlier),
     )
     found = linked(materialize(across.select("a", "b"), "across"))
     if not found.isEmpty():
