@@ -158,6 +158,29 @@ def apply_schema_change(target: DataFrame, source: DataFrame, mode: str = "ignor
     return target, source
 
 
+def store_bucketed(spark: SparkSession, name: str, state: DataFrame, keys: Sequence[str], buckets: int, root: str | None = None) -> DataFrame:
+    """A table whose rows lie in ``buckets`` files by a hash of the keys, sorted by them; its next state if it exists.
+
+    Choose so many buckets that one fits a task. :func:`merge`,
+    :func:`delete_insert` and snapshots on the keys then read it as it lies:
+    only the new rows are shuffled, and the next state, which comes out of the
+    join in the same buckets, is written without a shuffle.
+    """
+    path = scratch_path(spark, name) if root is None else f"{root}/{scratch_path(spark, name).rsplit('/', 1)[-1]}"
+    known = spark.catalog.tableExists(name)
+    written = f"{name}_next" if known else name
+    if known:
+        spark.sql(f"DROP TABLE IF EXISTS {written}")
+    by = list(keys)
+    state.write.bucketBy(buckets, *by).sortBy(*by).option("path", path).format("parquet").saveAsTable(written)
+    if known:
+        # A table with a path of its own leaves its files behind.
+        spark.sql(f"DROP TABLE {written}")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def replace_table(spark: SparkSession, name: str, state: DataFrame, root: str | None = None) -> DataFrame:
     """Write the next state to a folder of its own and point the table at it."""
     path = scratch_path(spark, name) if root is None else f"{root}/{scratch_path(spark, name).rsplit('/', 1)[-1]}"

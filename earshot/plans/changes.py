@@ -226,6 +226,21 @@ def _replace_table(spark, sf):
     return incremental.replace_table(spark, name, incremental.merge(stored, source, ["o_custkey"]))
 
 
+@query("bucketed_merge", _TWO + """
+, merged AS (SELECT coalesce(s.o_custkey, t.o_custkey) AS o_custkey, coalesce(s.orders, t.orders) AS orders,
+       coalesce(s.last_order, t.last_order) AS last_order, coalesce(s.best, t.best) AS best
+FROM t FULL JOIN s ON t.o_custkey = s.o_custkey)
+SELECT * FROM merged WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""")
+def _bucketed_merge(spark, sf):
+    """Merge, then delete, on a table in buckets of its key; each next state is read as it lies."""
+    target, source = _before_after(spark, sf)
+    name = run_name("customer_buckets")
+    stored = incremental.store_bucketed(spark, name, target, ["o_custkey"], 8)
+    stored = incremental.store_bucketed(spark, name, incremental.merge(stored, source, ["o_custkey"]), ["o_custkey"], 8)
+    overdrawn = bridge.table(spark, sf, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
+    return incremental.delete_keys(stored, overdrawn, ["o_custkey"])
+
+
 _CLEAN = "event_id, user_id, event_type, track_id, track_name, artist_name, album_name, duration_ms, played_at, device_type"
 
 
@@ -373,8 +388,9 @@ def _track_changes(spark, sf):
 @query("stream_retention", with_tables("playing") + """
 SELECT user_id, detected_at, track_id FROM playing WHERE detected_at >= (SELECT max(detected_at) FROM playing) - INTERVAL 24 HOUR""")
 def _stream_retention(spark, sf):
-    rows, root, job = _run_halves(spark, sf, state.retention_step(24))
-    return state.current_state(rows, root, job).select("user_id", "detected_at", "track_id")
+    """Each half of the month adds to the folders of its hours; those of the first half go with the second."""
+    rows, root, _ = _run_halves(spark, sf, None, lambda stream, _, root, progress: state.run_retention(stream, root, progress))
+    return state.retained(spark, rows.schema, root).select("user_id", "detected_at", "track_id")
 
 
 @query("refresh_table", with_tables("playing") + """

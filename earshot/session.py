@@ -64,8 +64,26 @@ def _own_folder(spark: SparkSession) -> str:
 
 def remove_scratch(spark: SparkSession) -> None:
     """Deletes what this application wrote below the shared folder; call it once the results are stored."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove_path(spark, _own_folder(spark))
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder with all it holds; one that is not there is passed over."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path, none if it is not there."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return [found.getPath().getName() for found in files.listStatus(place) if found.isDirectory()]
 
 
 def run_name(label: str) -> str:

@@ -1,4 +1,4 @@
-"""Streams whose state is a table: track changes, retention, refreshed results.
+"""Streams whose state is a table: track changes, retention by hours, refreshed results.
 
 Each micro-batch runs as an ordinary distributed job, so a user with a third
 of its rows is spread like in batch. State alternates between two folders: a
@@ -10,12 +10,16 @@ a failure therefore reads the same state and replaces its own output.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from ..operators.incremental import overwrite_partitions
 from ..operators.ordering import neighbours_in_buckets
+from ..session import folder_names, remove_path
 
 Step = Callable[[DataFrame | None, DataFrame], tuple[DataFrame, DataFrame | None]]
 
@@ -96,16 +100,49 @@ def track_change_step(user: str = "user_id", ts: str = "detected_at") -> Step:
     return step
 
 
-def retention_step(hours: int = 24, ts: str = "detected_at") -> Step:
-    """State is the rows of the last hours, counted back from the newest."""
+def run_retention(rows: DataFrame, root: str, checkpoint: str, hours: int = 24, ts: str = "detected_at", every: str | None = None) -> StreamingQuery:
+    """Keeps the rows of the last hours: a batch adds its rows to the folders of their hours, hours that are over go whole.
 
-    def step(state: DataFrame | None, batch: DataFrame) -> tuple[DataFrame, None]:
-        rows = batch if state is None else state.unionByName(batch)
-        newest = rows.agg(F.max(ts)).scalar()
-        kept = rows.filter(F.col(ts) >= F.timestamp_add("HOUR", F.lit(-hours), newest))
-        return kept, None
+    Nothing that is stored is read or written again. A batch that is repeated
+    replaces its own folders. Rows without a time are not kept.
+    """
+    spark = rows.sparkSession
 
-    return step
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        timed = batch.filter(F.col(ts).isNotNull()).withColumn("hour", F.date_format(ts, "yyyyMMddHH")).withColumn("batch", F.lit(batch_id))
+        held = _hours(spark, root)
+        if held:
+            # An hour that ended before the last one began so many hours ago cannot come back.
+            timed = timed.filter(F.col("hour") >= _oldest(held[-1], hours))
+        overwrite_partitions(timed, root, ["hour", "batch"])
+        held = _hours(spark, root)
+        for hour in held:
+            if hour < _oldest(held[-1], hours):
+                remove_path(spark, f"{root}/hour={hour}")
+
+    writer = rows.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
+    return writer.start()
+
+
+def retained(spark: SparkSession, schema: StructType, root: str, hours: int = 24, ts: str = "detected_at") -> DataFrame:
+    """The rows kept by :func:`run_retention`, back from the newest; that one is looked for in the last hour's folder only."""
+    held = _hours(spark, root)
+    if not held:
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(schema).option("basePath", root)
+    newest = stored.parquet(f"{root}/hour={held[-1]}").agg(F.max(ts)).scalar()
+    kept = stored.parquet(*[f"{root}/hour={h}" for h in held if h >= _oldest(held[-1], hours)])
+    return kept.select(*schema.names).filter(F.col(ts) >= F.timestamp_add("HOUR", F.lit(-hours), newest))
+
+
+def _oldest(newest: str, hours: int) -> str:
+    """The first hour that may hold rows of the last ``hours``."""
+    return (datetime.strptime(newest, "%Y%m%d%H") - timedelta(hours=hours)).strftime("%Y%m%d%H")
+
+
+def _hours(spark: SparkSession, root: str) -> list[str]:
+    return sorted(name.split("=", 1)[1] for name in folder_names(spark, root) if name.startswith("hour="))
 
 
 def refresh_step(

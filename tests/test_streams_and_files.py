@@ -194,3 +194,65 @@ def test_anchor_numbers(spark):
     for gap, found, pairs in ((60, 822, 75), (1440, 129, 4420)):
         assert sessions.sessionize(silver, gap).select("user_id", "session_id").distinct().count() == found
         assert bridge.cooccurrence(spark, sf, gap).count() == pairs
+
+
+def test_retention_adds_hours_and_drops_whole_ones(spark):
+    schema = "user_id string, detected_at timestamp_ntz, hour int"
+    path, root = scratch_path(spark, "d"), scratch_path(spark, "r")
+    times = [
+        ["2024-01-01 10:05:00", "2024-01-01 23:00:00", None],
+        ["2024-01-02 10:04:59", "2024-01-01 11:00:00"],
+        ["2024-01-02 12:30:00", "2024-01-01 12:30:00", "2024-01-01 12:29:59", "2024-01-01 10:59:00"],
+    ]
+    folders, files = [], []
+    for batch in times:
+        rows = spark.createDataFrame([("u", t, 7) for t in batch], "user_id string, detected_at string, hour int")
+        rows.withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz")).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(schema).parquet(path).drop("hour")
+        ingest.run_to_end(state.run_retention(stream, root, root + "-p"))
+        folders.append(state._hours(spark, root))
+        files.append({r.f for r in spark.read.parquet(root).select(F.input_file_name().alias("f")).distinct().collect()})
+    assert folders == [["2024010110", "2024010123"], ["2024010110", "2024010111", "2024010123", "2024010210"], ["2024010112", "2024010123", "2024010210", "2024010212"]]
+    # What is stored stays as it is.
+    assert files[0] < files[1] and len(files[1] & files[2]) == 2
+    kept = state.retained(spark, spark.read.parquet(path).drop("hour").schema, root)
+    assert sorted(str(r.detected_at) for r in kept.collect()) == ["2024-01-01 12:30:00", "2024-01-01 23:00:00", "2024-01-02 10:04:59", "2024-01-02 12:30:00"]
+    assert state.retained(spark, kept.schema, root + "-none").count() == 0
+
+
+def _exchanges_over(df, name):
+    """Exchanges above the scan of a table in a plan."""
+    above, found = [], None
+    for line in df._jdf.queryExecution().sparkPlan().toString().splitlines(), df._jdf.queryExecution().executedPlan().toString().splitlines():
+        above = []
+        for row in line:
+            depth = len(row) - len(row.lstrip(" :+-*"))
+            above = [(d, t) for d, t in above if d < depth] + [(depth, row)]
+            if "FileScan" in row and name in row:
+                found = sum("Exchange" in t for _, t in above)
+    return found
+
+
+def test_merges_of_tables_in_buckets_do_not_shuffle_them(spark):
+    from earshot.operators import incremental
+
+    name = f"buckets_{uuid.uuid4().hex[:8]}"
+    rows = spark.range(2_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"), F.lit("old").alias("s"))
+    new = spark.range(1_990, 2_010).select(F.col("id").alias("k"), F.lit(0).cast("long").alias("v"), F.lit("new").alias("s"))
+    stored = incremental.store_bucketed(spark, name, rows, ["k"], 4)
+    merged = incremental.merge(stored, new, ["k"])
+    assert _exchanges_over(merged, name) == 0
+    plain = incremental.replace_table(spark, f"plain_{name}", rows)
+    assert _exchanges_over(incremental.merge(plain, new, ["k"]), f"plain_{name}") > 0
+    want = sorted(map(tuple, incremental.merge(plain, new, ["k"]).collect()))
+    stored = incremental.store_bucketed(spark, name, merged, ["k"], 4)
+    assert sorted(map(tuple, stored.collect())) == want
+    # One file for each bucket: the join's tasks wrote them as they were.
+    assert stored.select(F.input_file_name()).distinct().count() == 4
+    again = incremental.merge(stored, new.withColumn("s", F.lit("again")), ["k"])
+    assert _exchanges_over(again, name) == 0
+    assert again.filter("s = 'again'").count() == 20 and again.count() == 2_010
+    replaced = incremental.delete_insert(stored, new, ["k"])
+    assert _exchanges_over(replaced, name) == 0 and sorted(map(tuple, replaced.collect())) == want
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP TABLE plain_{name}")
