@@ -352,16 +352,15 @@ def _stream_daily_counts(spark, sf):
     return daily.unionByName(gold.daily_user_stats(untimed).select(*daily.columns))
 
 
-def _run_halves(spark, sf, step, run=state.run_with_state):
+def _run_halves(spark, sf, run):
     """Detections of each half of the month come in and are processed, one half after the other."""
     rows, path, root = bridge.currently_playing(spark, sf), scratch_path(spark, "detections"), scratch_path(spark, "state")
     late = F.col("detected_at") >= _at("2024-01-16")
     for part in (rows.filter(~late), rows.filter(late)):
         part.write.mode("append").parquet(path)
         stream = spark.readStream.schema(rows.schema).parquet(path)
-        job = run(stream, step, root, root + "-progress")
-        ingest.run_to_end(job)
-    return rows, root, job
+        ingest.run_to_end(run(stream, root=root, checkpoint=root + "-progress"))
+    return rows, root
 
 
 _CHANGES = """
@@ -373,8 +372,8 @@ WHERE prev IS NULL OR track_id <> prev"""
 @query("stream_track_change", with_tables("playing") + _CHANGES)
 def _stream_track_change(spark, sf):
     """Run twice over half a month each; the second run continues from the first one's state."""
-    run = partial(state.run_with_keyed_state, keys=["user_id"], newest=["detected_at", "track_id"])
-    rows, root, _ = _run_halves(spark, sf, state.track_change_step(), run)
+    run = partial(state.run_with_keyed_state, step=state.track_change_step(), keys=["user_id"], newest=["detected_at", "track_id"])
+    rows, root = _run_halves(spark, sf, run)
     out = spark.read.schema(rows.schema).parquet(f"{root}/out")
     return out.select("user_id", "detected_at", "track_id", "track_name")
 
@@ -389,20 +388,14 @@ def _track_changes(spark, sf):
 SELECT user_id, detected_at, track_id FROM playing WHERE detected_at >= (SELECT max(detected_at) FROM playing) - INTERVAL 24 HOUR""")
 def _stream_retention(spark, sf):
     """Each half of the month adds to the folders of its hours; those of the first half go with the second."""
-    rows, root, _ = _run_halves(spark, sf, None, lambda stream, _, root, progress: state.run_retention(stream, root, progress))
+    rows, root = _run_halves(spark, sf, state.run_retention)
     return state.retained(spark, rows.schema, root).select("user_id", "detected_at", "track_id")
 
 
 @query("refresh_table", with_tables("playing") + """
 SELECT device_type, count(*) AS total_plays, CAST(sum(duration_ms) AS BIGINT) AS total_listening_time_ms FROM playing GROUP BY 1""")
 def _refresh_table(spark, sf):
-    """Device totals kept up to date: each batch adds its own totals to the stored ones."""
-
-    def totals(rows):
-        return rows.groupBy("device_type").agg(
-            F.count("*").alias("total_plays"), F.sum("duration_ms").alias("total_listening_time_ms")
-        )
-
-    add = {"total_plays": F.sum, "total_listening_time_ms": F.sum}
-    rows, root, job = _run_halves(spark, sf, state.refresh_step(totals, ["device_type"], add))
-    return state.current_state(rows, root, job)
+    """Device totals kept up to date: the second half of the month adds to what the first one left."""
+    totals = [F.count("*").alias("total_plays"), F.sum("duration_ms").alias("total_listening_time_ms")]
+    _, root = _run_halves(spark, sf, partial(state.run_refresh, keys=["device_type"], measures=totals))
+    return state.refreshed(spark, root, ["device_type"])

@@ -1,10 +1,8 @@
-"""Streams whose state is a table: track changes, retention by hours, refreshed results.
+"""Streams whose result is a table: track changes, retention by hours, refreshed totals.
 
 Each micro-batch runs as an ordinary distributed job, so a user with a third
-of its rows is spread like in batch. State alternates between two folders: a
-batch reads the one its predecessor wrote and overwrites the other, and its
-output goes to a folder named after the batch. A batch that is run again after
-a failure therefore reads the same state and replaces its own output.
+of its rows is spread like in batch. What a batch puts out goes to a folder
+named after it; one that is run again after a failure replaces its own output.
 """
 
 from __future__ import annotations
@@ -19,33 +17,17 @@ from pyspark.sql.types import StructType
 
 from ..operators.incremental import overwrite_partitions
 from ..operators.ordering import neighbours_in_buckets
-from ..session import folder_names, remove_path
+from ..session import folder_names, materialize, remove_path
 
 Step = Callable[[DataFrame | None, DataFrame], tuple[DataFrame, DataFrame | None]]
 
 
-def run_with_state(rows: DataFrame, step: Step, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """``step(state, batch)`` gives the next state and the rows to put out."""
-    spark = rows.sparkSession
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        state = None if batch_id == 0 else spark.read.parquet(f"{root}/state/{(batch_id - 1) % 2}")
-        next_state, out = step(state, batch)
-        if out is not None:
-            out.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
-        next_state.write.mode("overwrite").parquet(f"{root}/state/{batch_id % 2}")
-
-    writer = rows.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    return writer.start()
-
-
 def run_with_keyed_state(
     rows: DataFrame, step: Step, root: str, checkpoint: str, keys: list[str], newest: list[str], every: str | None = None, compact: int = 20
 ) -> StreamingQuery:
-    """As :func:`run_with_state` for a state with one row per key, at the cost of the keys that a batch touches.
+    """``step(state, batch)`` gives the next state, one row per key, and the rows to put out.
 
-    A batch writes the state of its own keys to a folder of its own; a key's
+    A batch costs what its own keys cost. It writes the state of its own keys to a folder of its own; a key's
     state is its row in the latest folder. ``step`` sees the state of the
     batch's keys only. Every ``compact`` batches one folder takes over the rows
     of all before it, so no more than that many are read. ``newest`` orders
@@ -74,11 +56,6 @@ def run_with_keyed_state(
     return writer.start()
 
 
-def current_state(rows: DataFrame, root: str, query: StreamingQuery) -> DataFrame:
-    """The state table after the query's last batch."""
-    return rows.sparkSession.read.parquet(f"{root}/state/{query.lastProgress['batchId'] % 2}")
-
-
 def track_change_step(user: str = "user_id", ts: str = "detected_at") -> Step:
     """Puts out a detection when its track differs from the user's previous one, or is the first.
 
@@ -145,19 +122,44 @@ def _hours(spark: SparkSession, root: str) -> list[str]:
     return sorted(name.split("=", 1)[1] for name in folder_names(spark, root) if name.startswith("hour="))
 
 
-def refresh_step(
-    build: Callable[[DataFrame], DataFrame], keys: list[str], combine: dict[str, Callable[[str], Column]]
-) -> Step:
-    """Keeps an aggregate up to date at the trigger's pace.
+def run_refresh(rows: DataFrame, keys: list[str], measures: list[Column], root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Keeps totals per key up to date at the trigger's pace.
 
-    ``build`` aggregates a batch; ``combine`` says how each measure of the
-    stored rows and the new ones is put together (sum, min, max, ...). Only
-    aggregated rows are kept, never the batches.
+    The engine's own streaming aggregate holds them, and a batch writes the
+    totals of the keys it has rows of to a folder of its own. A batch that is
+    repeated writes the same totals again.
     """
 
-    def step(state: DataFrame | None, batch: DataFrame) -> tuple[DataFrame, None]:
-        fresh = build(batch)
-        rows = fresh if state is None else state.unionByName(fresh)
-        return rows.groupBy(*keys).agg(*[f(c).alias(c) for c, f in combine.items()]), None
+    def on_batch(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
-    return step
+    writer = rows.groupBy(*keys).agg(*measures).writeStream.outputMode("update").foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
+    return writer.start()
+
+
+def refreshed(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
+    """The totals of every key as the last batch that had rows of it left them."""
+    written = spark.read.parquet(root)
+    columns = [c for c in written.columns if c != "batch"]
+    latest = F.max_by(F.struct(*columns), "batch").alias("_row")
+    return written.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(latest).select("_row.*")
+
+
+def prune_refreshed(spark: SparkSession, root: str, keys: list[str]) -> int:
+    """Between two runs: puts all totals into one folder and removes the others; returns how many those are.
+
+    The last batch keeps its folder, as the next run may repeat it.
+    """
+    held = sorted(int(name.split("=", 1)[1]) for name in folder_names(spark, root) if name.startswith("batch="))
+    if len(held) < 3:
+        return 0
+    into, gone = held[-2], held[:-2]
+    before = spark.read.option("basePath", root).parquet(*[f"{root}/batch={k}" for k in held[:-1]])
+    columns = [c for c in before.columns if c != "batch"]
+    latest = before.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max_by(F.struct(*columns), "batch").alias("_row")).select("_row.*")
+    # Read whole before its folder is replaced.
+    materialize(latest, "totals").write.mode("overwrite").parquet(f"{root}/batch={into}")
+    for batch in gone:
+        remove_path(spark, f"{root}/batch={batch}")
+    return len(gone)

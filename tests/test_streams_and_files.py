@@ -220,6 +220,23 @@ def test_retention_adds_hours_and_drops_whole_ones(spark):
     assert state.retained(spark, kept.schema, root + "-none").count() == 0
 
 
+def test_totals_are_kept_by_the_stream_itself(spark):
+    path, root = scratch_path(spark, "d"), scratch_path(spark, "t")
+    batches = [[("a", 1), ("b", 2), (None, 3)], [("b", 5)], [("c", 7), (None, 1)], [("a", 1)]]
+    for k, batch in enumerate(batches):
+        spark.createDataFrame(batch, "kind string, n long").write.mode("append").parquet(path)
+        stream = spark.readStream.schema("kind string, n long").parquet(path)
+        job = state.run_refresh(stream, ["kind"], [F.sum("n").alias("n"), F.count("*").alias("plays")], root, root + "-p")
+        ingest.run_to_end(job)
+        so_far = spark.read.parquet(path).groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("plays"))
+        assert sorted(map(str, state.refreshed(spark, root, ["kind"]).collect())) == sorted(map(str, so_far.collect()))
+        if k == 2:
+            # A batch holds the totals of its own keys only.
+            assert spark.read.parquet(f"{root}/batch=1").collect()[0][:3] == ("b", 7, 2)
+            assert state.prune_refreshed(spark, root, ["kind"]) == 1 and state.prune_refreshed(spark, root, ["kind"]) == 0
+            assert sorted(map(str, state.refreshed(spark, root, ["kind"]).collect())) == sorted(map(str, so_far.collect()))
+
+
 def _exchanges_over(df, name):
     """Exchanges above the scan of a table in a plan."""
     above, found = [], None
