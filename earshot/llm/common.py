@@ -30,12 +30,14 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
 def keep_rows(docs: DataFrame, verdicts: DataFrame, key: Column) -> DataFrame:
     """Rows of ``docs`` whose key a verdict (``key, kept``) keeps; of repeated rows one. Columns as they were.
 
-    Only keys that are dropped are joined, and the step for repeated rows is
-    taken only where there are some.
+    Only keys that are dropped or repeated are joined, and only rows that are
+    repeated are compared with each other.
     """
     per_key = verdicts.groupBy(F.col("key").alias("_key")).agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     per_key = materialize(per_key.filter(~F.col("kept") | (F.col("n") > 1)), "verdicts")
-    left = docs.withColumn("_key", key).join(per_key.filter(~F.col("kept")).select("_key"), "_key", "left_anti")
-    if not per_key.filter("kept").isEmpty():
-        left = left.dropDuplicates(["_key"])
+    keyed = docs.withColumn("_key", key)
+    left = keyed.join(per_key.select("_key"), "_key", "left_anti")
+    repeated = per_key.filter("kept").select("_key")
+    if not repeated.isEmpty():
+        left = left.unionByName(keyed.join(repeated, "_key", "left_semi").dropDuplicates(["_key"]))
     return left.select(*docs.columns)
