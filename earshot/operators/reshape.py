@@ -167,6 +167,34 @@ def listagg_first(
     return first.groupBy(*group_by).agg(listagg(measure, delimiter, F.col("_rn")).alias(name))
 
 
+def listagg_in_pieces(
+    df: DataFrame, group_by: Sequence[str], measure: Column | str, delimiter: str = ",", order_by: Sequence[str] = (),
+    distinct: bool = False, name: str = "values",
+) -> DataFrame:
+    """Text of all values of each group, in order of ``order_by`` and the value, put together in pieces.
+
+    Rows are dealt by ranges of (group, order, value), so that a group with a
+    third of all rows is many ranges; each becomes one piece of text where it
+    lies, and only pieces meet, one for each range of a group. Equal rows are
+    counted before they are dealt; ``distinct`` takes each value once, in order of
+    the values. Nulls are left out, a group of nothing else
+    has the empty text. A text is one cell and so at most 2 GB.
+    """
+    keys = [f"_k{i}" for i in range(len(order_by))]
+    text = (F.col(measure) if isinstance(measure, str) else measure).cast("string")
+    rows = df.select(*group_by, *[F.col(c).alias(k) for c, k in zip(order_by, keys)], text.alias("_value"))
+    if distinct:
+        keys = []
+    counted = rows.groupBy(*group_by, *keys, "_value").agg(F.lit(1).alias("_n") if distinct else F.count("*").cast("int").alias("_n"))
+    ranged = counted.repartitionByRange(*group_by, *keys, "_value").withColumn("_range", F.spark_partition_id())
+    item = F.when(F.col("_value").isNotNull(), F.struct(*keys, "_value", "_n"))
+    pieces = ranged.groupBy(*group_by, "_range").agg(F.array_sort(F.collect_list(item)).alias("_items"))
+    words = F.flatten(F.transform("_items", lambda i: F.array_repeat(i["_value"], i["_n"])))
+    piece = F.when(F.size("_items") > 0, F.struct("_range", F.array_join(words, delimiter).alias("text")))
+    joined = pieces.select(*group_by, piece.alias("_piece")).groupBy(*group_by).agg(F.array_sort(F.collect_list("_piece")).alias("_pieces"))
+    return joined.select(*group_by, F.array_join(F.transform("_pieces", lambda p: p["text"]), delimiter).alias(name))
+
+
 def except_sets(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of a that b lacks, once each. Copies collapse before the join."""
     return a.distinct().subtract(b.distinct())

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dates, nested, numeric, text
+from ..operators import reshape
 from . import bridge
 from .bridge import with_tables
 from .registry import query
@@ -180,9 +181,8 @@ def _split_part(spark, sf):
 SELECT c_nationkey, string_agg(DISTINCT left(c_mktsegment, 5), ', ' ORDER BY left(c_mktsegment, 5)) AS segments
 FROM customer GROUP BY 1""")
 def _listagg_left(spark, sf):
-    return bridge.table(spark, sf, "customer").groupBy("c_nationkey").agg(
-        F.array_join(F.array_sort(F.collect_set(F.left("c_mktsegment", F.lit(5)))), ", ").alias("segments")
-    )
+    start = F.left("c_mktsegment", F.lit(5))
+    return reshape.listagg_in_pieces(bridge.table(spark, sf, "customer"), ["c_nationkey"], start, ", ", distinct=True, name="segments")
 
 
 @query("slugify", """

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.nested import listagg
 from ..operators import incremental, reshape
 from ..schemas import PLAY_EVENT, SILVER_PLAYS
 from ..session import materialize, run_name, scratch_path
@@ -175,7 +174,7 @@ def _column_values(spark, sf):
 
 @query("listagg", "SELECT n_regionkey, string_agg(n_name, '; ' ORDER BY n_name) AS nations FROM nation GROUP BY 1")
 def _listagg(spark, sf):
-    return bridge.table(spark, sf, "nation").groupBy("n_regionkey").agg(listagg("n_name", "; ").alias("nations"))
+    return reshape.listagg_in_pieces(bridge.table(spark, sf, "nation"), ["n_regionkey"], "n_name", "; ", name="nations")
 
 
 @query("listagg_limit", """
@@ -343,16 +342,17 @@ def _external_table_scan(spark, sf):
 SELECT 'first' AS load, count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS plays FROM bronze
 UNION ALL SELECT 'both', count(*) FROM bronze""")
 def _external_table_refresh(spark, sf):
-    """A second load lands after the table was read; a refresh shows it."""
-    bronze, root = bridge.bronze(spark, sf), scratch_path(spark, "landing")
+    """A second load lands after the table was read; a refresh takes up its files, and only these."""
+    bronze, root, listed = bridge.bronze(spark, sf), scratch_path(spark, "landing"), scratch_path(spark, "landed-files")
     late = F.col("played_at") >= "2024-01-16"
-    _write(bronze.filter(~late), root)
-    # Written now: after the refresh the same scan would see both loads.
-    before = materialize(tables.external_table_scan(spark, root).agg(F.count("*").alias("plays")), "before")
-    _write(bronze.filter(late), root)
-    tables.refresh(spark, root)
-    after = tables.external_table_scan(spark, root).agg(F.count("*").alias("plays"))
-    return before.select(F.lit("first").alias("load"), "plays").unionByName(after.select(F.lit("both").alias("load"), "plays"))
+    plays = F.coalesce(F.sum("row_count"), F.lit(0)).alias("plays")
+    shown = []
+    for load, rows in (("first", bronze.filter(~late)), ("both", bronze.filter(late))):
+        _write(rows, root)
+        ingest.run_to_end(ingest.register_files(spark, root, listed, listed + "-progress"))
+        # Written now: the same table of files has both loads after the second refresh.
+        shown.append(materialize(ingest.registered_files(spark, listed).agg(plays).select(F.lit(load).alias("load"), "plays"), "load"))
+    return shown[0].unionByName(shown[1])
 
 
 @query("list_source_files", with_tables("bronze") + """

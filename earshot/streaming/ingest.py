@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import try_cast_ts
+from ..schemas import PLAY_EVENT
 from ..sources.events import dead_letters, parse_events
 from ..sources.tables import HOUR_PARTITIONS, spread_by_hour, with_hour_partitions
 
@@ -32,6 +34,46 @@ def run_to_end(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+#: What a table of landed files tells of each.
+LANDED_FILE = "file_path string, file_size long, landed_at timestamp, row_count long"
+
+
+def register_files(
+    spark: SparkSession, root: str, registry: str, checkpoint: str, every: str | None = None, files_per_batch: int | None = None
+) -> StreamingQuery:
+    """Adds the files that landed since the last run to a table of files, with their rows counted.
+
+    The file stream's own log knows which files were taken, so a run lists the
+    folder but opens new files only, and of these no column. Files are never
+    changed once they have landed; one without rows is not listed. A repeated
+    batch writes its own folder again. ``files_per_batch`` bounds a batch.
+    """
+    levels = T.StructType([T.StructField(p, T.StringType()) for p in HOUR_PARTITIONS])
+    landed = (
+        spark.readStream.schema(T.StructType(PLAY_EVENT.fields + levels.fields))
+        .option("pathGlobFilter", "*.parquet")
+        # Files that were copied with an old date count too.
+        .option("maxFileAge", "36500d")
+    )
+    if files_per_batch is not None:
+        landed = landed.option("maxFilesPerTrigger", files_per_batch)
+    meta = {"file_path": "file_path", "file_size": "file_size", "file_modification_time": "landed_at"}
+    files = landed.parquet(root).select(*[F.col(f"_metadata.{field}").alias(name) for field, name in meta.items()])
+
+    def put(batch: DataFrame, number: int) -> None:
+        counted = batch.groupBy(*meta.values()).agg(F.count("*").alias("row_count"))
+        counted.write.mode("overwrite").parquet(f"{registry}/batch={number}")
+
+    writer = files.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
+    return writer.start()
+
+
+def registered_files(spark: SparkSession, registry: str) -> DataFrame:
+    """The table of files that ``register_files`` keeps: path, bytes, time and rows of each."""
+    return spark.read.schema(LANDED_FILE).parquet(f"{registry}/batch=*")
+
+
 def stream_bronze_ingest(
     messages: DataFrame,
     root: str,

@@ -355,3 +355,26 @@ def test_snapshot_sentinel_and_deleted_records(spark):
     s = snapshots.snapshot_apply(s, _state(spark, (1, "a", "2024-01-01")), rule, "2024-01-09")
     got = sorted((r.id, str(r.valid_to)[:10], r.is_deleted) for r in s.collect())
     assert got == [(1, "9999-12-31", "False"), (2, "2024-01-09", "False"), (2, "9999-12-31", "True")]
+
+
+def test_listagg_in_pieces(spark):
+    """A group with most rows lies in many ranges; duplicates, nulls and groups of nulls as in one list."""
+    rows = [("hot", f"v{(k * 7919) % 5000:05}", k % 3) for k in range(6000)]
+    rows += [("cold", "b", 1), ("cold", "a", 2), ("cold", "a", None), ("cold", None, 0), ("none", None, 1), (None, "x", 1)]
+    df = spark.createDataFrame(rows, "g string, v string, o int")
+
+    def plain(key, distinct=False, ordered=False):
+        held = [(o, v) for g, v, o in rows if g == key and v is not None]
+        if ordered:
+            return ",".join(v for _, v in sorted(held, key=lambda p: (p[0] is not None, p[0] or 0, p[1])))
+        values = [v for _, v in held]
+        return ",".join(sorted(set(values) if distinct else values))
+
+    for options in ({}, {"distinct": True}, {"order_by": ["o"]}):
+        out = {r.g: r["values"] for r in reshape.listagg_in_pieces(df, ["g"], "v", **options).collect()}
+        want = {g: plain(g, options.get("distinct", False), "order_by" in options) for g in ("hot", "cold", "none", None)}
+        assert out == want
+    assert reshape.listagg_in_pieces(df.limit(0), ["g"], "v").isEmpty()
+
+    counted = df.groupBy("g", "v").count().repartitionByRange(8, "g", "v").withColumn("range", F.spark_partition_id())
+    assert counted.filter("g = 'hot'").select("range").distinct().count() >= 7

@@ -273,3 +273,29 @@ def test_merges_of_tables_in_buckets_do_not_shuffle_them(spark):
     assert _exchanges_over(replaced, name) == 0 and sorted(map(tuple, replaced.collect())) == want
     spark.sql(f"DROP TABLE {name}")
     spark.sql(f"DROP TABLE plain_{name}")
+
+
+def test_a_second_load_reads_its_own_files(spark, tmp_path):
+    root, listed = str(tmp_path / "landing"), str(tmp_path / "files")
+
+    def load(day, n):
+        rows = [(f"{day}-{k}", "u", "t", f"2024-01-{day:02}T0{k % 3}:00:00Z") for k in range(n)]
+        names = "event_id string, user_id string, track_id string, played_at string"
+        plays = spark.createDataFrame(rows, names)
+        missing = [f for f in PLAY_EVENT.fields if f.name not in plays.columns]
+        plays = plays.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}).select(*PLAY_EVENT.fieldNames())
+        tables.write_bronze(plays, root)
+        run = ingest.register_files(spark, root, listed, listed + "-progress")
+        ingest.run_to_end(run)
+        return sum(p["numInputRows"] for p in run.recentProgress)
+
+    assert load(1, 9) == 9
+    first = {r.file_path: r.row_count for r in ingest.registered_files(spark, listed).collect()}
+    assert load(2, 5) == 5  # not 14
+    both = {r.file_path: r.row_count for r in ingest.registered_files(spark, listed).collect()}
+    assert first.items() < both.items() and sum(first.values()) == 9 and sum(both.values()) == 14
+    scanned = tables.list_source_files(tables.external_table_scan(spark, root)).collect()
+    assert {r.file_path: r.row_count for r in scanned} == both
+    again = ingest.register_files(spark, root, listed, listed + "-progress")
+    ingest.run_to_end(again)
+    assert ingest.registered_files(spark, listed).count() == len(both)
