@@ -32,6 +32,8 @@ from .words import U, byte_view, mix, shingle_hashes, slices, word_hashes
 BANDS, ROWS = 30, 5
 #: Turns in which a class is compared with one member of each bucket.
 TURNS = 2
+#: Words of 64 bits in which the parity of a set's hashes is kept.
+PARITY = 8
 #: Choices made without a table of each shingle's order; later ones are for short texts only.
 _SPARSE = 6
 
@@ -104,12 +106,26 @@ def equal_slots(a: str, b: str, slots: int) -> Column:
     words = -(-slots // 64)
 
     def differ(word: int) -> Column:
-        planes = [F.col(a)[k * words + word].bitwiseXOR(F.col(b)[k * words + word]) for k in range(4)]
+        planes = [F.get(a, F.lit(k * words + word)).bitwiseXOR(F.get(b, F.lit(k * words + word))) for k in range(4)]
         return F.bit_count(reduce(Column.bitwiseOR, planes))
 
     return F.lit(slots) - reduce(Column.__add__, [differ(w) for w in range(words)])
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For every set, each of 64 * PARITY bits says whether an odd number of its hashes falls on it (sets x words)."""
+    bits = 64 * PARITY
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    place = (mix(np.concatenate(sets)) >> U(33)).astype(np.int64) % bits if len(owner) else np.zeros(0, np.int64)
+    odd = np.bincount(owner * bits + place, minlength=len(sets) * bits).reshape(len(sets), bits) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view(np.int64)
+
+
+def least_apart(a: str, b: str) -> Column:
+    """Shingles that only one of two sets has, at the least: bits that differ, as shared shingles cancel out."""
+    return reduce(Column.__add__, [F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(PARITY)])
+
+
 def least_equal(percent: int, slots: int) -> int:
     """Equal slots that a pair of this similarity has but for a chance of 3e-7 (five standard deviations)."""
     share = percent / 100 + (1 - percent / 100) / 16
@@ -124,7 +140,7 @@ def _signatures(size: int, bands: int, rows: int):
                 hashes, _, begin = word_hashes(content, starts[first : last + 1])
                 sets = _distinct(*shingle_hashes(hashes, begin, size))
                 signed = super_min_hash(sets, bands * rows)
-                tables = [band_keys(signed, bands, rows), sketches(signed)]
+                tables = [band_keys(signed, bands, rows), sketches(signed), parities(sets)]
                 lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * t.shape[1], pa.int32()), pa.array(t.ravel())) for t in tables]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -133,7 +149,7 @@ def _signatures(size: int, bands: int, rows: int):
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                         *lists,
                     ],
-                    ["doc_id", "key", "n_shingles", "set_key", "bands", "sketch"],
+                    ["doc_id", "key", "n_shingles", "set_key", "bands", "sketch", "parity"],
                 )
 
     return run
@@ -171,21 +187,22 @@ def near_duplicates(
     chance, if they are not in one component yet; what is linked is joined by
     union-find. A family of thousands is so settled by a few comparisons of
     each. Then all pairs of classes that are still in different components,
-    share two bands and agree in enough slots are compared. So every pair that
+    share two bands, agree in enough slots and cannot be seen to differ by too
+    much from the parities of their hashes, are compared. So every pair that
     could be a link is in one component already or has been compared.
     """
     slots, enough = bands * rows, least_equal(percent, bands * rows)
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("key"), F.col(text).alias("text"))
     signed = keyed.mapInArrow(
         _signatures(size, bands, rows),
-        "doc_id long, key binary, n_shingles long, set_key binary, bands array<long>, sketch array<long>",
+        "doc_id long, key binary, n_shingles long, set_key binary, bands array<long>, sketch array<long>, parity array<long>",
     )
     signed = materialize(signed, "signatures")
 
     classes = (
         signed.filter("n_shingles > 0")
         .groupBy("set_key")
-        .agg(*[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")], F.min("doc_id").alias("least_id"), F.min("key").alias("key"))
+        .agg(*[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch", "parity")], F.min("doc_id").alias("least_id"), F.min("key").alias("key"))
         .withColumnRenamed("n_shingles", "n")
         .withColumn("node", F.monotonically_increasing_id())
     )
@@ -196,12 +213,13 @@ def near_duplicates(
     members = materialize(banded.join(shared, "band"), "buckets")
 
     def fits(a: str, b: str) -> Column:
-        """Sizes and slots allow a link."""
+        """Sizes, parities and slots allow a link."""
         near = F.least(f"{a}_n", f"{b}_n") * 100 >= F.greatest(f"{a}_n", f"{b}_n") * percent
-        return near & (equal_slots(f"{a}_sketch", f"{b}_sketch", slots) >= enough)
+        apart = least_apart(f"{a}_parity", f"{b}_parity") * (100 + percent) <= (F.col(f"{a}_n") + F.col(f"{b}_n")) * (100 - percent)
+        return near & apart & (equal_slots(f"{a}_sketch", f"{b}_sketch", slots) >= enough)
 
     def side(name: str) -> DataFrame:
-        return classes.select(F.col("node").alias(name), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
+        return classes.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", "sketch", "parity")])
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         """Full sets of some classes, from one text of each."""
@@ -249,12 +267,12 @@ def near_duplicates(
     shingled = sets_of(waiting.select("node").distinct()).select("node", F.explode("shingles").alias("shingle"))
     lone = shingled.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("node").alias("node")).filter("holders = 1")
     own = lone.groupBy("node").agg(F.count("*").alias("own"))
-    common = classes.join(own, "node", "left").select("node", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"), "n", "sketch", "bands")
+    common = classes.join(own, "node", "left").select("node", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"), "n", "sketch", "parity", "bands")
     # Whoever is linked shares so many shingles with a class of at least percent of its size.
     common = common.filter(F.col("c") * 100 >= F.col("n") * percent)
     # Bands in fewer bits, to go with every row: a band that agrees by chance only adds a cell.
     brief = F.transform("bands", lambda band: F.hash(band))
-    common = materialize(common.select("node", "c", "n", "sketch", "bands", brief.alias("brief")), "common")
+    common = materialize(common.select("node", "c", "n", "sketch", "parity", "bands", brief.alias("brief")), "common")
     twice = (
         waiting.join(common.select("node", "bands", "brief"), "node")
         .select("node", "root", (F.array_position("bands", F.col("band")) - 1).cast("int").alias("i"), "brief", F.posexplode("brief").alias("j", "other"))
@@ -263,16 +281,22 @@ def near_duplicates(
     )
     crossed = twice.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("cell")
     rest = materialize(twice.join(crossed, "cell").join(common.drop("bands"), "node"), "cells")
-    left, right = (rest.select("cell", "i", "j", F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("root", "c", "n", "sketch", "brief")]) for x in "ab")
+    parts = ("root", "c", "n", "sketch", "parity", "brief")
+    left, right = (rest.select("cell", "j", F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in parts]) for x in "ab")
     enough_common = F.least("a_c", "b_c") * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
-    # A pair comes out of one cell only, that of the first two bands in which it agrees.
-    earlier = [(left["j"] > k) & (left["i"] != k) & (F.get("a_brief", F.lit(k)) == F.get("b_brief", F.lit(k))) for k in range(bands)]
-    across = left.join(
-        right.drop("i", "j"),
-        (left["cell"] == right["cell"]) & (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & enough_common & fits("a", "b")
-        & ~reduce(Column.__or__, earlier),
+    # The smaller of two linked sets shares so much with others that a set of its own size could be linked with it.
+    rich = F.col("a_c") * (100 + percent) >= F.col("a_n") * (2 * percent)
+    smaller = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b")))
+    # A pair comes out of one cell only, that of the first two bands in which it agrees. The function of arrays is
+    # looked at last; it also keeps the condition out of one large generated method, which the JVM would not compile.
+    agree = F.slice(F.zip_with("a_brief", "b_brief", lambda x, y: x == y), F.lit(1), F.col("j") + 1)
+    first_cell = F.size(F.filter(agree, lambda same: same)) == 2
+    across = left.filter(rich).join(
+        right.drop("j"),
+        (left["cell"] == right["cell"]) & smaller & (F.col("a_root") != F.col("b_root")) & enough_common & fits("a", "b") & first_cell,
     )
-    found = linked(materialize(across.select("a", "b"), "across"))
+    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = linked(materialize(across, "across"))
     if not found.isEmpty():
         links = found if links is None else links.unionByName(found)
         roots = components(links)

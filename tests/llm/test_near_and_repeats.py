@@ -1,6 +1,7 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 
 from earshot.llm import near_dup, repeats
@@ -65,3 +66,55 @@ def test_repeats_in_texts_of_few_letters(spark, seed):
     got = repeats.cut_repeats(docs, length=40, gram=8).collect()
     assert sorted((str(r.doc_id), (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in got) == want
     assert repeats.cut_repeats(docs.limit(0)).count() == 0
+
+
+def test_parities_bound_what_two_sets_do_not_share(spark):
+    """Differing bits are never more than the shingles that only one set has, and close to them where these are few."""
+    rng = np.random.default_rng(5)
+    sets, apart = [], []
+    for n, changed in [(1, 0), (5, 2), (148, 10), (148, 34), (900, 80), (20000, 9000), (0, 0)]:
+        first = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        second = np.unique(np.concatenate([first[changed:], rng.integers(0, 1 << 63, changed, dtype=np.uint64)]))
+        sets += [first, second]
+        apart.append(len(np.setxor1d(first, second)))
+    rows = near_dup.parities(sets)
+    pairs = [(rows[k].tolist(), rows[k + 1].tolist(), apart[k // 2]) for k in range(0, len(sets), 2)]
+    df = spark.createDataFrame(pairs, "a array<long>, b array<long>, apart long")
+    got = df.select("apart", near_dup.least_apart("a", "b").alias("least")).collect()
+    assert all(r.least <= r.apart for r in got)
+    assert all(r.least >= 0.8 * r.apart for r in got if r.apart <= 70)
+
+
+def test_families_that_drift_are_linked_as_by_all_pairs(spark):
+    """Members of one large family around the threshold, which no single hub links."""
+    rng = np.random.default_rng(11)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for k in range(160):
+        words = list(base)
+        for place in rng.choice(120, size=int(rng.integers(0, 9)), replace=False):
+            words[place] = f"x{rng.integers(0, 400)}"
+        texts.append(" ".join(words[: 120 - int(rng.integers(0, 12))]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs, percent=85, size=3).collect()}
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+
+    held = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(held[a] & held[b]) >= 85 * len(held[a] | held[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    want = {k: find(k) for k in range(len(texts))}
+    assert len(set(want.values())) > 3
+    assert got == want
