@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import gold, recommend
 from .silver import silver_plays
 
@@ -191,8 +192,9 @@ def listening_models(as_of: str | None = None, gap_minutes: int = 30) -> list[Mo
     def affinity(silver_plays):
         return recommend.artist_affinity(silver_plays, as_of)
 
-    def scored(track_cooccurrence, artist_affinity):
-        return recommend.score_candidates(track_cooccurrence, artist_affinity)
+    def scored(silver_plays, artist_affinity):
+        items = materialize(recommend.session_items(silver_plays, gap_minutes), "items")
+        return recommend.scored_pairs(items, artist_affinity)
 
     def recommendations(scored_pairs):
         return recommend.best_per_user(scored_pairs)
@@ -205,6 +207,6 @@ def listening_models(as_of: str | None = None, gap_minutes: int = 30) -> list[Mo
         Model("device_usage", devices),
         Model("track_cooccurrence", cooccurrence, spaced),
         Model("artist_affinity", affinity, dated),
-        Model("scored_pairs", scored, write=_write_scored, read=recommend.stored_scored),
+        Model("scored_pairs", scored, spaced, write=_write_scored, read=recommend.stored_scored),
         Model("track_recommendations", recommendations),
     ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from .sessions import GAP_MINUTES, session_minutes
 ITEM = ("track_id", "track_name", "artist_name")
 BLOCK_ITEMS = 1_000
 TOP_N = 50
+#: Items and pairs a user may have in all to be paired in the task that holds the user, and those of one task.
+LIGHT, TASK_PAIRS = 20_000, 500_000
 
 
 def session_items(plays: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
@@ -34,14 +38,10 @@ def session_items(plays: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame
 
 def basket_items(rows: DataFrame, user: str, basket: str, item: str) -> DataFrame:
     """The same shape from ready-made baskets (for example order lines)."""
-    name = F.col(item).cast("string")
-    return rows.groupBy(
-        F.col(user).alias("user_id"),
-        F.col(basket).alias("session_id"),
-        F.col(item).alias("track_id"),
-        name.alias("track_name"),
-        name.alias("artist_name"),
-    ).agg(F.count("*").alias("plays"))
+    name = F.col("track_id").cast("string")
+    items = rows.groupBy(F.col(user).alias("user_id"), F.col(basket).alias("session_id"), F.col(item).alias("track_id"))
+    items = items.agg(F.count("*").alias("plays"))
+    return items.select("user_id", "session_id", "track_id", name.alias("track_name"), name.alias("artist_name"), "plays")
 
 
 def _with_blocks(items: DataFrame, block_items: int) -> DataFrame:
@@ -94,8 +94,79 @@ def track_session_counts(items: DataFrame) -> DataFrame:
 PAIR = ("user_id", "track_a_id", "track_a_name", "track_a_artist", "track_b_id", "track_b_name", "track_b_artist")
 
 
-def score_pairs(items: DataFrame, min_sessions: int = 1, symmetric: bool = False) -> DataFrame:
+def by_load(items: DataFrame, light: int = LIGHT) -> tuple[DataFrame, DataFrame | None, int]:
+    """Items of everyday users, those of users with more than ``light`` items and pairs (None: there are none), and tasks for the former.
+
+    A session of n items counts n * (n + 1) / 2. The number of tasks follows the
+    load, so that a task has the same number of pairs at any size.
+    """
+    n = F.col("_n")
+    per_session = items.groupBy("user_id", "session_id").agg(F.count("*").alias("_n"))
+    loads = materialize(per_session.groupBy("user_id").agg(F.sum((n * (n + 1) / 2).cast("long")).alias("_load")), "loads")
+    heavy = F.col("_load") > light
+    total, many = loads.agg(F.sum(F.when(~heavy, F.col("_load"))), F.count_if(heavy)).first()
+    parts = max(math.ceil((total or 0) / TASK_PAIRS), items.sparkSession.sparkContext.defaultParallelism)
+    if not many:
+        return items, None, parts
+    users = loads.filter(heavy).select("user_id")
+    return items.join(users, "user_id", "left_anti"), items.join(users, "user_id", "left_semi"), parts
+
+
+def pairs_in_place(items: DataFrame, parts: int, by: tuple[str, ...] = PAIR, min_sessions: int = 1) -> DataFrame:
+    """``sessions_together`` of each pair of :func:`session_pairs`, and both totals of sessions, for users of a bounded load.
+
+    The items are shuffled once, by user. Totals, sessions, pairs and their
+    counts then follow in the task of the user: no pair is ever moved. Columns
+    of ``items`` that start with ``_`` belong to the item; they come along for
+    either track, with ``_a`` and ``_b`` behind their names.
+    """
+    known = items.filter(F.col("user_id").isNotNull() & F.col("session_id").isNotNull() & F.col("track_id").isNotNull())
+    of_track = Window.partitionBy("user_id", "track_id")
+    placed = known.repartition(parts, "user_id").withColumn("_total", F.size(F.collect_set("session_id").over(of_track)).cast("long"))
+    if min_sessions > 1:
+        # A track heard in fewer sessions cannot be part of such a pair.
+        placed = placed.filter(F.col("_total") >= min_sessions)
+    carried = [c for c in placed.columns if c.startswith("_")]
+    heard = placed.groupBy("user_id", "session_id").agg(F.sort_array(F.collect_list(F.struct(*ITEM, *carried))).alias("_heard"))
+    each = heard.select("user_id", "_heard", F.posexplode("_heard").alias("_at", "_a"))
+    later = F.slice("_heard", F.col("_at") + 2, F.size("_heard"))
+    pairs = each.select("user_id", "_a", F.explode(later).alias("_b")).filter(F.col("_a.track_id") < F.col("_b.track_id"))
+    fields = {f"track_{t}_{n}": F.col(f"_{t}.{c}") for t in "ab" for n, c in zip(("id", "name", "artist"), ITEM)}
+    values = {f"{c}_{t}": F.col(f"_{t}.{c}") for t in "ab" for c in carried}
+    named = pairs.select("user_id", *[c.alias(n) for n, c in {**fields, **values}.items() if n in by or n in values])
+    counted = named.groupBy(*by).agg(F.count("*").alias("sessions_together"), *[F.max(n).alias(n) for n in values])
+    return counted.filter(F.col("sessions_together") >= min_sessions) if min_sessions > 1 else counted
+
+
+def pair_counts(items: DataFrame, by: tuple[str, ...] = PAIR, light: int = LIGHT) -> DataFrame:
+    """``sessions_together``: the rows of :func:`session_pairs` for each value of ``by``, which has the user and both track ids."""
+    everyday, heavy, parts = by_load(items, light)
+    counts = pairs_in_place(everyday, parts, by).select(*by, "sessions_together")
+    if heavy is None:
+        return counts
+    return counts.unionByName(session_pairs(heavy).groupBy(*by).agg(F.count("*").alias("sessions_together")))
+
+
+def _mirrored(pairs: DataFrame) -> DataFrame:
+    """Every pair and its reverse."""
+    swap = {f"track_a_{p}": f"track_b_{p}" for p in ("id", "name", "artist")} | {"_total_a": "_total_b"}
+    swap |= {v: k for k, v in swap.items()}
+    other = F.struct(*[F.col(swap.get(c, c)).alias(c) for c in pairs.columns])
+    return pairs.select(F.inline(F.array(F.struct(*pairs.columns), other)))
+
+
+def score_pairs(items: DataFrame, min_sessions: int = 1, symmetric: bool = False, light: int = LIGHT) -> DataFrame:
     """Sessions shared by each pair and the share of track a's sessions."""
+    everyday, heavy, parts = by_load(items, light)
+    pairs = pairs_in_place(everyday, parts, min_sessions=min_sessions)
+    pairs = (_mirrored(pairs) if symmetric else pairs).withColumnRenamed("_total_a", "track_a_total_sessions")
+    score = round_ratio("sessions_together", "track_a_total_sessions").alias("cooccurrence_score")
+    scored = pairs.select(*PAIR, "sessions_together", "track_a_total_sessions", score)
+    return scored if heavy is None else scored.unionByName(_score_shuffled(heavy, min_sessions, symmetric))
+
+
+def _score_shuffled(items: DataFrame, min_sessions: int = 1, symmetric: bool = False) -> DataFrame:
+    """:func:`score_pairs` for users of any size: sessions and then pairs are spread over the cluster."""
     totals = track_session_counts(items)
     if min_sessions > 1:
         # A track heard in fewer sessions cannot be part of such a pair.
@@ -250,6 +321,33 @@ def score_candidates(cooc: DataFrame, affinity: DataFrame, w_co: float = 0.7, w_
     )
 
 
+def scored_pairs(
+    items: DataFrame, affinity: DataFrame, w_co: float = 0.7, w_aff: float = 0.3, light: int = LIGHT
+) -> DataFrame:
+    """The rows of :func:`score_candidates` from the items of sessions; everyday users' pairs bring the affinity along."""
+    everyday, heavy, parts = by_load(items, light)
+    scored = scored_in_place(everyday, affinity, parts, w_co, w_aff)
+    if heavy is None:
+        return scored
+    return scored.unionByName(score_candidates(_score_shuffled(heavy), affinity, w_co, w_aff))
+
+
+def scored_in_place(items: DataFrame, affinity: DataFrame, parts: int, w_co: float = 0.7, w_aff: float = 0.3) -> DataFrame:
+    """:func:`scored_pairs` for users of a bounded load: the affinity goes to the items, which are fewer than the pairs."""
+    liked = affinity.select("user_id", "artist_name", F.col("affinity_score").alias("_liked"))
+    pairs = pairs_in_place(items.join(liked, ["user_id", "artist_name"], "left"), parts)
+    score = F.coalesce("_liked_b", F.lit(0.0))
+    co = round_ratio("sessions_together", "_total_a")
+    return pairs.select(
+        *PAIR,
+        "sessions_together",
+        F.col("_total_a").alias("track_a_total_sessions"),
+        co.alias("cooccurrence_score"),
+        score.alias("artist_affinity_score"),
+        blended_score(co, score, w_co, w_aff).alias("recommendation_score"),
+    )
+
+
 def _played(silver: DataFrame) -> DataFrame:
     return silver.select("user_id", F.col("track_id").alias("track_b_id")).distinct()
 

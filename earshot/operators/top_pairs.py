@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import blended_score, round_ratio
 from ..session import materialize
-from .recommend import BLOCK_ITEMS, ITEM, PAIR, TOP_N, _with_blocks, best_per_user, track_session_counts
+from .recommend import (
+    BLOCK_ITEMS, ITEM, LIGHT, PAIR, TOP_N, _with_blocks, best_per_user, by_load, pairs_in_place, scored_in_place, track_session_counts,
+)
 
 #: Tracks of a user that are paired with all others before there is a bound.
 HEAD = 32
@@ -65,15 +67,31 @@ def _head(items: DataFrame, order: list[Column], size: int) -> DataFrame:
     return marked.withColumn("_head", F.coalesce("_head", F.lit(False))).drop("_user_id", *[f"_{c}" for c in ITEM])
 
 
-def top_partners(items: DataFrame, top: int, min_sessions: int = 1, head: int = HEAD, block_items: int = BLOCK_ITEMS) -> DataFrame:
+def _ranked(pairs: DataFrame, top: int) -> DataFrame:
+    w = Window.partitionBy("user_id", "track_a_id").orderBy(F.col("sessions_together").desc())
+    score = round_ratio("sessions_together", "track_a_total_sessions").alias("cooccurrence_score")
+    ranked = pairs.withColumn("rank", F.rank().over(w)).filter(F.col("rank") <= top)
+    return ranked.select(*PAIR, "sessions_together", "track_a_total_sessions", score, "rank")
+
+
+def top_partners(
+    items: DataFrame, top: int, min_sessions: int = 1, head: int = HEAD, block_items: int = BLOCK_ITEMS, light: int = LIGHT
+) -> DataFrame:
     """Pairs whose ``track_b`` is among the best ``top`` partners of ``track_a`` by shared sessions; ties share a rank.
 
     ``items`` as from :func:`recommend.session_items`, read several times. A
     user's commonest tracks are paired first; then a track meets another only
     if that has as many sessions as the track's best ``top`` partners so far
     share with it. Totals are banded by powers of two and the band is a join
-    key, so that the others are not made and then thrown away.
+    key, so that the others are not made and then thrown away. Pairs of users
+    with at most ``light`` items and pairs are all made, where the user is.
     """
+    everyday, heavy, parts = by_load(items, light)
+    near = _ranked(pairs_in_place(everyday, parts, min_sessions=min_sessions).withColumnRenamed("_total_a", "track_a_total_sessions"), top)
+    return near if heavy is None else near.unionByName(_bounded_partners(heavy, top, min_sessions, head, block_items))
+
+
+def _bounded_partners(items: DataFrame, top: int, min_sessions: int, head: int, block_items: int) -> DataFrame:
     counted = _counted(items, block_items)
     marked = materialize(_head(counted, [F.col("total_sessions").desc()], head), "marked")
     rest = marked.filter(~F.col("_head"))
@@ -96,24 +114,29 @@ def top_partners(items: DataFrame, top: int, min_sessions: int = 1, head: int =
     )
     answering = rest.drop("_head").withColumn("_band", _band(F.col("total_sessions")))
     second = _paired(asking, answering, ("_band",), F.col("_total_b") >= F.col("_least_a"))
-    pairs = first.unionByName(second).filter(F.col("sessions_together") >= min_sessions)
-    w = Window.partitionBy("user_id", "track_a_id").orderBy(F.col("sessions_together").desc())
-    score = round_ratio("sessions_together", "track_a_total_sessions").alias("cooccurrence_score")
-    ranked = pairs.withColumn("rank", F.rank().over(w)).filter(F.col("rank") <= top)
-    return ranked.select(*PAIR, "sessions_together", "track_a_total_sessions", score, "rank")
+    return _ranked(first.unionByName(second).filter(F.col("sessions_together") >= min_sessions), top)
 
 
 def top_recommendations(
     items: DataFrame, affinity: DataFrame, w_co: float = 0.7, w_aff: float = 0.3, top_n: int = TOP_N, head: int = HEAD,
-    block_items: int = BLOCK_ITEMS,
+    block_items: int = BLOCK_ITEMS, light: int = LIGHT,
 ) -> DataFrame:
     """The rows of :func:`recommend.track_recommendations` from the items of sessions.
 
     Pairs with tracks of the artists a user likes best give the score of the
     user's last recommendation so far. A further track is paired only if its
     artist's affinity and the whole co-occurrence could reach that score, and
-    only with tracks that have not too many sessions of their own for it.
+    only with tracks that have not too many sessions of their own for it. Pairs
+    of users with at most ``light`` items and pairs are all made, where the user is.
     """
+    everyday, heavy, parts = by_load(items, light)
+    near = best_per_user(scored_in_place(everyday, affinity, parts, w_co, w_aff), top_n)
+    return near if heavy is None else near.unionByName(_bounded_recommendations(heavy, affinity, w_co, w_aff, top_n, head, block_items))
+
+
+def _bounded_recommendations(
+    items: DataFrame, affinity: DataFrame, w_co: float, w_aff: float, top_n: int, head: int, block_items: int
+) -> DataFrame:
     liked = affinity.select("user_id", "artist_name", F.col("affinity_score").alias("_liked"))
     counted = _counted(items, block_items).join(liked, ["user_id", "artist_name"], "left")
     counted = counted.withColumn("_liked", F.coalesce("_liked", F.lit(0.0)))
