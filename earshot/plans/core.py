@@ -114,8 +114,7 @@ def _session_self_join(spark, sf):
 @query("distinct_pairs_count", with_tables("pairs") + """
 SELECT user_id, track_a_id, track_b_id, count(DISTINCT session_id) AS sessions_together FROM pairs GROUP BY 1, 2, 3""")
 def _distinct_pairs_count(spark, sf):
-    pairs = recommend.session_pairs(bridge.stored_items(spark, sf))
-    return pairs.groupBy("user_id", "track_a_id", "track_b_id").agg(F.count("*").alias("sessions_together"))
+    return recommend.pair_counts(bridge.stored_items(spark, sf), ("user_id", "track_a_id", "track_b_id"))
 
 
 @query("track_cooccurrence", with_tables("cooc", gap=60) + f"SELECT {PAIR_COLUMNS} FROM cooc")
@@ -170,8 +169,7 @@ def _order_line_pairs(spark, sf):
     orders = bridge.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     lines = bridge.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").join(orders, "l_orderkey")
     items = materialize(recommend.basket_items(lines, "o_custkey", "l_orderkey", "l_partkey"), "items")
-    pairs = recommend.session_pairs(items)
-    return pairs.groupBy("user_id", "track_a_id", "track_b_id").agg(F.count("*").alias("sessions_together"))
+    return recommend.pair_counts(items, ("user_id", "track_a_id", "track_b_id"))
 
 
 @query("conditional_weight_sum", with_tables("raw_affinity") + "SELECT user_id, artist_name, weighted_plays FROM raw_affinity")
