@@ -33,8 +33,10 @@ from pyspark.sql import functions as F
 from ..session import materialize, scratch_path
 from .words import U, byte_view, mix, slices, word_hashes
 
-#: A run is long from so many tokens and common to a host from so many pages; what is longer than ``MAX_TOKENS`` is a copied text.
-MIN_TOKENS, PAGES, MAX_TOKENS = 8, 3, 256
+#: A run is long from so many tokens and common to a host from so many pages; suffixes are compared ``CHUNK`` tokens at a time.
+MIN_TOKENS, PAGES, CHUNK = 8, 3, 256
+#: Later chunks of long common suffixes are twice as long as those before, up to this; fewer of them meet in a task.
+MAX_CHUNK = 2_048
 #: Tokens of a mark, and in how many runs that begin one after another the mark is the one of least hash: equal tokens have equal marks.
 MARK = 5
 _CHOICE = MIN_TOKENS - MARK + 1
@@ -331,26 +333,32 @@ def _digest(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(parts).encode(), digest_size=8).digest(), "big", signed=True)
 
 
-def _suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The suffix at each place, at most ``MAX_TOKENS`` long, and hashes of the 1, 2, ... tokens before it."""
-    for batch in batches:
-        rows = []
-        for row_no, marked, stream, places in zip(*(batch[c] for c in ("row_no", "marked", "stream", "places"))):
-            tokens = stream.split(" ")
-            for place in places:
-                at = place["at"]
-                lefts = []
-                for k in range(1, 2 if marked else _CHOICE + 1):
-                    edge = [] if at >= k else ["", "" if marked else str(row_no)]
-                    lefts.append(_digest(str(k), *edge, *tokens[max(at - k, 0) : at]))
-                suffix = tokens[at : at + MAX_TOKENS]
-                # The end of an article is like any other token, that of another page is its own.
-                if at + len(suffix) == len(tokens):
-                    suffix.append("" if marked else f" {row_no}")
-                rows.append((place["key"], row_no, at, place["first"], lefts, "\n".join(suffix)))
-        yield pd.DataFrame(rows, columns=["key", "row_no", "at", "first", "lefts", "suffix"])
+def _suffixes(skip: int, chunk: int):
+    """``chunk`` tokens of the suffix at each place, behind its first ``skip``, whether it goes on, and hashes of the 1, 2, ... tokens before it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for row_no, marked, stream, places in zip(*(batch[c] for c in ("row_no", "marked", "stream", "places"))):
+                tokens = stream.split(" ")
+                for place in places:
+                    at = place["at"]
+                    lefts = []
+                    for k in range(1, 2 if marked else _CHOICE + 1):
+                        edge = [] if at >= k else ["", "" if marked else str(row_no)]
+                        lefts.append(_digest(str(k), *edge, *tokens[max(at - k, 0) : at]))
+                    suffix = tokens[at + skip : at + skip + chunk]
+                    more = at + skip + len(suffix) < len(tokens)
+                    # The end of an article is like any other token, that of another page is its own.
+                    if not more:
+                        suffix.append("" if marked else f" {row_no}")
+                    rows.append((place["key"], row_no, at, place["first"], lefts, more, "\n".join(suffix)))
+            yield pd.DataFrame(rows, columns=["key", "row_no", "at", "first", "lefts", "more", "suffix"])
 
+    return run
 
+
+_SUFFIX = "key long, row_no long, at int, first boolean, lefts array<long>, more boolean, suffix string"
 _MEMBERS = "node long, depth int, row_no long, at int, first boolean, lefts array<long>"
 
 
@@ -375,38 +383,42 @@ def shared_prefixes(suffixes: list[list[str]], first: list[bool]) -> Iterator[tu
             n = counted[at] - counted[begin]
             if n >= PAGES:
                 following = Counter(s[depth] if depth < len(s) else None for s, f in zip(suffixes[begin:at], first[begin:at]) if f)
-                # None: the suffix was cut there.
+                # None: the suffix ends there, or goes on in its next chunk, which begins with the token before.
                 if None not in following and 2 * max(following.values()) <= n:
                     yield begin, at, depth
         if shared and (not open_ or open_[-1][1] < shared):
             open_.append((begin, shared))
 
 
-def _in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of :data:`_MEMBERS` from suffixes sorted by key and text; at most ``GROUP`` have one key."""
-    held = None
-    for batch in itertools.chain(batches, [None]):
-        table = batch if held is None else held if batch is None else pd.concat([held, batch], ignore_index=True)
-        if table is None or not len(table):
-            held = table
-            continue
-        keys = table["key"].to_numpy()
-        cut = len(keys) if batch is None else int(np.flatnonzero(keys == keys[-1])[0])
-        held = table.iloc[cut:].reset_index(drop=True)
-        rows = []
-        for key, group in table.iloc[:cut].groupby("key", sort=False):
-            texts = [s.split("\n") for s in group["suffix"]]
-            members = list(zip(group["row_no"], group["at"], group["first"], group["lefts"]))
-            for begin, end, depth in shared_prefixes(texts, list(group["first"])):
-                if depth >= MARK:
-                    node = _digest(str(key), *texts[begin][:depth])
-                    rows += [(node, depth, *member) for member in members[begin:end]]
-        if rows:
-            yield pd.DataFrame(rows, columns=["node", "depth", "row_no", "at", "first", "lefts"])
+def _in_order(skip: int, least: int):
+    """Rows of :data:`_MEMBERS` from suffixes behind ``skip`` tokens, sorted by key and text; at most ``GROUP`` have one key."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in itertools.chain(batches, [None]):
+            table = batch if held is None else held if batch is None else pd.concat([held, batch], ignore_index=True)
+            if table is None or not len(table):
+                held = table
+                continue
+            keys = table["key"].to_numpy()
+            cut = len(keys) if batch is None else int(np.flatnonzero(keys == keys[-1])[0])
+            held = table.iloc[cut:].reset_index(drop=True)
+            rows = []
+            for key, group in table.iloc[:cut].groupby("key", sort=False):
+                texts = [s.split("\n") for s in group["suffix"]]
+                members = list(zip(group["row_no"], group["at"], group["first"], group["lefts"]))
+                for begin, end, depth in shared_prefixes(texts, list(group["first"])):
+                    if depth >= least:
+                        node = _digest(str(key), *texts[begin][:depth])
+                        rows += [(node, skip + depth, *member) for member in members[begin:end]]
+            if rows:
+                yield pd.DataFrame(rows, columns=["node", "depth", "row_no", "at", "first", "lefts"])
 
-def _prefixes(low: int, high: int):
-    """``node, depth, next`` and the place of each prefix of ``low`` to below ``high`` tokens of a suffix."""
+    return run
+
+
+def _prefixes(skip: int, low: int, high: int):
+    """``node, depth, next`` and the place of each prefix of ``low`` to below ``high`` tokens behind the first ``skip`` of a suffix."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -414,7 +426,7 @@ def _prefixes(low: int, high: int):
             for key, row_no, at, first, lefts, suffix in zip(*(batch[c] for c in ("key", "row_no", "at", "first", "lefts", "suffix"))):
                 tokens = suffix.split("\n")
                 for depth in range(low, min(high, len(tokens))):
-                    rows.append((_digest(str(key), *tokens[:depth]), depth, row_no, at, first, lefts, _digest(tokens[depth])))
+                    rows.append((_digest(str(key), *tokens[:depth]), skip + depth, row_no, at, first, lefts, _digest(tokens[depth])))
             yield pd.DataFrame(rows, columns=["node", "depth", "row_no", "at", "first", "lefts", "next"])
 
     return run
@@ -430,23 +442,25 @@ def _longer_keys(tokens: int):
     return run
 
 
-def _members(suffixes: DataFrame, group: int = GROUP) -> DataFrame:
+def _members(suffixes: DataFrame, group: int = GROUP, skip: int = 0, chunk: int = CHUNK) -> DataFrame:
     """The places of every shared prefix without a majority behind it, as :data:`_MEMBERS`.
 
     Keys with more than ``group`` suffixes never meet in a task: their prefixes
     of up to twice the length known to be common are counted, with partial sums
     before the shuffle, and what is longer goes on under a key of that length.
     """
-    parts, tokens = [], MARK
+    # Suffixes of a key share its mark, behind the first chunk the last token of the chunk before.
+    least = 1 if skip else MARK
+    parts, tokens = [], least
     while True:
         many = materialize(suffixes.groupBy("key").count().filter(F.col("count") > group).select("key"), "frequent")
         hot = not many.isEmpty()
         few = suffixes.join(many, "key", "left_anti") if hot else suffixes
-        parts.append(few.repartition("key").sortWithinPartitions("key", "suffix", "row_no", "at").mapInPandas(_in_order, _MEMBERS))
-        if not hot or tokens >= MAX_TOKENS:
+        parts.append(few.repartition("key").sortWithinPartitions("key", "suffix", "row_no", "at").mapInPandas(_in_order(skip, least), _MEMBERS))
+        if not hot or tokens >= chunk:
             break
         often = suffixes.join(many, "key", "left_semi")
-        found = often.mapInPandas(_prefixes(tokens, min(2 * tokens, MAX_TOKENS)), f"{_MEMBERS}, next long")
+        found = often.mapInPandas(_prefixes(skip, tokens, min(2 * tokens, chunk)), f"{_MEMBERS}, next long")
         nodes = _no_majority(found.filter("first").groupBy("node", "next").agg(F.count("*").alias("n")), "node")
         parts.append(found.drop("next").join(nodes, "node", "left_semi"))
         tokens *= 2
@@ -471,8 +485,19 @@ def repeated_runs(pages: DataFrame, group: int = GROUP) -> DataFrame:
     keys = materialize(_no_majority(starts.filter("first").groupBy("key", "around").agg(F.count("*").alias("n")), "key"), "keys")
     places = starts.join(keys, "key").groupBy("row_no").agg(F.collect_list(F.struct("key", "at", "first")).alias("places"))
     places = materialize(places, "places")
-    suffixes = pages.join(places, "row_no").mapInPandas(_suffixes, "key long, row_no long, at int, first boolean, lefts array<long>, suffix string")
-    members = materialize(_members(materialize(suffixes, "suffixes"), group), "members")
+    members, skip, chunk = None, 0, CHUNK
+    while True:
+        suffixes = materialize(pages.join(places, "row_no").mapInPandas(_suffixes(skip, chunk), _SUFFIX), "suffixes")
+        found = materialize(_members(suffixes, max(group * CHUNK // chunk, 1), skip, chunk), "members")
+        members = found if members is None else members.union(found)
+        # Suffixes that share a whole chunk with enough pages are followed to its next, which begins with the last token of this one.
+        longer = suffixes.filter("more").select(F.xxhash64("key", "suffix").alias("key"), "row_no", "at", "first")
+        keys = longer.filter("first").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= PAGES).select("key")
+        places = longer.join(keys, "key").groupBy("row_no").agg(F.collect_list(F.struct("key", "at", "first")).alias("places"))
+        places = materialize(places, "places")
+        if places.isEmpty():
+            break
+        skip, chunk = skip + chunk - 1, min(2 * chunk, MAX_CHUNK)
 
     # How many tokens before the suffix more than half of its pages have too; if all that were looked at, the run begins elsewhere.
     before = members.filter("first").select("node", F.size("lefts").alias("looked"), F.posexplode("lefts").alias("k", "left"))
