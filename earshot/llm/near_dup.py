@@ -259,8 +259,9 @@ def near_duplicates(
         links = found if links is None else links.unionByName(found)
         roots = components(links)
 
-    # What is still apart: pairs that share two bands, in cells of both. A shingle that no other of these classes has
-    # is common to no pair, which settles most of a large family whose members have drifted too far from each other.
+    # What is still apart: pairs that share two bands. A class has one row for each of its bands, not for each two of
+    # them, and the join looks at the other bands. A shingle that no other of these classes has is common to no pair,
+    # which settles most of a large family whose members have drifted too far from each other.
     here = placed(members, roots)
     apart = here.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band")
     waiting = materialize(here.join(apart, "band"), "waiting")
@@ -270,30 +271,23 @@ def near_duplicates(
     common = classes.join(own, "node", "left").select("node", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"), "n", "sketch", "parity", "bands")
     # Whoever is linked shares so many shingles with a class of at least percent of its size.
     common = common.filter(F.col("c") * 100 >= F.col("n") * percent)
-    # Bands in fewer bits, to go with every row: a band that agrees by chance only adds a cell.
-    brief = F.transform("bands", lambda band: F.hash(band))
-    common = materialize(common.select("node", "c", "n", "sketch", "parity", "bands", brief.alias("brief")), "common")
-    twice = (
-        waiting.join(common.select("node", "bands", "brief"), "node")
-        .select("node", "root", (F.array_position("bands", F.col("band")) - 1).cast("int").alias("i"), "brief", F.posexplode("brief").alias("j", "other"))
-        .filter("i < j")
-        .select("node", "root", "i", "j", F.xxhash64("i", F.get("brief", "i"), "j", "other").alias("cell"))
-    )
-    crossed = twice.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("cell")
-    rest = materialize(twice.join(crossed, "cell").join(common.drop("bands"), "node"), "cells")
-    parts = ("root", "c", "n", "sketch", "parity", "brief")
-    left, right = (rest.select("cell", "j", F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in parts]) for x in "ab")
+    rest = materialize(waiting.join(common, "node"), "apart")
+    parts = ("root", "c", "n", "sketch", "parity", "bands")
+    left, right = (rest.select("band", F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in parts]) for x in "ab")
+    # The work is in the pairs looked at, not in the bytes by which Spark would make fewer tasks.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     enough_common = F.least("a_c", "b_c") * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
     # The smaller of two linked sets shares so much with others that a set of its own size could be linked with it.
     rich = F.col("a_c") * (100 + percent) >= F.col("a_n") * (2 * percent)
     smaller = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b")))
-    # A pair comes out of one cell only, that of the first two bands in which it agrees. The function of arrays is
-    # looked at last; it also keeps the condition out of one large generated method, which the JVM would not compile.
-    agree = F.slice(F.zip_with("a_brief", "b_brief", lambda x, y: x == y), F.lit(1), F.col("j") + 1)
-    first_cell = F.size(F.filter(agree, lambda same: same)) == 2
-    across = left.filter(rich).join(
-        right.drop("j"),
-        (left["cell"] == right["cell"]) & smaller & (F.col("a_root") != F.col("b_root")) & enough_common & fits("a", "b") & first_cell,
+    # A pair comes out of one bucket only, that of the first band in which it agrees, and if another band agrees. The
+    # function of arrays is looked at last; it also keeps the condition out of one large generated method, which the
+    # JVM would not compile.
+    agree = F.filter(F.zip_with("a_bands", "b_bands", lambda x, y: F.when(x == y, x)), lambda band: band.isNotNull())
+    first_band = (F.size(agree) >= 2) & (F.get(agree, F.lit(0)) == left["band"])
+    across = left.filter(rich).repartition(tasks, "band").join(
+        right.repartition(tasks, "band"),
+        (left["band"] == right["band"]) & (F.col("a_root") != F.col("b_root")) & smaller & enough_common & fits("a", "b") & first_band,
     )
     across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     found = linked(materialize(across, "across"))

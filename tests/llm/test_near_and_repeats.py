@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from earshot.llm import near_dup, repeats
+from earshot.session import materialize
 
 SCHEMA = "doc_id long, text string"
 
@@ -85,6 +86,30 @@ def test_parities_bound_what_two_sets_do_not_share(spark):
     assert all(r.least >= 0.8 * r.apart for r in got if r.apart <= 70)
 
 
+def test_families_that_drift_take_a_row_of_each_band(spark, monkeypatch):
+    """A class of a large family whose members are apart goes on with a row for each band, not for each two of them."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for _ in range(120):
+        words = [f"w{k}" for k in range(150)]
+        for place in rng.choice(150, size=4, replace=False):
+            words[place] = f"x{rng.integers(0, 60)}"
+        texts.append(" ".join(words))
+    held = {}
+
+    def counted(df, label="step"):
+        held[label] = materialize(df, label)
+        return held[label]
+
+    monkeypatch.setattr(near_dup, "materialize", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    assert _near(near_dup.near_duplicates(docs, percent=85, size=3)) == {
+        i: (n, c, i == c) for i, (n, c) in brute.near_groups(list(enumerate(texts)), 3, 85).items()
+    }
+    assert held["waiting"].count() > 10 * len(texts)
+    assert max(step.count() for step in held.values()) <= near_dup.BANDS * len(texts)
+
+
 def test_families_that_drift_are_linked_as_by_all_pairs(spark):
     """Members of one large family around the threshold, which no single hub links."""
     rng = np.random.default_rng(11)
