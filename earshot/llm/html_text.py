@@ -359,7 +359,7 @@ def _suffixes(skip: int, chunk: int):
 
 
 _SUFFIX = "key long, row_no long, at int, first boolean, lefts array<long>, more boolean, suffix string"
-_MEMBERS = "node long, depth int, row_no long, at int, first boolean, lefts array<long>"
+_MEMBERS = "key long, node long, depth int, row_no long, at int, first boolean, lefts array<long>"
 
 
 def _common(a: list[str], b: list[str]) -> int:
@@ -410,9 +410,9 @@ def _in_order(skip: int, least: int):
                 for begin, end, depth in shared_prefixes(texts, list(group["first"])):
                     if depth >= least:
                         node = _digest(str(key), *texts[begin][:depth])
-                        rows += [(node, skip + depth, *member) for member in members[begin:end]]
+                        rows += [(key, node, skip + depth, *member) for member in members[begin:end]]
             if rows:
-                yield pd.DataFrame(rows, columns=["node", "depth", "row_no", "at", "first", "lefts"])
+                yield pd.DataFrame(rows, columns=["key", "node", "depth", "row_no", "at", "first", "lefts"])
 
     return run
 
@@ -426,8 +426,24 @@ def _prefixes(skip: int, low: int, high: int):
             for key, row_no, at, first, lefts, suffix in zip(*(batch[c] for c in ("key", "row_no", "at", "first", "lefts", "suffix"))):
                 tokens = suffix.split("\n")
                 for depth in range(low, min(high, len(tokens))):
-                    rows.append((_digest(str(key), *tokens[:depth]), skip + depth, row_no, at, first, lefts, _digest(tokens[depth])))
-            yield pd.DataFrame(rows, columns=["node", "depth", "row_no", "at", "first", "lefts", "next"])
+                    rows.append((key, _digest(str(key), *tokens[:depth]), skip + depth, row_no, at, first, lefts, _digest(tokens[depth])))
+            yield pd.DataFrame(rows, columns=["key", "node", "depth", "row_no", "at", "first", "lefts", "next"])
+
+    return run
+
+
+def _at_depths(skip: int):
+    """The prefixes of the given depths, as :data:`_MEMBERS`, of suffixes behind ``skip`` tokens."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for key, row_no, at, first, lefts, suffix, depths in zip(*(batch[c] for c in ("key", "row_no", "at", "first", "lefts", "suffix", "depths"))):
+                tokens = suffix.split("\n")
+                for depth in depths:
+                    if depth - skip <= len(tokens):
+                        rows.append((key, _digest(str(key), *tokens[: depth - skip]), depth, row_no, at, first, lefts))
+            yield pd.DataFrame(rows, columns=["key", "node", "depth", "row_no", "at", "first", "lefts"])
 
     return run
 
@@ -445,30 +461,40 @@ def _longer_keys(tokens: int):
 def _members(suffixes: DataFrame, group: int = GROUP, skip: int = 0, chunk: int = CHUNK) -> DataFrame:
     """The places of every shared prefix without a majority behind it, as :data:`_MEMBERS`.
 
-    Keys with more than ``group`` suffixes never meet in a task: their prefixes
-    of up to twice the length known to be common are counted, with partial sums
-    before the shuffle, and what is longer goes on under a key of that length.
+    Which prefixes these are follows from the first suffix of each page alone, so a page that repeats a few tokens over
+    and over weighs no more than another; its later suffixes are looked up at the depths found. Keys with more than
+    ``group`` pages never meet in a task: their prefixes of up to twice the length known to be common are counted, with
+    partial sums before the shuffle, and what is longer goes on under a key of that length.
     """
     # Suffixes of a key share its mark, behind the first chunk the last token of the chunk before.
     least = 1 if skip else MARK
+    leading, later = suffixes.filter("first"), suffixes.filter("not first")
     parts, tokens = [], least
     while True:
-        many = materialize(suffixes.groupBy("key").count().filter(F.col("count") > group).select("key"), "frequent")
+        many = materialize(leading.groupBy("key").count().filter(F.col("count") > group).select("key"), "frequent")
         hot = not many.isEmpty()
-        few = suffixes.join(many, "key", "left_anti") if hot else suffixes
-        parts.append(few.repartition("key").sortWithinPartitions("key", "suffix", "row_no", "at").mapInPandas(_in_order(skip, least), _MEMBERS))
-        if not hot or tokens >= chunk:
+        few = leading.join(many, "key", "left_anti").select(leading.columns) if hot else leading
+        found = few.repartition("key").sortWithinPartitions("key", "suffix", "row_no", "at").mapInPandas(_in_order(skip, least), _MEMBERS)
+        more = hot and tokens < chunk
+        if more:
+            often = leading.join(many, "key", "left_semi").select(leading.columns)
+            counted = often.mapInPandas(_prefixes(skip, tokens, min(2 * tokens, chunk)), f"{_MEMBERS}, next long")
+            nodes = _no_majority(counted.groupBy("node", "next").agg(F.count("*").alias("n")), "node")
+            found = found.unionByName(counted.drop("next").join(nodes, "node", "left_semi"))
+        found = materialize(found, "members")
+        depths = found.groupBy("key").agg(F.collect_set("depth").alias("depths"))
+        looked_up = later.join(depths, "key").mapInPandas(_at_depths(skip), _MEMBERS)
+        parts += [found, looked_up.join(found.select("node").distinct(), "node", "left_semi").select(found.columns)]
+        if not more:
             break
-        often = suffixes.join(many, "key", "left_semi")
-        found = often.mapInPandas(_prefixes(skip, tokens, min(2 * tokens, chunk)), f"{_MEMBERS}, next long")
-        nodes = _no_majority(found.filter("first").groupBy("node", "next").agg(F.count("*").alias("n")), "node")
-        parts.append(found.drop("next").join(nodes, "node", "left_semi"))
         tokens *= 2
-        suffixes = materialize(often.mapInPandas(_longer_keys(tokens), suffixes.schema), "suffixes")
+        leading = materialize(often.mapInPandas(_longer_keys(tokens), suffixes.schema), "suffixes")
+        later = later.join(many, "key", "left_semi").select(later.columns)
+        later = materialize(later.mapInPandas(_longer_keys(tokens), suffixes.schema), "suffixes")
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.union(part)
-    return whole
+    return whole.drop("key")
 
 
 def repeated_runs(pages: DataFrame, group: int = GROUP) -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 
 from earshot.llm import html_text
+from earshot.session import materialize
 
 
 def _frame(spark, sizes, pages=5):
@@ -36,3 +37,25 @@ def test_a_long_notice_goes_and_the_page_stays(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     for r in html_text.main_texts(pages).collect():
         assert r.text == " ".join(f"w{r.page_id}x{j}" for j in range(30))
+
+
+def test_pages_that_repeat_a_few_tokens_weigh_as_one_place(spark, monkeypatch):
+    """Of a page only the first suffix with a key decides: a page of one word has hundreds, and no key becomes frequent."""
+    notice = [f"n{k}" for k in range(12)]
+    rows = []
+    for k in range(8):
+        tokens = [f"a{k}x{i}" for i in range(20)] + notice + [f"b{k}x{i}" for i in range(20)] + ["ha"] * (300 + 7 * k) + [f"c{k}"] * 9
+        rows.append((k, "h", False, " ".join(tokens), [0]))
+    frame = spark.createDataFrame(rows, "row_no long, host string, marked boolean, stream string, edges array<int>")
+    labels = []
+
+    def named(df, label="step"):
+        labels.append(label)
+        return materialize(df, label)
+
+    monkeypatch.setattr(html_text, "materialize", named)
+    plain = sorted(tuple(r) for r in html_text.repeated_runs(frame).collect())
+    labels.clear()
+    assert sorted(tuple(r) for r in html_text.repeated_runs(frame, group=16).collect()) == plain
+    assert {(row, 20, 32) for row in range(8)} <= {r[:3] for r in plain}
+    assert labels.count("frequent") == labels.count("places") - 1
