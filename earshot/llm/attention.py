@@ -8,6 +8,7 @@ before them are context only, so every token is scored once.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +18,8 @@ WINDOW, STRIDE, WIDTH = 32, 24, 16
 INPUTS, SHARED = 1024, 62
 #: Frequent ids are classes of their own, the rest are cut into bands of equal weight.
 HEAD, BANDS = 56, 8
+#: Rows of a product that sums over rows: it is faster in pieces that stay in the processor's cache.
+_PIECE = 32 * STRIDE
 
 
 @dataclass(frozen=True)
@@ -107,88 +110,133 @@ def _geometry() -> tuple[np.ndarray, np.ndarray]:
 _BACK, _SEEN = _geometry()
 
 
+class Room:
+    """Arrays by name that are used again at every step: fresh memory costs more than the sums that go into it."""
+
+    def __init__(self) -> None:
+        self._held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, dtype: np.dtype, *shape: int) -> np.ndarray:
+        size = math.prod(shape)
+        held = self._held.get(name)
+        if held is None or held.size < size or held.dtype != dtype:
+            held = self._held[name] = np.empty(size, dtype)
+        return held[:size].reshape(shape)
+
+    def rows(self, name: str, table: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The table's row of every id."""
+        return table.take(ids, 0, self(name, table.dtype, *ids.shape, table.shape[1]), "clip")
+
+    def product(self, name: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.matmul(a, b, out=self(name, a.dtype, *a.shape[:-1], b.shape[-1]))
+
+
 class Tables:
     """Parameters made ready: queries (scaled), keys and values of every input, and what is added to logits by distance."""
 
     def __init__(self, p: dict) -> None:
-        self.embed, self.out, self.last = p["embed"], p["out"], p["last"]
-        self.queries = p["embed"] @ (p["query"] / np.sqrt(WIDTH)).astype(p["query"].dtype)
+        kind = p["embed"].dtype
+        self.embed, self.out = p["embed"], p["out"]
+        self.queries = p["embed"] @ (p["query"] / np.sqrt(WIDTH)).astype(kind)
         self.keys, self.values = p["embed"] @ p["key"], p["embed"] @ p["value"]
-        self.far = np.where(_SEEN, p["far"][_BACK], -1e9).astype(p["far"].dtype)[None]
+        self.far = np.where(_SEEN, p["far"].take(_BACK), -1e9).astype(kind)
         # Hidden values lie between -1 and 1, so no class can score above this: shifted by it, nothing overflows.
         self.shift = float((np.abs(p["last"]).sum(0) + p["prior"]).max())
-        self.prior = p["prior"] - p["prior"].dtype.type(self.shift)
+        # The prior is the weight of one more hidden value, which is always 1.
+        self.last = np.concatenate([p["last"], (p["prior"] - kind.type(self.shift))[None]])
+        # Turned over: products with contiguous tables are the faster ones.
+        self.back = {name: np.ascontiguousarray(p[name].T) for name in ("query", "key", "value", "out", "last")}
+        # Sums over a row, given to every place of a row: faster as products than as sums and broadcasts of short rows.
+        self.over_window, self.over_width = np.ones((WINDOW, WIDTH), kind), np.ones((WIDTH, WINDOW), kind)
 
 
-def _forward(t: Tables, inputs: np.ndarray, exists: np.ndarray):
+def _forward(t: Tables, inputs: np.ndarray, exists: np.ndarray, room: Room):
     asked = inputs[:, WINDOW - STRIDE :]
-    q, k, v = t.queries[asked], t.keys[inputs], t.values[inputs]
-    logits = q @ k.transpose(0, 2, 1)
-    logits += t.far
-    short = np.flatnonzero(~exists.all(1))
-    if len(short):
-        logits[short] += np.where(exists[short], 0, -1e9).astype(logits.dtype)[:, None, :]
-    # A scored place sees itself, so its weights sum to more than 0; those of places that do not exist are not used.
-    np.minimum(logits, 30, out=logits)
-    weights = np.exp(logits, out=logits)
-    total = weights.sum(2, keepdims=True)
-    total += 1e-30
-    mixed = weights @ v
-    mixed /= total
-    hidden = mixed.reshape(-1, WIDTH) @ t.out
-    hidden += t.embed[asked].reshape(-1, WIDTH)
-    np.tanh(hidden, out=hidden)
-    scores = hidden @ t.last
-    scores += t.prior
-    return asked, q, k, v, weights, total, mixed, hidden, scores
-
-
-def log_chances(t: Tables, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    q, k, v = room.rows("q", t.queries, asked), room.rows("k", t.keys, inputs), room.rows("v", t.values, inputs)
+    weights = room.product("weights", q, k.transpose(0, 2, 1))
+    weights += t.far
+    np.minimum(weights, 30, out=weights)
+    np.exp(weights, out=weights)
+    # Only the places before a sequence are missing for those asked; what follows its end is seen by none that counts.
+    weights[~exists[:, 0], :, : WINDOW - STRIDE] = 0
+    # A scored place sees itself, so its weights sum to more than 0.
+    share = room.product("share", weights.reshape(-1, WINDOW), t.over_window)
+    share += 1e-30
+    np.reciprocal(share, out=share)
+    mixed = room.product("mixed", weights, v).reshape(-1, WIDTH)
+    mixed *= share
+    own = room.rows("own", t.embed, asked).reshape(-1, WIDTH)
+    inner = room.product("inner", mixed, t.out)
+    inner += own
+    hidden = room("hidden", mixed.dtype, len(mixed), WIDTH + 1)
+    hidden[:, :WIDTH] = np.tanh(inner, out=inner)
+    hidden[:, WIDTH] = 1
+    scores = room.product("scores", hidden.reshape(len(inputs), STRIDE, -1), t.last)
+    return q, k, v, weights, share, mixed, own, inner, hidden, scores.reshape(len(hidden), -1)
+
+
+def log_chances(t: Tables, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray, room: Room | None = None) -> np.ndarray:
     """Natural log of the chance of each target class (windows x STRIDE)."""
-    scores = _forward(t, inputs, exists)[-1]
-    chosen = scores[np.arange(len(scores)), targets.ravel()]
-    total = np.exp(scores, out=scores).sum(1)
+    scores = _forward(t, inputs, exists, room or Room())[-1]
+    chosen = scores.ravel().take(np.arange(0, scores.size, scores.shape[1]) + targets.ravel())
+    total = np.exp(scores, out=scores) @ np.ones(scores.shape[1], scores.dtype)
     return (chosen - np.log(total + 1e-38)).reshape(targets.shape)
 
 
-def _row_sums(ids: np.ndarray, size: int, *parts: np.ndarray) -> list[np.ndarray]:
-    """Sum of each part's rows by the id that they belong to, one row per id."""
+def _across(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` for two tall matrices."""
+    whole = len(a) // _PIECE * _PIECE
+    pieces = a[:whole].reshape(-1, _PIECE, a.shape[1]).transpose(0, 2, 1) @ b[:whole].reshape(-1, _PIECE, b.shape[1])
+    return pieces.sum(0) + a[whole:].T @ b[whole:]
+
+
+def _row_sums(ids: np.ndarray, size: int, part: np.ndarray, room: Room) -> np.ndarray:
+    """Sum of the part's rows by the id that they belong to, one row per id."""
     order = np.argsort(ids.astype(np.int16), kind="stable")
-    placed = ids[order]
+    placed = ids.take(order)
     begin = np.flatnonzero(np.concatenate([[True], placed[1:] != placed[:-1]]))
-    out = []
-    for part in parts:
-        sums = np.zeros((size, part.shape[1]), part.dtype)
-        sums[placed[begin]] = np.add.reduceat(part[order], begin, axis=0)
-        out.append(sums)
-    return out
+    sums = np.zeros((size, part.shape[1]), part.dtype)
+    sums[placed.take(begin)] = np.add.reduceat(room.rows("placed", part, order), begin, axis=0)
+    return sums
 
 
-def gradients(p: dict, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
+def gradients(p: dict, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray, counts: np.ndarray, room: Room | None = None) -> dict[str, np.ndarray]:
     """Mean gradient of the log loss over the places that count (windows x STRIDE)."""
-    asked, q, k, v, weights, total, mixed, hidden, scores = _forward(Tables(p), inputs, exists)
-    weights /= total
-    chance = np.exp(scores, out=scores)
-    chance /= chance.sum(1, keepdims=True) + 1e-38
-    chance[np.arange(len(chance)), targets.ravel()] -= 1
-    chance *= (counts.ravel() / max(counts.sum(), 1)).astype(np.float32)[:, None]
-    g = {"last": hidden.T @ chance, "prior": chance.sum(0)}
-    d_inner = ((chance @ p["last"].T) * (1 - hidden**2)).reshape(mixed.shape)
-    g["out"] = mixed.reshape(-1, WIDTH).T @ d_inner.reshape(-1, WIDTH)
-    d_mixed = d_inner @ p["out"].T
-    d_weights = d_mixed @ v.transpose(0, 2, 1)
-    d_v = weights.transpose(0, 2, 1) @ d_mixed
-    d_logits = weights * (d_weights - (d_weights * weights).sum(2, keepdims=True))
-    g["far"] = np.bincount(_BACK[_SEEN], d_logits.sum(0)[_SEEN], WINDOW).astype(np.float32)
+    t, room, kind, g = Tables(p), room or Room(), p["embed"].dtype, {}
+    q, k, v, weights, share, mixed, own, inner, hidden, chance = _forward(t, inputs, exists, room)
+    np.exp(chance, out=chance)
+    scale = (counts.ravel() / max(counts.sum(), 1)).astype(kind)
+    chance *= (scale / (chance @ np.ones(chance.shape[1], kind) + 1e-38))[:, None]
+    chance.ravel()[np.arange(0, chance.size, chance.shape[1]) + targets.ravel()] -= scale
+    last = _across(hidden, chance)
+    g["last"], g["prior"] = last[:WIDTH], last[WIDTH]
+    d_inner = room.product("d_inner", chance.reshape(len(inputs), STRIDE, -1), t.back["last"]).reshape(-1, WIDTH)
+    np.square(inner, out=inner)
+    d_inner *= np.subtract(1, inner, out=inner)
+    g["out"] = _across(mixed, d_inner)
+    # Weights are left as they are before they are shared out; what meets them is divided instead.
+    d_mixed = room.product("d_mixed", d_inner, t.back["out"])
+    d_mixed *= share
+    offset = room.product("offset", np.multiply(d_mixed, mixed, out=inner), t.over_width)
+    d_mixed = d_mixed.reshape(q.shape)
+    d_logits = room.product("d_logits", d_mixed, v.transpose(0, 2, 1))
+    d_logits -= offset.reshape(d_logits.shape)
+    d_logits *= weights
+    by_place = np.ones(len(d_logits), kind) @ d_logits.reshape(len(d_logits), -1)
+    g["far"] = np.bincount(_BACK[_SEEN], by_place.reshape(_SEEN.shape)[_SEEN], WINDOW).astype(kind)
     # The queries hold the scale already.
-    d_q, d_k = d_logits @ k / np.float32(np.sqrt(WIDTH)), d_logits.transpose(0, 2, 1) @ q
-    flat_q, flat_k, flat_v = (d.reshape(-1, WIDTH) for d in (d_q, d_k, d_v))
-    # Queries, keys and values follow from the id, so their gradients are summed by id before they meet the parameters.
-    size = len(p["embed"])
-    by_inner, by_q = _row_sums(asked.ravel(), size, d_inner.reshape(-1, WIDTH), flat_q)
-    by_k, by_v = _row_sums(inputs.ravel(), size, flat_k, flat_v)
-    g["query"], g["key"], g["value"] = (p["embed"].T @ d for d in (by_q, by_k, by_v))
-    g["embed"] = by_inner + by_q @ p["query"].T + by_k @ p["key"].T + by_v @ p["value"].T
+    d_q = room.product("d_q", d_logits, k).reshape(-1, WIDTH)
+    d_k = room.product("d_k", d_logits.transpose(0, 2, 1), q).reshape(-1, WIDTH)
+    d_v = room.product("d_v", weights.transpose(0, 2, 1), d_mixed).reshape(-1, WIDTH)
+    d_q *= kind.type(1 / np.sqrt(WIDTH))
+    embed = room.rows("embed", t.embed, inputs).reshape(-1, WIDTH)
+    g["query"], g["key"], g["value"] = _across(own, d_q), _across(embed, d_k), _across(embed, d_v)
+    # What every place adds to the vector of its id; those that are asked add more.
+    d_embed = room.product("d_embed", d_k, t.back["key"])
+    d_embed += room.product("more", d_v, t.back["value"])
+    d_inner += room.product("more", d_q, t.back["query"])
+    d_embed.reshape(*inputs.shape, WIDTH)[:, WINDOW - STRIDE :] += d_inner.reshape(q.shape)
+    g["embed"] = _row_sums(inputs.ravel(), len(p["embed"]), d_embed, room)
     return g
 
 
@@ -196,17 +244,30 @@ class Trainer:
     """Adam from given parameters."""
 
     def __init__(self, parameters: dict[str, np.ndarray], rate: float) -> None:
-        self.p = {n: v.copy() for n, v in parameters.items()}
+        # All parameters lie in one array, so that a step is a few operations.
+        self._all, self._room = flat(parameters), Room()
+        self.p, at = {}, 0
+        for name in SHAPES:
+            size = parameters[name].size
+            self.p[name] = self._all[at : at + size].reshape(SHAPES[name])
+            at += size
         self.rate, self.steps, self.tokens = rate, 0, 0
-        self._first = {n: np.zeros_like(v) for n, v in parameters.items()}
-        self._second = {n: np.zeros_like(v) for n, v in parameters.items()}
+        self._first, self._second = np.zeros_like(self._all), np.zeros_like(self._all)
 
     def step(self, inputs: np.ndarray, exists: np.ndarray, targets: np.ndarray, counts: np.ndarray) -> None:
         self.steps += 1
         self.tokens += int(counts.sum())
-        for name, g in gradients(self.p, inputs, exists, targets, counts).items():
-            first, second = self._first[name], self._second[name]
-            first += 0.1 * (g - first)
-            second += 0.01 * (g * g - second)
-            scale = self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-            self.p[name] -= (scale * first / (np.sqrt(second) + 1e-7)).astype(np.float32)
+        first, second, change = self._first, self._second, self._room("change", self._all.dtype, self._all.size)
+        gradient = flat(gradients(self.p, inputs, exists, targets, counts, self._room))
+        np.subtract(gradient, first, out=change)
+        change *= 0.1
+        first += change
+        np.square(gradient, out=gradient)
+        gradient -= second
+        gradient *= 0.01
+        second += gradient
+        np.sqrt(second, out=change)
+        change += 1e-7
+        np.divide(first, change, out=change)
+        change *= self.rate * float(np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps))
+        self._all -= change

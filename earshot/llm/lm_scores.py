@@ -9,6 +9,9 @@ task goes on from the same parameters over its own documents, the parameters
 are then averaged by tokens in a shuffle, one row per parameter. The rounds
 deal the blocks of words of every training document among them: each block is
 learnt from in exactly one round, so together they are one full pass.
+
+Texts are read and encoded once (``encode``); every later pass reads the stored
+ids, from which the words follow too.
 """
 
 from __future__ import annotations
@@ -23,8 +26,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import attention as att
-from .subwords import subwords
-from .words import U, byte_view, mix, slices, word_ends, word_hashes
+from .subwords import Numbers, Subwords, subwords
+from .words import U, byte_view, slices
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: A word with at least 1 / FREQUENT of all tokens is looked up in the tasks; there can be no more than FREQUENT of them.
@@ -32,7 +35,8 @@ FREQUENT = 500_000
 #: Words of a block, and the rounds that a full pass over all blocks is dealt to.
 BLOCK, ROUNDS = 96, 2
 END = np.int64(np.uint64(0xE0F0A5C31B7D9F42).astype(np.int64))
-_BATCH = 96
+#: Windows of a step, and of a scored batch.
+_BATCH, _SCORED = 96, 96
 #: Counts that a task holds before it hands them on.
 _HELD = 1_500_000
 
@@ -42,23 +46,40 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 7 == 2, F.lit(False))
 
 
-def _merged(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
-    values, where = np.unique(np.concatenate(keys), return_inverse=True)
-    return values, np.bincount(where, np.concatenate(counts), len(values)).astype(np.int64)
+def _id_slices(batch: pa.RecordBatch, own: Subwords) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Ranges of rows with their ids and where each row begins in these, from texts or from ids as ``encode`` stores them."""
+    if "text" in batch.schema.names:
+        content, starts = byte_view(batch.column("text"))
+        for low, high in slices(starts):
+            yield low, high, *own.encode(content, starts[low : high + 1])
+        return
+    content, starts = byte_view(batch.column("ids"))
+    for low, high in slices(np.concatenate([[0], np.cumsum(batch.column("size").to_numpy())])):
+        edge = starts[low : high + 1]
+        yield low, high, content[edge[0] : edge[-1]].view(own.kind), (edge - edge[0]) // own.kind.itemsize
 
 
-def _with_ends(numbers: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers with the end of each text in its place, and where each text begins."""
-    return np.insert(numbers, first[1:], 0), first + np.arange(len(first))
+def _encoding(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = subwords(path)
+        for batch in batches:
+            _, starts = byte_view(batch.column("text"))
+            sizes = np.diff(starts)
+            for low, high, ids, edge in _id_slices(batch, own):
+                places = pa.py_buffer((edge * own.kind.itemsize).astype(np.int32))
+                stored = pa.Array.from_buffers(pa.binary(), high - low, [None, places, pa.py_buffer(ids)])
+                kept = (batch.column(name).slice(low, high - low) for name in ("doc_id", "held_out"))
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(sizes[low:high], pa.int64()), stored], ["doc_id", "held_out", "size", "ids"])
+
+    return run
 
 
 def _counting(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = subwords(path)
-        ids = np.zeros(own.size, np.int64)
-        keys: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        texts = held = 0
+        per_id = np.zeros(own.size, np.int64)
+        index, values, counts = Numbers(), [], np.zeros(0, np.int64)
+        texts = 0
 
         def rows(kind: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
             for at in range(0, len(keys), 100_000):
@@ -69,41 +90,24 @@ def _counting(path: str):
                 )
 
         for batch in batches:
-            content, starts = byte_view(batch.column(0))
-            for begin, last in slices(starts):
-                edges = starts[begin : last + 1]
-                hashes, places, _ = word_hashes(content, edges)
-                texts += last - begin
-                ids[own.end] += last - begin
-                if not len(hashes):
-                    continue
-                data = content[edges[0] : edges[-1]]
-                numbers = own.encode(hashes, places, word_ends(content, edges), data)
-                # A word's number is known by now, so words are counted by number.
-                times = np.bincount(numbers)
-                seen = np.flatnonzero(times)
-                first = np.empty(len(times), np.int64)
-                first[numbers] = np.arange(len(numbers))
-                values, times = hashes[first[seen]], times[seen]
-                parts, lengths = own.ids(seen)
-                ids += np.bincount(parts, np.repeat(times, lengths), own.size).astype(np.int64)
-                keys.append(values)
-                counts.append(times)
-                held += len(values)
-                if held > _HELD:
-                    merged = _merged(keys, counts)
-                    if len(merged[0]) > _HELD // 2:
-                        yield from rows(0, merged[0].view(np.int64), merged[1])
-                        keys, counts, held = [], [], 0
-                    else:
-                        keys, counts, held = [merged[0]], [merged[1]], len(merged[0])
-        if keys:
-            merged = _merged(keys, counts)
-            yield from rows(0, merged[0].view(np.int64), merged[1])
+            for low, high, ids, _ in _id_slices(batch, own):
+                texts += high - low
+                per_id += np.bincount(ids, minlength=own.size)
+                keys, _ = own.word_keys(ids)
+                numbers, new = index.learn(keys)
+                values.append(keys[new])
+                times = np.bincount(numbers, minlength=index.count)
+                times[: len(counts)] += counts
+                counts = times
+                if index.count > _HELD:
+                    yield from rows(0, np.concatenate(values).view(np.int64), counts)
+                    index, values, counts = Numbers(), [], np.zeros(0, np.int64)
+        if index.count:
+            yield from rows(0, np.concatenate(values).view(np.int64), counts)
         if texts:
             yield from rows(0, np.array([END]), np.array([texts]))
-            seen = np.flatnonzero(ids)
-            yield from rows(1, seen, ids[seen])
+            seen = np.flatnonzero(per_id)
+            yield from rows(1, seen, per_id[seen])
 
     return run
 
@@ -125,27 +129,23 @@ def _training(shared, path: str, turn: int, rounds: int, rate: float):
         own, (start, classes) = subwords(path), shared.value
         trainer = att.Trainer(att.unflat(start), rate)
         for batch in batches:
-            content, starts = byte_view(batch.column(0))
-            salts = batch.column(1).to_numpy(zero_copy_only=False)
-            for low, high in slices(starts):
-                edges = starts[low : high + 1]
-                hashes, places, first = word_hashes(content, edges)
+            salts = batch.column("salt").to_numpy(zero_copy_only=False)
+            for low, high, ids, edge in _id_slices(batch, own):
+                # Words and ends in one order: word number w of text t is unit w + t, the end of a text follows its words.
+                units = np.flatnonzero(own.opens.take(ids) | (ids == own.end))
+                first = np.searchsorted(units, edge) - np.arange(len(edge))
                 begin, end, opens, closes = _block_words(first, salts[low:high], turn, rounds)
                 if not len(begin):
                     continue
-                sizes = end - begin
-                at = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
-                ends = word_ends(content, edges)
-                data = content[edges[0] : edges[-1]]
-                numbers = own.encode(hashes[at], places[at], ends[at], data) if len(at) else np.zeros(0, np.int64)
-                # Every block is a sequence; only a text's last one has its end to predict.
-                bounds = np.concatenate([[0], np.cumsum(sizes)])
-                numbers, bounds = _with_ends(numbers, bounds)
-                ids, lengths = own.ids(numbers)
-                edge = np.concatenate([[0], np.cumsum(lengths)])[bounds]
-                counted = np.ones(len(ids), bool)
-                counted[edge[1:][~closes] - 1] = False
-                _train_on(trainer, classes, ids, edge, np.where(opens, classes.start, classes.middle), counted)
+                # Every block is a sequence; only a text's last one has its end to predict. A block without words is an end alone.
+                text = np.minimum(np.searchsorted(first, begin, "right") - 1, high - low - 1)
+                start, stop = units[begin + text], units[end + text]
+                bounds = np.concatenate([[0], np.cumsum(stop - start + 1)])
+                taken = ids.take(np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], stop - start + 1))
+                taken[bounds[1:] - 1] = own.end
+                counted = np.ones(len(taken), bool)
+                counted[bounds[1:][~closes] - 1] = False
+                _train_on(trainer, classes, taken, bounds, np.where(opens, classes.start, classes.middle), counted)
         if trainer.tokens:
             values = att.flat(trainer.p).astype(np.float64) * trainer.tokens
             values = np.concatenate([values, [trainer.tokens]])
@@ -157,62 +157,55 @@ def _training(shared, path: str, turn: int, rounds: int, rate: float):
 def _sequences(classes: att.Classes, ids: np.ndarray, edge: np.ndarray, opening: np.ndarray):
     """Inputs (each sequence's opening, then its ids but the last) and windows over them."""
     inputs = np.empty(len(ids), np.int64)
-    inputs[1:] = classes.inputs[ids[:-1]]
+    inputs[1:] = classes.inputs.take(ids[:-1])
     inputs[edge[:-1]] = opening
     return inputs, *att.windows(edge[:-1], np.diff(edge))
 
 
 def _train_on(trainer, classes: att.Classes, ids: np.ndarray, edge: np.ndarray, opening: np.ndarray, counted: np.ndarray) -> None:
     inputs, places, exists, _ = _sequences(classes, ids, edge, opening)
-    targets = classes.classes[ids]
+    targets = classes.classes.take(ids)
     scored = slice(att.WINDOW - att.STRIDE, None)
     order = np.random.default_rng(len(ids)).permutation(len(places))
     for at in range(0, len(order), _BATCH):
         part = order[at : at + _BATCH]
         where, there = places[part], exists[part]
         asked = where[:, scored]
-        trainer.step(inputs[where], there, targets[asked], there[:, scored] & counted[asked])
+        trainer.step(inputs.take(where), there, targets.take(asked), there[:, scored] & counted.take(asked))
 
 
 def _scoring(shared, path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = subwords(path)
         values, classes, words, logs = shared.value
-        tables = att.Tables(att.unflat(values))
+        tables, room = att.Tables(att.unflat(values)), att.Room()
+        index = Numbers(len(words))
+        index.add(words.view(U))
         scored = slice(att.WINDOW - att.STRIDE, None)
         for batch in batches:
-            content, starts = byte_view(batch.column(2))
-            for low, high in slices(starts):
-                edges = starts[low : high + 1]
-                hashes, places, first = word_hashes(content, edges)
-                numbers = own.encode(hashes, places, word_ends(content, edges), content[edges[0] : edges[-1]]) if len(hashes) else np.zeros(0, np.int64)
-                numbers, bounds = _with_ends(numbers, first)
-                ids, lengths = own.ids(numbers)
-                edge = np.concatenate([[0], np.cumsum(lengths)])[bounds]
+            for low, high, ids, edge in _id_slices(batch, own):
                 inputs, where, exists, owner = _sequences(classes, ids, edge, np.full(high - low, classes.start))
-                targets = classes.classes[ids].astype(np.int32)
-                total = np.add.reduceat(classes.within[ids], edge[:-1])
-                for at in range(0, len(where), 256):
-                    part = slice(at, at + 256)
+                targets = classes.classes.take(ids)
+                total = np.add.reduceat(classes.within.take(ids), edge[:-1])
+                for at in range(0, len(where), _SCORED):
+                    part = slice(at, at + _SCORED)
                     asked = where[part, scored]
-                    found = att.log_chances(tables, inputs[where[part]], exists[part], targets[asked])
+                    found = att.log_chances(tables, inputs.take(where[part]), exists[part], targets.take(asked), room)
                     sums = np.where(exists[part, scored], found, 0).sum(1, dtype=np.float64)
                     total = total + np.bincount(owner[part], sums, high - low)
-                # Words in the table of frequent ones are settled here, the rest goes on with its hash.
-                signed = hashes.view(np.int64)
+                # Words in the table of frequent ones are settled here, the rest goes on with its key.
+                keys, heads = own.word_keys(ids)
+                first = np.searchsorted(heads, edge)
                 row = np.repeat(np.arange(high - low), np.diff(first))
-                if len(words):
-                    found_at = np.minimum(np.searchsorted(words, signed), len(words) - 1)
-                    known = words[found_at] == signed
-                    known_logs = np.bincount(row[known], logs[found_at[known]], high - low).astype(np.float64)
-                else:
-                    known, known_logs = np.zeros(len(signed), bool), np.zeros(high - low)
+                found_at = index.find(keys)
+                known = found_at >= 0
+                known_logs = np.bincount(row[known], logs[found_at[known]], high - low).astype(np.float64)
                 known_count = np.bincount(row[known], minlength=high - low)
                 rare = np.flatnonzero(~known)
-                rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[rare], np.arange(high - low + 1)), pa.int32()), pa.array(signed[rare]))
+                rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(row[rare], np.arange(high - low + 1)), pa.int32()), pa.array(keys[rare].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(batch.column(k).slice(low, high - low) for k in (0, 1)),
+                        *(batch.column(name).slice(low, high - low) for name in ("row_no", "doc_id")),
                         pa.array(np.diff(first) + 1, pa.int64()),
                         pa.array(total / math.log(10)),
                         pa.array(known_count, pa.int64()),
@@ -225,14 +218,19 @@ def _scoring(shared, path: str):
     return run
 
 
+def encode(rows: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """``doc_id, held_out``, the bytes of the text (``size``) and its subword ids with the end, for all of ``rows``."""
+    return materialize(rows.mapInArrow(_encoding(vocabulary), "doc_id long, held_out boolean, size long, ids binary"), "encoded")
+
+
 def count_tokens(training: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``kind, key, count`` over all of ``training`` (text): kind 0 words by hash and the end, kind 1 subword ids."""
+    """``kind, key, count`` over all of ``training`` (text, or size and ids): kind 0 words by key and the end, kind 1 subword ids."""
     partial = training.mapInArrow(_counting(vocabulary), "kind int, key long, count long")
     return materialize(partial.groupBy("kind", "key").agg(F.sum("count").alias("count")), "counts")
 
 
 def train(training: DataFrame, classes: att.Classes, vocabulary: str = VOCABULARY, rounds: int = ROUNDS, rate: float = 0.01) -> np.ndarray:
-    """Flat parameters of the attention model after one pass over all of ``training`` (text, salt), dealt to ``rounds``."""
+    """Flat parameters of the attention model after one pass over all of ``training`` (text, or size and ids; salt), dealt to ``rounds``."""
     parameters = att.flat(att.new_parameters(classes.mass))
     for turn in range(rounds):
         shared = training.sparkSession.sparkContext.broadcast((parameters, classes))
@@ -250,7 +248,7 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = FREQUEN
 
     Scores are log10 chances of the whole text with its end; a null text is
     empty and has one token, the end. Words are lower-cased (A-Z) and known by
-    64-bit hashes. The base chance of a token is (c + 1) / (N + V + 1), so it
+    64-bit hashes of their subwords. The base chance of a token is (c + 1) / (N + V + 1), so it
     is 1 where there is no training text. Repeated rows are scored, and learnt
     from, each by itself. A null id is not held out. Other columns are not read.
     """
@@ -259,8 +257,9 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = FREQUEN
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(text).alias("text"),
     )
-    learnt = rows.filter(~F.col("held_out"))
-    counts = count_tokens(learnt.select("text"), vocabulary)
+    encoded = encode(rows, vocabulary)
+    learnt = encoded.filter(~F.col("held_out"))
+    counts = count_tokens(learnt.select("size", "ids"), vocabulary)
     words = counts.filter("kind = 0")
     total = words.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
 
@@ -270,7 +269,7 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = FREQUEN
         ids[key] = count
     classes = att.make_classes(ids)
     # A salt is below the number of rounds, so that short documents do not all go to one of them.
-    salted = learnt.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(max(rounds, 1))).alias("salt"))
+    salted = learnt.select("size", "ids", F.pmod(F.xxhash64("doc_id"), F.lit(max(rounds, 1))).alias("salt"))
     parameters = train(salted, classes, vocabulary, rounds)
 
     ends = words.filter(F.col("key") == int(END)).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("c")).first().c
@@ -281,7 +280,7 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, frequent: int = FREQUEN
     keys, times = (often[c].to_numpy() for c in ("key", "count"))
     order = np.argsort(keys)
     shared = context.broadcast((parameters, classes, keys[order], np.log10(times[order] + 1.0) - ground))
-    numbered = rows.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "text")
+    numbered = encoded.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "size", "ids")
     scored = numbered.mapInArrow(
         _scoring(shared, vocabulary),
         "row_no long, doc_id long, n_tokens long, score double, known long, logs double, rare array<long>",

@@ -52,10 +52,10 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column and where each text starts; nulls are empty."""
+    """All bytes of a string or binary column and where each text starts; null strings are empty."""
     if column.null_count:
         column = pc.fill_null(column, "")
-    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    kind = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
     _, places, data = column.buffers()
     starts = np.frombuffer(places, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     content = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)

@@ -8,7 +8,7 @@ import pytest
 
 from earshot.llm import attention as att
 from earshot.llm import lm_scores
-from earshot.llm.subwords import subwords
+from earshot.llm.subwords import Numbers, subwords
 
 
 def _base(rows):
@@ -148,3 +148,79 @@ def test_all_tokens_give_gradients(spark):
         sums = docs.select("text", "salt").coalesce(1).mapInArrow(run, "place int, value double")
         seen += max(sums.collect(), key=lambda r: r.place).value
     assert seen == asked
+
+
+def test_texts_are_read_once_and_ids_after_that(spark, monkeypatch):
+    seen = {}
+
+    def noting(name):
+        own = getattr(lm_scores, name)
+
+        def noted(rows, *more):
+            seen[name] = rows.columns
+            return own(rows, *more)
+
+        monkeypatch.setattr(lm_scores, name, noted)
+
+    noting("count_tokens")
+    noting("train")
+    docs = spark.createDataFrame([(k, f"one two {k}") for k in range(20)], "doc_id long, text string")
+    assert lm_scores.score(docs).count() == 20
+    assert seen == {"count_tokens": ["size", "ids"], "train": ["size", "ids", "salt"]}
+
+
+def test_ids_and_keys_of_words():
+    own = subwords(lm_scores.VOCABULARY)
+    words = ["no", "NO", "x y", " ", " ", "é😀", "a\x1cb", "x" * 5_000, "0,5", "no", "\x00"]
+    texts = ["", " ".join(words), "  ", "no " * 3_000 + "é😀", " "]
+    raw = [t.encode() for t in texts] + [b"\xff\xfe a\xff", b"\xff\xfe"]
+    content = np.frombuffer(b"".join(raw), np.uint8)
+    ids, edge = own.encode(content, np.concatenate([[0], np.cumsum([len(t) for t in raw])]))
+    for k, text in enumerate(texts):
+        plain = [i for w in brute.words(text) for i in own._encoding.encode_ordinary(" " + w)]
+        assert ids[edge[k] : edge[k + 1]].tolist() == [*plain, own.end]
+    assert own._encoding.decode_bytes(ids[edge[5] : edge[6] - 1].tolist()) == b" \xff\xfe a\xff"
+    keys, heads = own.word_keys(ids)
+    counts = np.diff(np.searchsorted(heads, edge))
+    assert counts.tolist() == [0, len(words), 0, 3_001, 1, 2, 1]
+    found = [w.lower() for t in texts for w in brute.words(t)] + ["�1", "�2", "�1"]
+    by_word = {}
+    for word, key in zip(found, keys.tolist()):
+        assert by_word.setdefault(word, key) == key
+    assert len(set(by_word.values())) == len(by_word)
+
+
+def test_numbers_of_keys():
+    rng = np.random.default_rng(5)
+    keys = rng.integers(0, 1 << 63, 90_000).astype(np.uint64) * np.uint64(2)
+    keys[:300] = (keys[:300] >> np.uint64(40)) << np.uint64(1)  # all of these want the same few places
+    keys = rng.permutation(np.concatenate([np.unique(keys), np.unique(keys)]))
+    index, numbers = Numbers(), {}
+    for part in np.array_split(keys, 7):
+        found, new = index.learn(part)
+        assert found[new].tolist() == list(range(len(numbers), index.count))
+        for key, number in zip(part.tolist(), found.tolist()):
+            assert numbers.setdefault(key, number) == number
+    assert len(numbers) == index.count == len(set(numbers.values()))
+    assert index.find(keys).tolist() == [numbers[k] for k in keys.tolist()]
+    assert (index.find(keys | np.uint64(1)) == -1).all()
+
+
+def test_gradients_of_many_windows_are_those_of_their_parts():
+    rng = np.random.default_rng(6)
+    p = {n: v.astype(np.float64) for n, v in att.new_parameters().items()}
+    length = rng.integers(0, 120, 40)
+    places, exists, _ = att.windows(np.cumsum(length) - length, length)
+    inputs = rng.integers(0, 40, length.sum() + 1)[places]
+    scored = slice(att.WINDOW - att.STRIDE, None)
+    targets = rng.integers(0, att.HEAD + att.BANDS, exists[:, scored].shape)
+    there = exists[:, scored] & (rng.random(targets.shape) < 0.8)
+    assert len(places) > 70
+    room, whole = att.Room(), att.gradients(p, inputs, exists, targets, there)
+    sums = {n: np.zeros_like(v) for n, v in p.items()}
+    for at in range(0, len(places), 7):
+        part = slice(at, at + 7)
+        for name, g in att.gradients(p, inputs[part], exists[part], targets[part], there[part], room).items():
+            sums[name] += g * there[part].sum() / there.sum()
+    for name, g in whole.items():
+        assert g == pytest.approx(sums[name], abs=1e-7)
