@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from .words import U, mix, powers, word_ends, word_hashes
+from .words import U, mix, powers, word_hashes
 
 #: Fixed value: runs of letters, digits or marks, each with the space before it.
 PATTERN = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
@@ -16,6 +16,7 @@ PATTERN = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 CACHE = 800_000
 #: Words that are given to the tokeniser as one text.
 _TOGETHER = 4_096
+_SPACES = b" \t\n\v\f\r"
 _OTHER_SPACE = re.compile(r"[^\S ]")
 
 
@@ -121,16 +122,16 @@ class Subwords:
         except UnicodeDecodeError:  # not UTF-8: byte by byte
             return [self._bytes[k] for k in b" " + word]
 
-    def _numbers(self, hashes: np.ndarray, places: np.ndarray, ends: np.ndarray, content: np.ndarray) -> np.ndarray:
-        """Cache numbers of words given by hash, first byte and end in ``content``."""
+    def _numbers(self, hashes: np.ndarray, places: np.ndarray, content: np.ndarray) -> np.ndarray:
+        """Cache numbers of words given by hash and first byte in ``content``."""
         if self._index.count > CACHE:
             self._forget()
         numbers, new = self._index.learn(hashes)
         if not len(new):
             return numbers
         raw = content.tobytes().translate(_LOWER)
-        spans = list(zip(places[new].tolist(), ends[new].tolist()))
-        flat, sizes = zip(*(self._encoded([raw[a:b] for a, b in spans[at : at + _TOGETHER]]) for at in range(0, len(spans), _TOGETHER)))
+        spans = list(zip(places[new].tolist(), np.append(places, len(raw))[new + 1].tolist()))  # to the next word
+        flat, sizes = zip(*(self._encoded([raw[a:b].rstrip(_SPACES) for a, b in spans[at : at + _TOGETHER]]) for at in range(0, len(spans), _TOGETHER)))
         sizes = np.concatenate(sizes)
         self._starts = np.concatenate([self._starts, (len(self._flat) + np.cumsum(sizes) - sizes).astype(np.int32)])
         self._lengths = np.concatenate([self._lengths, sizes.astype(np.int32)])
@@ -140,7 +141,7 @@ class Subwords:
     def encode(self, content: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts between ``edges`` with an end after each, and where each text begins in these (texts + 1)."""
         hashes, places, first = word_hashes(content, edges)
-        numbers = self._numbers(hashes, places, word_ends(content, edges), content[edges[0] : edges[-1]]) if len(hashes) else np.zeros(0, np.int32)
+        numbers = self._numbers(hashes, places, content[edges[0] : edges[-1]]) if len(hashes) else np.zeros(0, np.int32)
         lengths, starts = self._lengths.take(numbers), self._starts.take(numbers)
         # Ends move what follows them by one place each.
         texts = np.arange(len(edges))
